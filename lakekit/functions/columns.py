@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from datetime import datetime
 from functools import reduce
 
 from pyspark.sql import Column
@@ -13,6 +14,11 @@ def col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def moment(at: datetime) -> Column:
+    """A fixed point in time without a zone."""
+    return F.lit(at.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def pad_key(c: str | Column, width: int = 10) -> Column:
     """Key as text, zero-padded on the left."""
     return F.lpad(col(c).cast("string"), width, "0")

@@ -11,6 +11,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakekit.functions.columns import moment
 from lakekit.operators.joins import new_keys
 from lakekit.operators.ranking import latest_per_key
 from lakekit.values import CHANGE_TYPES_TO_SHIP, DELETE, INSERT, UPDATE_AFTER, UPDATE_BEFORE
@@ -110,7 +111,7 @@ def change_feed(
         keys,
         columns,
         version if isinstance(version, Column) else F.lit(version),
-        committed_at if isinstance(committed_at, Column) else F.lit(committed_at),
+        committed_at if isinstance(committed_at, Column) else moment(committed_at),
     )
 
 
@@ -146,7 +147,7 @@ def appended_feed(rows: DataFrame, version: int, committed_at: datetime) -> Data
         "*",
         F.lit(INSERT).alias("_change_type"),
         F.lit(version).cast("bigint").alias("_commit_version"),
-        F.lit(committed_at).cast("timestamp_ntz").alias("_commit_timestamp"),
+        moment(committed_at).alias("_commit_timestamp"),
     )
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakekit.functions import text as rules
-from lakekit.functions.columns import not_empty
+from lakekit.functions.columns import moment, not_empty
 from lakekit.operators.joins import new_keys
 from lakekit.values import DOCUMENT_CATEGORIES, NEGATIVE_WORDS, NO_CATEGORY, POSITIVE_WORDS
 
@@ -80,7 +80,7 @@ def enrich_incremental(
     return score(todo).withColumns(
         {
             "modelo_ia": F.lit(model_name),
-            "procesado_en": F.lit(processed_at).cast("timestamp_ntz") if processed_at else F.localtimestamp(),
+            "procesado_en": moment(processed_at) if processed_at else F.localtimestamp(),
         }
     )
 
@@ -154,5 +154,5 @@ def document_fields(
         key,
         "_fields.*",
         *[F.lit(value).alias(name) for name, value in constants.items()],
-        F.lit(processed_at).cast("timestamp_ntz").alias("_procesado_at"),
+        moment(processed_at).alias("_procesado_at"),
     )

@@ -13,6 +13,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakekit.functions.columns import moment
 from lakekit.operators.changes import as_feed
 
 VERSION_COLUMNS = ("_version", "_committed_at", "_operation")
@@ -32,13 +33,13 @@ def write_version(df: DataFrame, path: str, version: int, operation: str, commit
     folder = f"{states_path(path)}/_version={version}"
     stamped = df.select(
         "*",
-        F.lit(committed_at).cast("timestamp_ntz").alias("_committed_at"),
+        moment(committed_at).alias("_committed_at"),
         F.lit(operation).alias("_operation"),
     )
     stamped.write.mode("overwrite").parquet(folder)
     written = spark.read.parquet(folder).agg(F.count(F.lit(1)).alias("_rows"))
     written.select(
-        F.lit(committed_at).cast("timestamp_ntz").alias("_committed_at"),
+        moment(committed_at).alias("_committed_at"),
         F.lit(operation).alias("_operation"),
         "_rows",
     ).coalesce(1).write.mode("overwrite").parquet(f"{commits_path(path)}/_version={version}")
@@ -73,7 +74,7 @@ def snapshot_as_of(
         raise ValueError("give a version or a moment")
     if version is None:
         commits = snapshot_history(spark, path)
-        moment = F.lit(at).cast("timestamp_ntz")
+        moment = moment(at)
         wanted: Column = commits.where(F.col("committed_at") <= moment).agg(F.max("version")).scalar()
     else:
         wanted = F.lit(version)

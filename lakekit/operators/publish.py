@@ -8,7 +8,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakekit.functions.columns import mask_prefix
+from lakekit.functions.columns import mask_prefix, moment
 from lakekit.operators.history import snapshot_history, states_path
 
 
@@ -58,7 +58,7 @@ def access_audit(
     log: DataFrame, event_type: str, as_of: datetime, days: int, fields: Mapping[str, str | Column]
 ) -> DataFrame:
     """Access events of one kind in the last days: nested fields flattened, newest first."""
-    since = F.lit(as_of).cast("timestamp_ntz") - F.make_dt_interval(F.lit(days))
+    since = moment(as_of) - F.make_dt_interval(F.lit(days))
     recent = log.where((F.col("event_type") == event_type) & (F.col("event_time") >= since))
     return recent.select(
         "event_time", *[(F.col(c) if isinstance(c, str) else c).alias(name) for name, c in fields.items()]

@@ -11,6 +11,7 @@ from lakekit.functions.columns import (
     clean_code,
     clean_text,
     is_blank,
+    moment,
     not_positive,
     pad_key,
     parse_yyyymmdd,
@@ -22,7 +23,7 @@ from lakekit.operators.joins import join_master
 
 
 def _loaded(loaded_at: datetime | None):
-    return F.lit(loaded_at) if loaded_at else F.current_timestamp()
+    return moment(loaded_at) if loaded_at else F.localtimestamp()
 
 
 def orders_silver(bronze: DataFrame, loaded_at: datetime | None = None) -> DataFrame:

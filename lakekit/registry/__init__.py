@@ -6,11 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakekit.registry import reports
+from lakekit.registry import changesets, cleansing, controls, ingestion, models, reports, storage, texts
 from lakekit.registry.sql import with_views
 
 Query = Callable[[SparkSession, str], DataFrame]
-MODULES = (reports,)
+MODULES = (ingestion, cleansing, reports, changesets, storage, controls, texts, models)
 
 
 def queries() -> dict[str, Query]:

@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakekit.functions.columns import moment
 from lakekit.functions.money import money
 from lakekit.operators.changes import update_where
 from lakekit.operators.history import write_version
@@ -101,7 +102,7 @@ def prices(spark: SparkSession, d: str) -> DataFrame:
     """Two price periods per product, the second one open."""
     products = erp.read_table(spark, d, "events").select(F.col("event_type").alias("sku_name")).distinct()
     base = F.length("sku_name") * F.lit(0.1)
-    change = F.lit(datetime(2024, 1, 16)).cast("timestamp_ntz")
+    change = moment(datetime(2024, 1, 16))
 
     def period(start, end, price):
         return F.struct(
@@ -109,7 +110,7 @@ def prices(spark: SparkSession, d: str) -> DataFrame:
         )
 
     both = F.array(
-        period(F.lit(datetime(2023, 1, 1)).cast("timestamp_ntz"), change, base),
+        period(moment(datetime(2023, 1, 1)), change, base),
         period(change, F.lit(None).cast("timestamp_ntz"), base + 0.05),
     )
     return products.select("sku_name", F.explode(both).alias("p")).select(

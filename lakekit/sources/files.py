@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakekit.functions.columns import moment
+
 
 def read_csv(spark: SparkSession, paths: str | list[str], schema: T.StructType) -> DataFrame:
     """Header CSV with a declared schema: no inference job, zero-padded keys survive."""
@@ -52,7 +54,7 @@ def bronze_ingest(
     """The rows as they came, plus audit columns."""
     name = F.lit(source_file) if isinstance(source_file, str) else source_file
     audit = {
-        "_loaded_at": F.lit(loaded_at) if loaded_at else F.current_timestamp(),
+        "_loaded_at": moment(loaded_at) if loaded_at else F.localtimestamp(),
         "_source_file": name,
     }
     if source_system:
