@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 MONEY = "decimal(18,2)"
 QUANTITY = "decimal(18,3)"
-COUNT = "decimal(20,0)"
 
 
 def money(amount: str | Column) -> Column:
@@ -34,12 +33,15 @@ def total(amount: str | Column, digits: int = 2) -> Column:
 def mean(amount: str | Column, digits: int = 2) -> Column:
     """Rounded mean of the amounts that are not NULL."""
     cents = money(amount)
-    return F.round(F.try_divide(F.sum(cents), F.count(cents).cast(COUNT)), digits).cast("double")
+    return ratio(F.sum(cents), F.count(cents), digits)
 
 
 def ratio(part: Column, whole: Column, digits: int = 2) -> Column:
-    """part / whole, rounded half up; NULL where the whole is zero."""
-    return F.round(F.try_divide(part, whole), digits).cast("double")
+    """part / whole, rounded half up; NULL where the whole is zero.
+
+    The widths leave the quotient 14 exact digits after the point, so that rounding decides on the true value.
+    """
+    return F.round(F.try_divide(part.cast("decimal(24,2)"), whole.cast("decimal(20,2)")), digits).cast("double")
 
 
 def percent(part: Column, whole: Column, digits: int = 2) -> Column:

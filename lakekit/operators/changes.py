@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakekit.functions.columns import moment
+from lakekit.functions.money import money
 from lakekit.operators.joins import new_keys
 from lakekit.operators.ranking import latest_per_key
 from lakekit.values import CHANGE_TYPES_TO_SHIP, DELETE, INSERT, UPDATE_AFTER, UPDATE_BEFORE
@@ -66,7 +67,7 @@ def merge_accumulate(
 ) -> DataFrame:
     """Add a batch's counts and amounts to the groups of the target and derive the mean again.
 
-    The mean is (old amount + new amount) / (old count + new count). Groups the target lacks are added; columns of
+    Amounts are added in cents. The mean is (old amount + new amount) / (old count + new count). Groups the target lacks are added; columns of
     the target that the batch does not know are NULL there and unchanged elsewhere.
     """
     added = batch.select(*keys, F.col(count).alias("_count"), F.col(amount).alias("_amount"))
@@ -74,13 +75,12 @@ def merge_accumulate(
     rows = F.when(F.col("_count").isNull(), F.col(count)).otherwise(
         F.coalesce(F.col(count), F.lit(0)) + F.col("_count")
     )
-    money = F.when(F.col("_amount").isNull(), F.col(amount)).otherwise(
-        F.coalesce(F.col(amount), F.lit(0)) + F.col("_amount")
-    )
+    summed = (F.coalesce(money(amount), F.lit(0)) + money("_amount")).cast("double")
+    total = F.when(F.col("_amount").isNull(), F.col(amount)).otherwise(summed)
     averaged = F.when(F.col("_count").isNull(), F.col(mean)).otherwise(
-        F.when(rows > 0, money / rows).otherwise(F.lit(0.0))
+        F.when(rows > 0, total / rows).otherwise(F.lit(0.0))
     )
-    new = {count: rows, amount: money, mean: averaged}
+    new = {count: rows, amount: total, mean: averaged}
     return both.select(*[new[c].alias(c) if c in new else F.col(c) for c in target.columns])
 
 

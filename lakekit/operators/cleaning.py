@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakekit.functions.money import COUNT, percent
+from lakekit.functions.money import percent
 
 
 def _columns_of(df: DataFrame, *types: type[T.DataType]) -> list[str]:
@@ -85,8 +85,8 @@ def value_counts(df: DataFrame, *columns: str, digits: int = 1) -> DataFrame:
     The total is a scalar subquery over the same aggregation, which Spark runs once: no window over all groups.
     """
     counted = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("num_rows"))
-    everything = counted.agg(F.sum("num_rows").cast(COUNT)).scalar()
-    return counted.withColumn("percent_of_total", percent(F.col("num_rows").cast(COUNT), everything, digits))
+    everything = counted.agg(F.sum("num_rows")).scalar()
+    return counted.withColumn("percent_of_total", percent(F.col("num_rows"), everything, digits))
 
 
 def distinct_profile(df: DataFrame, *columns: str) -> DataFrame:

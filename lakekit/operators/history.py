@@ -74,8 +74,8 @@ def snapshot_as_of(
         raise ValueError("give a version or a moment")
     if version is None:
         commits = snapshot_history(spark, path)
-        moment = moment(at)
-        wanted: Column = commits.where(F.col("committed_at") <= moment).agg(F.max("version")).scalar()
+        until = moment(at)
+        wanted: Column = commits.where(F.col("committed_at") <= until).agg(F.max("version")).scalar()
     else:
         wanted = F.lit(version)
     return read_history(spark, path).where(F.col("_version") == wanted).drop(*VERSION_COLUMNS)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakekit.functions.columns import labelled_text
-from lakekit.functions.money import COUNT, exact_sum, money, percent, ratio, total
+from lakekit.functions.money import exact_sum, money, percent, ratio, total
 from lakekit.operators.cleaning import top_k
 from lakekit.operators.joins import join_lookup
 from lakekit.values import BUDGET_STATUS, BUDGET_STATUS_LOWEST, HIGH_VALUE_AMOUNT
@@ -26,7 +26,7 @@ def lines_per_document(lines: DataFrame) -> DataFrame:
 
 
 def _line_measures() -> list[Column]:
-    amount, amounts = F.sum("_amount"), F.sum("_amounts").cast(COUNT)
+    amount, amounts = F.sum("_amount"), F.sum("_amounts")
     return [
         F.sum("_lines").alias("num_lines"),
         F.round(amount, 2).cast("double").alias("total_amount"),
@@ -74,7 +74,7 @@ def doc_metrics_top(headers: DataFrame, lines: DataFrame, years: Sequence[int],
         F.col("USNAM").alias("usuario"),
         F.col("_lines").alias("num_lineas"),
         F.col("_amount").cast("double").alias("monto_total"),
-        ratio(F.col("_amount"), F.col("_amounts").cast(COUNT)).alias("monto_promedio"),
+        ratio(F.col("_amount"), F.col("_amounts")).alias("monto_promedio"),
     )
     return top_k(measured, "monto_total", n, "documento")
 

@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakekit.functions.money import COUNT, QUANTITY, exact_sum, percent, ratio
+from lakekit.functions.money import QUANTITY, exact_sum, percent, ratio
 from lakekit.operators.ranking import global_ntile, pareto_top_n
 
 
@@ -52,7 +52,7 @@ def monthly_trend(orders: DataFrame) -> DataFrame:
 def moving_average(orders: DataFrame, months: int = 3) -> DataFrame:
     """Mean revenue of the last months per organisation; shorter at the start."""
     frame = Window.partitionBy("org_ventas").orderBy("anio", "mes").rowsBetween(-(months - 1), 0)
-    rolling = ratio(F.sum("ventas_mes").over(frame), F.count("ventas_mes").over(frame).cast(COUNT))
+    rolling = ratio(F.sum("ventas_mes").over(frame), F.count("ventas_mes").over(frame))
     return monthly_sales(orders).select(
         "anio",
         "mes",
@@ -137,6 +137,6 @@ def forecast_features(orders: DataFrame) -> DataFrame:
         (F.row_number().over(in_order) - 1).alias("month_index"),
         sales_value.alias("sales"),
         *[F.lag(sales_value, k).over(in_order).alias(f"lag_{k}") for k in (1, 3, 12)],
-        ratio(F.sum("_sales").over(last_three), F.count("_sales").over(last_three).cast(COUNT)).alias("rolling_mean_3"),
+        ratio(F.sum("_sales").over(last_three), F.count("_sales").over(last_three)).alias("rolling_mean_3"),
         F.round(F.stddev_samp(sales_value).over(last_three), 2).alias("rolling_std_3"),
     )

@@ -39,15 +39,9 @@ def _sales_batch(spark, d):
 
 
 def _accumulated(spark, d):
-    merged = changes.merge_accumulate(
+    return changes.merge_accumulate(
         _sales_before(spark, d), _sales_batch(spark, d), KPI_KEYS, "num_orders", "total_revenue", "avg_order_value"
     )
-    return merged.withColumns(
-        {
-            "total_revenue": F.round("total_revenue", 2),
-            "avg_order_value": F.round("avg_order_value", 4),
-        }
-    )
 
 
 def _at_moment(spark, d):
@@ -148,8 +142,8 @@ ORACLES = {
             count(*) AS nn, {sum_cents('NETWR')} AS nc FROM vbak WHERE ERDAT >= DATE '1999-06-15' GROUP BY 1, 2, 3, 4)
         SELECT year, month, sales_org, currency, coalesce(n, 0) + coalesce(nn, 0) AS num_orders, num_customers,
             CAST(coalesce(c, 0) + coalesce(nc, 0) AS DOUBLE) / 100 AS total_revenue,
-            CASE WHEN nn IS NULL THEN m ELSE round(CAST(coalesce(c, 0) + coalesce(nc, 0) AS DOUBLE) / 100
-                / (coalesce(n, 0) + coalesce(nn, 0)), 4) END AS avg_order_value,
+            CASE WHEN nn IS NULL THEN m ELSE CAST(coalesce(c, 0) + coalesce(nc, 0) AS DOUBLE) / 100
+                / (coalesce(n, 0) + coalesce(nn, 0)) END AS avg_order_value,
             max_order_value, min_order_value
         FROM old FULL JOIN new USING (year, month, sales_org, currency)""",
     "merge_changes": """SELECT * FROM hist2 UNION ALL SELECT * FROM hist1 WHERE c_acctbal < 0""",
