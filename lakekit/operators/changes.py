@@ -8,7 +8,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakekit.functions.columns import moment
@@ -20,23 +20,25 @@ from lakekit.values import CHANGE_TYPES_TO_SHIP, DELETE, INSERT, UPDATE_AFTER, U
 CHANGE_COLUMNS = ("_change_type", "_commit_version", "_commit_timestamp")
 
 
+def _once(keys: Sequence[str], value: Column) -> Column:
+    """The value, in rows whose key occurs once; any other key stops the job."""
+    message = F.concat(F.lit("duplicate key: "), F.to_json(F.struct(*keys)))
+    return F.when(F.count(F.lit(1)).over(Window.partitionBy(*keys)) == 1, value).otherwise(F.raise_error(message))
+
+
 def rows_by_key(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
     """One row per key with the other columns as a struct; the job fails if a key occurs twice.
 
-    The check costs no shuffle of its own: a join on the same keys that follows reuses this partitioning.
+    The check costs no shuffle or sort of its own: a join on the same keys that follows uses both again.
     """
     rest = [c for c in df.columns if c not in keys]
     payload = F.struct(*rest) if rest else F.struct(F.lit(True).alias("_present"))
-    message = F.concat(F.lit("duplicate key: "), F.to_json(F.struct(*keys)))
-    return df.groupBy(*keys).agg(F.first(payload).alias("_row"), F.count(F.lit(1)).alias("_n")).select(
-        *keys, F.when(F.col("_n") == 1, F.col("_row")).otherwise(F.raise_error(message)).alias(name)
-    )
+    return df.select(*keys, _once(keys, payload).alias(name))
 
 
 def unique_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The same rows; the job fails if a key occurs twice."""
-    checked = rows_by_key(df, keys, "_row")
-    return checked.select(*[c if c in keys else F.col(f"_row.{c}").alias(c) for c in df.columns])
+    return df.withColumn("_unique", _once(keys, F.lit(True))).where("_unique").drop("_unique")
 
 
 def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -89,34 +89,29 @@ def summarise_extract(df: DataFrame, key: str, text: str, max_words: int = 50, n
     """The sentences whose words are most frequent in their text, up to so many words, in their old order.
 
     Texts are shuffled once, by key; the word counts, sentence scores and ranks that follow all work within that
-    partitioning. The best sentence is kept even if it alone exceeds the limit.
+    partitioning and carry no text. The sentences chosen are cut out of the same shuffled texts. The best sentence
+    is kept even if it alone exceeds the limit.
     """
-    sentences = (
-        df.select(key, text)
-        .repartition(key)
-        .select(key, F.posexplode(F.split(F.col(text), r"[.!?\n]+")).alias("_pos", "_sentence"))
-        .withColumn("_sentence", F.trim("_sentence"))
-        .withColumn("_words", rules.words("_sentence"))
-        .where(F.size("_words") > 0)
+    texts = df.select(key, text).repartition(key)
+    sentences = F.split(F.col(text), r"[.!?\n]+")
+    words = (
+        texts.select(key, F.posexplode(sentences).alias("_pos", "_sentence"))
+        .select(key, "_pos", F.explode(rules.words("_sentence")).alias("_word"))
+        .withColumn("_tf", F.count(F.lit(1)).over(Window.partitionBy(key, "_word")))
     )
-    frequency = Window.partitionBy(key, "_word")
-    scored = (
-        sentences.select(key, "_pos", "_sentence", F.explode("_words").alias("_word"))
-        .withColumn("_tf", F.count(F.lit(1)).over(frequency))
-        .groupBy(key, "_pos")
-        .agg(
-            F.first("_sentence").alias("_sentence"),
-            F.count(F.lit(1)).alias("_n"),
-            (F.sum("_tf") / F.count(F.lit(1))).alias("_score"),
-        )
+    scored = words.groupBy(key, "_pos").agg(
+        F.count(F.lit(1)).alias("_n"), (F.sum("_tf") / F.count(F.lit(1))).alias("_score")
     )
     best = Window.partitionBy(key).orderBy(F.desc("_score"), F.asc("_pos"))
     so_far = best.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    kept = scored.withColumns(
-        {"_rank": F.row_number().over(best), "_total": F.sum("_n").over(so_far)}
-    ).where((F.col("_total") <= max_words) | (F.col("_rank") == 1))
-    in_order = F.array_sort(F.collect_list(F.struct("_pos", "_sentence")))
-    return kept.groupBy(key).agg(F.array_join(F.transform(in_order, lambda s: s["_sentence"]), ". ").alias(name))
+    chosen = (
+        scored.withColumns({"_rank": F.row_number().over(best), "_total": F.sum("_n").over(so_far)})
+        .where((F.col("_total") <= max_words) | (F.col("_rank") == 1))
+        .groupBy(key)
+        .agg(F.array_sort(F.collect_list("_pos")).alias("_chosen"))
+    )
+    picked = F.filter(sentences, lambda _, pos: F.array_contains("_chosen", pos))
+    return texts.join(chosen, key).select(key, F.array_join(F.transform(picked, F.trim), ". ").alias(name))
 
 
 def document_text(

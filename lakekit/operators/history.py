@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from lakekit.functions.columns import moment
 from lakekit.operators.changes import as_feed
+from lakekit.operators.joins import broadcast_if_small
 
 VERSION_COLUMNS = ("_version", "_committed_at", "_operation")
 
@@ -112,7 +113,9 @@ def change_feed_range(spark: SparkSession, path: str, keys: Sequence[str], first
         *keys, (version + 1).alias("_v"), row.alias("_old")
     )
     changed = before.join(after, [*keys, "_v"], "full").where(~F.col("_old").eqNullSafe(F.col("_new")))
-    commits = snapshot_history(spark, path).select(F.col("version").alias("_v"), "committed_at")
+    commits = broadcast_if_small(
+        snapshot_history(spark, path).select(F.col("version").alias("_v"), "committed_at")
+    )
     return as_feed(
         changed.join(commits, "_v"),
         keys,

@@ -27,8 +27,16 @@ def join_master(facts: DataFrame, master: DataFrame, fact_key: str, master_key:
 
 
 def new_keys(candidates: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Candidate rows whose key the target does not have."""
-    return candidates.join(target.select(*keys), list(keys), "left_anti")
+    """Candidate rows whose key the target does not have.
+
+    If only the candidates are small, the target is first cut down to their keys: its key columns are scanned, but
+    not shuffled.
+    """
+    existing = target.select(*keys)
+    wanted = candidates.select(*keys)
+    if estimated_bytes(existing) > BROADCAST_LIMIT >= estimated_bytes(wanted):
+        existing = existing.join(F.broadcast(wanted), list(keys), "left_semi")
+    return candidates.join(existing, list(keys), "left_anti")
 
 
 def join_validity(

@@ -18,31 +18,51 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], version: str) -> DataFram
     return df.withColumn("_rn", F.row_number().over(newest)).where("_rn = 1").drop("_rn")
 
 
-def pareto_top_n(df: DataFrame, category: str, amount: str, key: str, n: int = 5) -> DataFrame:
+# Parts a category is split into while its best items are sought.
+CATEGORY_PARTS = 1024
+
+
+def pareto_top_n(
+    df: DataFrame, category: str, amount: str, key: str, n: int = 5, parts: int = CATEGORY_PARTS
+) -> DataFrame:
     """Per category the items ranked up to n by amount (ties kept), with share and running share.
 
-    The amount is a decimal per item. Category totals come from an aggregation of their own and the ranking keeps
-    n rows per category in every task before the shuffle, so a category with very many items never meets in one
-    task. The running sum covers the kept rows alone: everything ranked before them is kept too.
+    The amount is a decimal per item. Categories are split into parts by item, so that one with very many items
+    never meets in one task. Each part keeps its n best items and its total; the few kept items then meet by
+    category, where the part totals add up to the category's. The running sum needs the kept items alone:
+    everything ranked before them is kept too. All of it is one pass over the items.
     """
-    totals = df.groupBy(category).agg(F.sum(amount).alias("_category_total"))
-    ranked = Window.partitionBy(category).orderBy(F.desc(amount))
-    running = (
-        Window.partitionBy(category)
-        .orderBy(F.desc(amount), F.asc(key))
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    part = Window.partitionBy(category, "_part")
+    in_part = part.orderBy(F.desc(amount), F.asc(key))
+    best_of_parts = (
+        df.withColumn("_part", F.pmod(F.xxhash64(key), F.lit(parts)))
+        .withColumns(
+            {
+                "_part_row": F.row_number().over(in_part),
+                "_part_rank": F.rank().over(part.orderBy(F.desc(amount))),
+                "_part_total": F.sum(amount).over(part),
+            }
+        )
+        .where(F.col("_part_rank") <= n)
     )
-    kept = df.withColumn("rank_categoria", F.rank().over(ranked)).where(F.col("rank_categoria") <= n)
+    whole = Window.partitionBy(category)
+    running = whole.orderBy(F.desc(amount), F.asc(key)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return (
-        kept.withColumn("_running", F.sum(amount).over(running))
-        .join(totals, category)
+        best_of_parts.withColumns(
+            {
+                "rank_categoria": F.rank().over(whole.orderBy(F.desc(amount))),
+                "_total": F.sum(F.when(F.col("_part_row") == 1, F.col("_part_total"))).over(whole),
+                "_running": F.sum(amount).over(running),
+            }
+        )
+        .where(F.col("rank_categoria") <= n)
         .withColumns(
             {
-                "pct_categoria": percent(F.col(amount), F.col("_category_total")),
-                "pct_acumulado_pareto": percent(F.col("_running"), F.col("_category_total")),
+                "pct_categoria": percent(F.col(amount), F.col("_total")),
+                "pct_acumulado_pareto": percent(F.col("_running"), F.col("_total")),
             }
         )
-        .drop("_running", "_category_total")
+        .drop("_part", "_part_row", "_part_rank", "_part_total", "_total", "_running")
     )
 
 

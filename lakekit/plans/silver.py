@@ -102,4 +102,4 @@ def accounting_silver(bronze: DataFrame) -> DataFrame:
             ),
         }
     )
-    return dedup_by_key(cleaned.drop("_source_file", "_batch_id"), ["BELNR", "BUKRS", "GJAHR"])
+    return dedup_by_key(cleaned.drop("_source_file", "_batch_id"), ["BUKRS", "BELNR", "GJAHR"])
