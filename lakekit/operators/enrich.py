@@ -111,7 +111,8 @@ def summarise_extract(df: DataFrame, key: str, text: str, max_words: int = 50, n
         .agg(F.array_sort(F.collect_list("_pos")).alias("_chosen"))
     )
     picked = F.filter(sentences, lambda _, pos: F.array_contains("_chosen", pos))
-    return texts.join(chosen, key).select(key, F.array_join(F.transform(picked, F.trim), ". ").alias(name))
+    trimmed = F.transform(picked, lambda sentence: F.trim(sentence))
+    return texts.join(chosen, key).select(key, F.array_join(trimmed, ". ").alias(name))
 
 
 def document_text(

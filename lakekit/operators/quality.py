@@ -34,11 +34,12 @@ def expect_drop(df: DataFrame, rules: Rules, observation: Observation | None = N
 
 
 def expect_fail(df: DataFrame, rules: Rules) -> DataFrame:
-    """The job stops at the first row that breaks a rule."""
-    for name, rule in rules.items():
+    """The job stops at a row that breaks a rule, naming the first rule it breaks."""
+    passed = F.lit(True)
+    for name, rule in reversed(list(rules.items())):
         stop = F.raise_error(F.lit(f"expectation failed: {name}")).cast("boolean")
-        df = df.where(F.when(holds(rule), F.lit(True)).otherwise(stop))
-    return df
+        passed = F.when(holds(rule), passed).otherwise(stop)
+    return df.where(passed)
 
 
 def expectation_metrics(df: DataFrame, rules: Rules) -> DataFrame:

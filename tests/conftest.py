@@ -34,4 +34,5 @@ def rows(df) -> list[tuple]:
 
 
 def executed_plan(df) -> str:
-    return df._jdf.queryExecution().executedPlan().toString()
+    """The physical plan; after a run, the one that AQE ended with."""
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
