@@ -23,6 +23,9 @@ TAX_ID = r"[0-9]{3}[.][0-9]{3}[.][0-9]{3}-[0-9]"
 INVOICE_NUMBER = r"[A-Z]-[0-9]{4}-[0-9]{5}"
 AMOUNT = r"(?:COP|USD|EUR) [0-9][0-9.,]*[0-9]"
 
+# A character that every match of a pattern contains: texts without it need no search.
+ANCHORS = {EMAIL: "@", PHONE: "+", TAX_ID: "-", INVOICE_NUMBER: "-"}
+
 MASKED_ENTITIES = {
     "[EMAIL]": EMAIL,
     "[PHONE]": PHONE,
@@ -38,6 +41,12 @@ def words(text: str | Column) -> Column:
     return F.filter(F.split(F.lower(col(text)), r"[^\p{L}]+"), lambda w: w != "")
 
 
+def words_among(text: str | Column, wanted: Iterable[str]) -> Column:
+    """The words of a text that are in a fixed list: one pass over the text, a short array after it."""
+    listed = sorted(set(wanted))
+    return F.filter(F.split(F.lower(col(text)), r"[^\p{L}]+"), lambda w: w.isin(listed))
+
+
 def hits(tokens: Column, wanted: Iterable[str]) -> Column:
     """Number of tokens that are in a fixed word list."""
     listed = list(wanted)
@@ -47,7 +56,10 @@ def hits(tokens: Column, wanted: Iterable[str]) -> Column:
 def best_category(
     tokens: Column, categories: Mapping[str, Sequence[str]], default: str = NO_CATEGORY
 ) -> Column:
-    """Category whose words occur most often among the tokens; the first one listed wins a tie."""
+    """Category whose words occur most often among the tokens; the first one listed wins a tie.
+
+    Tokens that are in no list may be left out.
+    """
     scores = [
         F.struct(
             F.coalesce(hits(tokens, wanted), F.lit(0)).alias("score"),
@@ -72,11 +84,20 @@ def sentiment(
     )
 
 
+def _where_possible(text: Column, pattern: str, searched: Column, otherwise: Column) -> Column:
+    """The searched value, but only for texts that can match at all."""
+    anchor = ANCHORS.get(pattern)
+    return F.when(F.contains(text, F.lit(anchor)), searched).otherwise(otherwise) if anchor else searched
+
+
 def extract_fields(text: str | Column, fields: Mapping[str, str]) -> Column:
     """Struct with the first match of each field's pattern, NULL where there is none."""
+    source = col(text)
     return F.struct(
         *[
-            F.nullif(F.regexp_extract(col(text), pattern, 0), F.lit("")).alias(name)
+            _where_possible(
+                source, pattern, F.nullif(F.regexp_extract(source, pattern, 0), F.lit("")), F.lit(None)
+            ).alias(name)
             for name, pattern in fields.items()
         ]
     )

@@ -23,7 +23,8 @@ def with_category(
     default: str = NO_CATEGORY,
 ) -> DataFrame:
     """Texts that are not empty, with the category whose words they use most."""
-    tokens = df.where(not_empty(text)).withColumn("_tokens", rules.words(text))
+    listed = [w for wanted in categories.values() for w in wanted]
+    tokens = df.where(not_empty(text)).withColumn("_tokens", rules.words_among(text, listed))
     return tokens.withColumn(name, rules.best_category(F.col("_tokens"), categories, default)).drop("_tokens")
 
 
@@ -34,7 +35,7 @@ def with_sentiment(
     positive: Sequence[str] = POSITIVE_WORDS,
     negative: Sequence[str] = NEGATIVE_WORDS,
 ) -> DataFrame:
-    tokens = df.withColumn("_tokens", rules.words(text))
+    tokens = df.withColumn("_tokens", rules.words_among(text, [*positive, *negative]))
     return tokens.withColumn(name, rules.sentiment(F.col("_tokens"), positive, negative)).drop("_tokens")
 
 

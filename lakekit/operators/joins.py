@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Largest estimated size of a side that is sent to every executor when asked to.
-BROADCAST_LIMIT = 256 * 1024 * 1024
+BROADCAST_LIMIT = 64 * 1024 * 1024
 
 
 def estimated_bytes(df: DataFrame) -> int:
@@ -26,6 +26,17 @@ def join_master(facts: DataFrame, master: DataFrame, fact_key: str, master_key:
     return facts.join(master, F.col(fact_key) == F.col(master_key), "left")
 
 
+def join_facts(master: DataFrame, facts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Left join of a master table to its many facts: every master row stays.
+
+    Written as an inner join plus the master rows without facts. A left join could neither split the facts of a
+    key that holds very many of them nor broadcast a small master; the inner join can do both.
+    """
+    matched = master.join(facts, list(keys))
+    unmatched = master.join(facts.select(*keys).distinct(), list(keys), "left_anti")
+    return matched.unionByName(unmatched, allowMissingColumns=True)
+
+
 def new_keys(candidates: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Candidate rows whose key the target does not have.
 

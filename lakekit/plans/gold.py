@@ -141,7 +141,9 @@ def abc_distribution(gold: DataFrame) -> DataFrame:
     )
 
 
-def customer_360(customers: DataFrame, orders: DataFrame) -> DataFrame:
+def customer_360(
+    customers: DataFrame, orders: DataFrame, limits: Sequence[tuple[float, str]] = TIER_LIMITS
+) -> DataFrame:
     """Valid customers with orders, revenue, lifetime and tier.
 
     Orders are filtered and aggregated per customer before the join: the same rows as filters in the join
@@ -172,7 +174,7 @@ def customer_360(customers: DataFrame, orders: DataFrame) -> DataFrame:
             "first_order_date",
             "last_order_date",
             F.datediff("last_order_date", "first_order_date").alias("customer_lifetime_days"),
-            graded(F.col("total_revenue"), TIER_LIMITS, TIER_LOWEST).alias("customer_tier"),
+            graded(F.col("total_revenue"), limits, TIER_LOWEST).alias("customer_tier"),
         )
     )
 

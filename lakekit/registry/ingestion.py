@@ -49,6 +49,7 @@ def _source_inventory(spark, d):
 def _layers(spark, d):
     orders = silver.orders_silver(erp.vbak(spark, d))
     return files.layer_inventory(
+        spark,
         {
             "vbak_bronze": erp.vbak(spark, d),
             "vbap_bronze": erp.vbap(spark, d),
@@ -57,7 +58,7 @@ def _layers(spark, d):
             "gold_sales_kpis": gold.sales_kpis_monthly(orders),
             "vbak_gold": inputs.gold_orders(spark, d),
             "nation": erp.read_table(spark, d, "nation"),
-        }
+        },
     )
 
 

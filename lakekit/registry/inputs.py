@@ -17,6 +17,7 @@ from lakekit.sources.workspace import fresh_dir
 
 # Class limits that split the given customers over all four classes.
 CLASS_LIMITS = ((3_000_000, "A - Strategic"), (2_000_000, "B - Key Account"), (1_000_000, "C - Standard"))
+SPLIT_TIERS = ((3_000_000, "PLATINUM"), (2_000_000, "GOLD"), (1_000_000, "SILVER"))
 AS_OF_YEAR = 2003
 COMMIT_TIMES = (datetime(2024, 1, 1), datetime(2024, 2, 1), datetime(2024, 3, 1))
 CLOCK = datetime(2024, 6, 1, 8)
@@ -48,6 +49,11 @@ def customer_360(spark: SparkSession, d: str) -> DataFrame:
     return gold.customer_360(silver_customers(spark, d), erp.order_headers(spark, d))
 
 
+def tiered_customers(spark: SparkSession, d: str) -> DataFrame:
+    """Customers with tiers whose limits split the given customers."""
+    return gold.customer_360(silver_customers(spark, d), erp.order_headers(spark, d), SPLIT_TIERS)
+
+
 def monthly_kpis(spark: SparkSession, d: str) -> DataFrame:
     return gold.sales_kpis_monthly(erp.order_headers(spark, d))
 

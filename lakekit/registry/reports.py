@@ -10,7 +10,7 @@ from lakekit.functions.columns import pad_key
 
 from lakekit.operators import cleaning
 from lakekit.operators.changes import insert_new_only, latest_batch, update_where
-from lakekit.operators.joins import broadcast_if_small, join_lookup, join_master, join_validity, new_keys
+from lakekit.operators.joins import broadcast_if_small, join_facts, join_lookup, join_master, join_validity, new_keys
 from lakekit.operators.publish import access_audit
 from lakekit.operators.ranking import latest_per_key
 from lakekit.plans import finance, gold, silver, trends
@@ -60,7 +60,7 @@ def _access_log(spark, d):
 
 def _tiers_promoted(spark, d):
     return update_where(
-        inputs.customer_360(spark, d), F.col("customer_tier") == "GOLD", {"customer_tier": F.lit("PLATINUM")}
+        inputs.tiered_customers(spark, d), F.col("customer_tier") == "GOLD", {"customer_tier": F.lit("PLATINUM")}
     )
 
 
@@ -78,15 +78,15 @@ QUERIES = {
         "KUNNR",
         "_k",
     ).select("KUNNR", "total_ordenes", "revenue_total", "NAME1", "LAND1"),
-    "join_left_on_conditions": lambda s, d: inputs.silver_customers(s, d)
-    .join(
+    "join_left_on_conditions": lambda s, d: join_facts(
+        inputs.silver_customers(s, d).select(
+            "codigo_cliente", "nombre_cliente", pad_key("codigo_cliente").alias("KUNNR")
+        ),
         erp.order_headers(s, d)
         .where((F.col("NETWR") > 400_000) & F.col("ERDAT").isNotNull())
         .select("KUNNR", "VBELN", "NETWR"),
-        pad_key("codigo_cliente") == F.col("KUNNR"),
-        "left",
-    )
-    .select("codigo_cliente", "nombre_cliente", "VBELN", "NETWR"),
+        ["KUNNR"],
+    ).drop("KUNNR"),
     "join_actual_budget": lambda s, d: inputs.monthly_kpis(s, d)
     .join(inputs.budget(s, d), list(finance.BUDGET_KEYS))
     .select(*finance.BUDGET_KEYS, "total_revenue", "budget_revenue"),
@@ -132,7 +132,7 @@ QUERIES = {
     "customers_gold": inputs.gold_customers,
     "abc_distribution": lambda s, d: gold.abc_distribution(inputs.gold_customers(s, d)),
     "customer_360": inputs.customer_360,
-    "tier_rollup": lambda s, d: gold.tier_rollup(inputs.customer_360(s, d)),
+    "tier_rollup": lambda s, d: gold.tier_rollup(inputs.tiered_customers(s, d)),
     "materials_gold": inputs.gold_materials,
     "top_materials": lambda s, d: gold.top_materials(inputs.gold_materials(s, d), 10),
     "revenue_monthly": lambda s, d: gold.revenue_monthly(inputs.gold_orders(s, d)),
@@ -280,7 +280,7 @@ ORACLES = {
         {money_mean('revenue_total', 0)} AS revenue_promedio FROM kgold GROUP BY clasificacion_abc""",
     "customer_360": "SELECT * FROM c360",
     "tier_rollup": f"""SELECT customer_tier, count(*) AS num_customers, {money_sum('total_revenue')} AS revenue
-        FROM c360 GROUP BY customer_tier""",
+        FROM tiered GROUP BY customer_tier""",
     "materials_gold": "SELECT * FROM mgold",
     "top_materials": f"""SELECT descripcion_material, tipo_material,
         {rdiv(sum_cents('revenue_total'), '100', 0)} AS revenue_total,
@@ -354,7 +354,7 @@ ORACLES = {
         CASE WHEN DMBTR > 120000 THEN 'Revisar: monto muy alto' WHEN WAERK <> 'COP' THEN 'Revisar: moneda extranjera'
         ELSE 'Sin anomalías detectadas.' END AS alerta_auditoria {LINE_JOIN} WHERE DMBTR > 60000""",
     "tier_promotion_counts": """SELECT CASE customer_tier WHEN 'GOLD' THEN 'PLATINUM' ELSE customer_tier END
-        AS customer_tier, count(*) AS num_customers FROM c360 GROUP BY 1""",
+        AS customer_tier, count(*) AS num_customers FROM tiered GROUP BY 1""",
     "grant_access_audit": """SELECT ts AS event_time, event_id,
         'user' || CAST(user_id AS VARCHAR) || '@example.com' AS usuario, 'sales' AS conjunto, event_type AS tabla,
         200 AS estado FROM events WHERE event_type = 'view' AND ts >= TIMESTAMP '2024-01-24'""",

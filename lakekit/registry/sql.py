@@ -119,6 +119,9 @@ VIEWS = {
         WHEN sum(NETWR) > 50000 THEN 'SILVER' ELSE 'STANDARD' END AS customer_tier
         FROM ksilver LEFT JOIN vbak ON codigo_cliente = KUNNR AND NETWR > 0 AND ERDAT IS NOT NULL
         WHERE es_valido GROUP BY ALL""",
+    "tiered": """SELECT customer_id, total_revenue, CASE WHEN total_revenue > 3000000 THEN 'PLATINUM'
+        WHEN total_revenue > 2000000 THEN 'GOLD' WHEN total_revenue > 1000000 THEN 'SILVER' ELSE 'STANDARD' END
+        AS customer_tier FROM c360""",
     "mgold": f"""SELECT codigo_material, descripcion_material, tipo_material, categoria_material,
         {year('ERDAT')} AS anio, {month('ERDAT')} AS mes, VKORG AS org_ventas, KUNNR AS codigo_cliente,
         count(DISTINCT numero_orden) AS total_ordenes, {money_sum('cantidad')} AS unidades_vendidas,

@@ -121,6 +121,28 @@ def write_documented(df: DataFrame, path: str, comments: Mapping[str, str]) -> s
     return path
 
 
+def create_documented_table(
+    df: DataFrame, name: str, path: str, description: str, comments: Mapping[str, str], properties: Mapping[str, str]
+) -> None:
+    """Create a catalog table from a query, with a description, column comments and properties."""
+    write_documented(df, path, comments)
+    catalog = df.sparkSession.catalog
+    catalog.createTable(name, path, "parquet", with_comments(df, comments).schema, description)
+    for key, value in properties.items():
+        df.sparkSession.sql(
+            "ALTER TABLE IDENTIFIER(:name) SET TBLPROPERTIES ({key} = {value})".format(
+                key=_quoted(key), value=_quoted(value)
+            ),
+            args={"name": name},
+        )
+
+
+def _quoted(text: str) -> str:
+    """Text as a SQL string literal."""
+    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
 def column_comments(df: DataFrame) -> dict[str, str | None]:
     return {f.name: f.metadata.get("comment") for f in df.schema.fields}
 
@@ -154,27 +176,30 @@ def union_evolved(old: DataFrame, new: DataFrame) -> DataFrame:
     return old.unionByName(new, allowMissingColumns=True)
 
 
+def _rows_by_name(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Rows of every table that has any: one aggregation over all of them, of which no column is read."""
+    named = [df.select(F.lit(name).alias("name")) for name, df in tables.items()]
+    return reduce(DataFrame.unionAll, named).groupBy("name").agg(F.count(F.lit(1)).alias("num_rows"))
+
+
 def source_inventory(spark: SparkSession, sources: Mapping[str, Callable[[], DataFrame]]) -> DataFrame:
     """One row per source: rows, columns and state. A source that cannot be read is a row, not a failure."""
-    schema = "source string, num_rows bigint, num_columns int, status string"
-    found: list[DataFrame] = []
-    missing: list[tuple] = []
+    found: dict[str, DataFrame] = {}
     for name, read in sources.items():
         try:
-            df = read()
+            found[name] = read()
         except AnalysisException:
-            missing.append((name, None, None, "missing"))
             continue
-        found.append(
-            df.agg(F.count(F.lit(1)).alias("num_rows")).select(
-                F.lit(name).alias("source"),
-                "num_rows",
-                F.lit(len(df.columns)).alias("num_columns"),
-                F.lit("ok").alias("status"),
-            )
-        )
-    parts = found + ([spark.createDataFrame(missing, schema)] if missing else [])
-    return reduce(DataFrame.unionByName, parts)
+    listed = [(name, len(found[name].columns) if name in found else None) for name in sources]
+    states = spark.createDataFrame(listed, "name string, num_columns int")
+    ok = F.col("num_columns").isNotNull()
+    counted = states.join(_rows_by_name(found), "name", "left") if found else states.withColumn("num_rows", F.lit(0))
+    return counted.select(
+        F.col("name").alias("source"),
+        F.when(ok, F.coalesce("num_rows", F.lit(0))).cast("bigint").alias("num_rows"),
+        "num_columns",
+        F.when(ok, "ok").otherwise("missing").alias("status"),
+    )
 
 
 def layer_of(name: str) -> str:
@@ -189,21 +214,17 @@ def layer_of(name: str) -> str:
     return "OTHER"
 
 
-def layer_inventory(tables: Mapping[str, DataFrame]) -> DataFrame:
+def layer_inventory(spark: SparkSession, tables: Mapping[str, DataFrame]) -> DataFrame:
     """One row per table with its layer and rows, one per layer, and one for everything."""
-    counted = [
-        df.agg(F.count(F.lit(1)).alias("num_rows")).select(
-            F.lit(layer_of(name)).alias("layer"), F.lit(name).alias("table_name"), "num_rows"
-        )
-        for name, df in tables.items()
-    ]
+    listed = spark.createDataFrame([(layer_of(n), n) for n in tables], "layer string, name string")
     return (
-        reduce(DataFrame.unionByName, counted)
-        .rollup("layer", "table_name")
+        listed.join(_rows_by_name(tables), "name", "left")
+        .fillna(0, subset=["num_rows"])
+        .rollup("layer", "name")
         .agg(F.sum("num_rows").alias("num_rows"), F.count(F.lit(1)).alias("num_tables"))
         .select(
             F.coalesce("layer", F.lit("ALL")).alias("layer"),
-            F.coalesce("table_name", F.lit("ALL")).alias("table_name"),
+            F.coalesce("name", F.lit("ALL")).alias("table_name"),
             "num_rows",
             "num_tables",
         )

@@ -169,3 +169,25 @@ def test_binary_content_on_request(spark, tmp_path):
     put(tmp_path / "in", "x.bin", "abc")
     assert "content" not in files.binary_files(spark, str(tmp_path / "in")).columns
     assert bytes(files.binary_files(spark, str(tmp_path / "in"), content=True).first().content) == b"abc"
+
+
+def test_catalog_table_with_comments(spark, tmp_path):
+    files.create_documented_table(
+        spark.range(3), "documented_orders", str(tmp_path / "t"), "Orders", {"id": "a key"}, {"layer": "gold", "team": "o'x"}
+    )
+    try:
+        assert spark.table("documented_orders").count() == 3
+        assert {c.name: c.description for c in spark.catalog.listColumns("documented_orders")} == {"id": "a key"}
+        described = {r.col_name: r.data_type for r in spark.sql("DESCRIBE EXTENDED documented_orders").collect()}
+        assert described["Comment"] == "Orders"
+        assert "layer=gold" in described["Table Properties"] and "team=o'x" in described["Table Properties"]
+        assert "documented_orders" in files.catalog_tables(spark)
+    finally:
+        spark.sql("DROP TABLE documented_orders")
+
+
+def test_empty_tables_are_counted(spark):
+    report = files.source_inventory(spark, {"none": lambda: spark.range(0).toDF("id")})
+    assert rows(report) == [("none", 0, 1, "ok")]
+    layers = files.layer_inventory(spark, {"a_bronze": spark.range(0).toDF("id"), "b_bronze": spark.range(2).toDF("id")})
+    assert rows(layers.where("table_name = 'ALL' and layer <> 'ALL'")) == [("BRONZE", "ALL", 2, 2)]

@@ -210,3 +210,9 @@ def test_published_columns_are_an_allow_list(spark, tmp_path):
     assert rows(publish.consume_published(spark, str(tmp_path), "customers.masked")) == [("1", "Cus***", "CO")]
     with pytest.raises(ValueError):
         publish.alias_path("x", "nodomain")
+
+
+def test_left_join_to_facts_keeps_all_masters(spark):
+    master = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "k int, n string")
+    facts = spark.createDataFrame([(1, 10), (1, 11), (3, 12), (9, 13)], "k int, v int")
+    assert rows(joins.join_facts(master, facts, ["k"])) == rows(master.join(facts, "k", "left"))
