@@ -53,11 +53,24 @@ def files_needed(spark: SparkSession, path: str, target_mb: int = TARGET_FILE_MB
     return max(1, ceil(size / (target_mb * MB)))
 
 
-def compact_files(spark: SparkSession, path: str, new_path: str, target_mb: int = TARGET_FILE_MB) -> int:
-    """Rewrite a table into files near the target size, in a new place; returns the number of tasks that write."""
-    parts = files_needed(spark, path, target_mb)
-    spark.read.parquet(path).repartition(parts).write.mode("errorifexists").parquet(new_path)
-    return parts
+def compact_files(
+    spark: SparkSession,
+    path: str,
+    new_path: str,
+    partition_by: Sequence[str] = (),
+    target_mb: int = TARGET_FILE_MB,
+) -> None:
+    """Rewrite a table into files near the target size, in a new place.
+
+    A partitioned table keeps its folders: rows are rebalanced by partition value, which gathers small values and
+    splits large ones. An unpartitioned one is dealt out evenly.
+    """
+    table = spark.read.parquet(path)
+    if partition_by:
+        table = table.hint("rebalance", *[F.col(c) for c in partition_by])
+    else:
+        table = table.repartition(files_needed(spark, path, target_mb))
+    table.write.mode("errorifexists").partitionBy(*partition_by).parquet(new_path)
 
 
 def cluster_layout(df: DataFrame, path: str, columns: Sequence[str], files: int | None = None) -> str:

@@ -7,14 +7,18 @@ from pyspark.sql import functions as F
 from lakekit.operators import changes, layout, publish
 from lakekit.registry import inputs
 from lakekit.sources import erp
-from lakekit.sources.files import write_partitioned
 from lakekit.sources.workspace import fresh_dir
 
 
 def _many_files(spark, d) -> str:
-    """Orders written month by month: many small files."""
+    """Orders appended channel by channel to monthly folders: several small files in each."""
+    path = fresh_dir(spark, "many-files")
     monthly = erp.order_headers(spark, d).withColumn("period", F.date_format("ERDAT", "yyyy-MM"))
-    return write_partitioned(monthly, fresh_dir(spark, "many-files"), "period")
+    for channel in ("F", "O", "P"):
+        monthly.where(F.col("VTWEG") == channel).hint("rebalance", F.col("period")).write.mode("append").partitionBy(
+            "period"
+        ).parquet(path)
+    return path
 
 
 def _file_health(spark, d):
@@ -25,7 +29,7 @@ def _file_health(spark, d):
 
 def _compacted(spark, d):
     old, new = _many_files(spark, d), fresh_dir(spark, "compacted")
-    layout.compact_files(spark, old, new)
+    layout.compact_files(spark, old, new, ["period"])
     before, after = (layout.table_files(spark, p).agg(F.count(F.lit(1))).scalar() for p in (old, new))
     rows = [
         spark.read.parquet(path).agg(F.count(F.lit(1)).alias("num_rows")).select(F.lit(stage).alias("stage"), "num_rows")

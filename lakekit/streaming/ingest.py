@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 RESCUED = "_rescued_data"
+RAGGED = "_corrupt_record"
 # Files per micro-batch: bounds the list of names that one batch brings to the driver.
 FILES_PER_BATCH = 10_000
 
@@ -30,9 +31,8 @@ def write_batch(df: DataFrame, target: str, batch_id: int) -> None:
 
 def read_batches(spark: SparkSession, target: str, schema: T.StructType | None = None) -> DataFrame:
     """All rows ingested so far, with their batch number."""
-    reader = spark.read.option("basePath", target)
     try:
-        return reader.option("mergeSchema", True).parquet(target)
+        return spark.read.option("basePath", target).parquet(target)
     except AnalysisException:
         if schema is None:
             raise
@@ -40,7 +40,7 @@ def read_batches(spark: SparkSession, target: str, schema: T.StructType | None =
 
 
 def _header(line: str, separator: str) -> tuple[str, ...]:
-    return tuple(next(csv.reader([line.lstrip("﻿")], delimiter=separator)))
+    return tuple(next(csv.reader([line.lstrip("\ufeff")], delimiter=separator)))
 
 
 def files_by_header(spark: SparkSession, paths: list[str], separator: str = ",") -> dict[tuple[str, ...], list[str]]:
@@ -72,8 +72,8 @@ def rescue_unknown(
 ) -> DataFrame:
     """CSV files read by column name into a fixed schema.
 
-    Columns the schema does not know, and values that cannot be cast, go to a JSON text in `_rescued_data`; it is
-    NULL for rows that fit. Missing columns are NULL.
+    Columns the schema does not know, values that cannot be cast, and whole lines with more or fewer values than
+    their header go to a JSON text in `_rescued_data`; it is NULL for rows that fit. Missing columns are NULL.
     """
     parts = [
         _rescue_group(spark, files, header, schema, separator)
@@ -86,8 +86,14 @@ def _rescue_group(
     spark: SparkSession, files: list[str], header: tuple[str, ...], schema: T.StructType, separator: str
 ) -> DataFrame:
     known = {f.name: f.dataType for f in schema.fields}
-    as_text = T.StructType([T.StructField(name, T.StringType()) for name in header])
-    raw = spark.read.schema(as_text).option("header", True).option("sep", separator).csv(files)
+    as_text = T.StructType([T.StructField(name, T.StringType()) for name in (*header, RAGGED)])
+    raw = (
+        spark.read.schema(as_text)
+        .option("header", True)
+        .option("sep", separator)
+        .option("columnNameOfCorruptRecord", RAGGED)
+        .csv(files)
+    )
 
     def column(name: str) -> Column:
         return F.col(f"`{name}`")
@@ -103,7 +109,7 @@ def _rescue_group(
         elif not isinstance(known[name], T.StringType):
             lost = column(name).isNotNull() & column(name).try_cast(known[name]).isNull()
             rescued.append(F.when(lost, column(name)).alias(name))
-    leftovers = F.nullif(F.to_json(F.struct(*rescued)), F.lit("{}")) if rescued else F.lit(None).cast("string")
+    leftovers = F.nullif(F.to_json(F.struct(*rescued, column(RAGGED))), F.lit("{}"))
     return raw.select(
         *typed,
         leftovers.alias(RESCUED),

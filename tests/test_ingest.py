@@ -191,3 +191,41 @@ def test_empty_tables_are_counted(spark):
     assert rows(report) == [("none", 0, 1, "ok")]
     layers = files.layer_inventory(spark, {"a_bronze": spark.range(0).toDF("id"), "b_bronze": spark.range(2).toDF("id")})
     assert rows(layers.where("table_name = 'ALL' and layer <> 'ALL'")) == [("BRONZE", "ALL", 2, 2)]
+
+
+def test_ragged_lines_are_rescued_whole(spark, tmp_path):
+    long, short = order(1).strip() + ",EXTRA\n", "0000000002,20240101\n"
+    put(tmp_path, "a.csv", HEADER + long + short + order(3))
+    found = {r.VBELN: r for r in rescue_unknown(spark, [str(tmp_path / "a.csv")], VBAK).collect()}
+    assert "EXTRA" in found["0000000001"][RESCUED] and found["0000000001"].NETWR == 500.5
+    assert found["0000000002"][RESCUED] is not None and found["0000000002"].AUART is None
+    assert found["0000000003"][RESCUED] is None
+
+
+class _Session:
+    """As much of a session as naming a work folder needs."""
+
+    def __init__(self, master, named=None):
+        self.conf = {"spark.checkpoint.dir": named} if named else {}
+        self.sparkContext = self
+        self.master = master
+
+    def getCheckpointDir(self):
+        return None
+
+
+def test_work_folders_follow_the_session():
+    from lakekit.sources.workspace import fresh_dir
+
+    session = _Session("spark://cluster:7077", "s3a://bucket/checkpoints/")
+    first, second = fresh_dir(session, "run"), fresh_dir(session, "run")
+    assert first.startswith("s3a://bucket/checkpoints/lakekit/run-") and first != second
+
+
+def test_no_local_folder_on_a_cluster():
+    import pytest
+
+    from lakekit.sources.workspace import fresh_dir
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        fresh_dir(_Session("spark://cluster:7077"), "run")

@@ -186,9 +186,14 @@ def test_compaction_and_clustering_keep_rows(spark, tmp_path):
     df.repartition(60).write.parquet(str(tmp_path / "small"))
     health = layout.file_health(spark, {"small": str(tmp_path / "small")}).first()
     assert health.num_files == 60 and health.small_files
-    assert layout.compact_files(spark, str(tmp_path / "small"), str(tmp_path / "big")) == 1
+    layout.compact_files(spark, str(tmp_path / "small"), str(tmp_path / "big"))
     assert rows(spark.read.parquet(str(tmp_path / "big"))) == rows(df)
     assert layout.table_files(spark, str(tmp_path / "big")).count() == 1
+    for _ in range(4):
+        df.write.mode("append").partitionBy("g").parquet(str(tmp_path / "parts"))
+    layout.compact_files(spark, str(tmp_path / "parts"), str(tmp_path / "whole"), ["g"])
+    assert layout.table_files(spark, str(tmp_path / "whole")).count() == 3
+    assert spark.read.parquet(str(tmp_path / "whole")).count() == 1200
     layout.cluster_layout(df, str(tmp_path / "clustered"), ["g"], files=4)
     assert rows(spark.read.parquet(str(tmp_path / "clustered"))) == rows(df)
     with pytest.raises(ValueError):
