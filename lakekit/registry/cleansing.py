@@ -124,7 +124,7 @@ PROFILE = """profile AS (SELECT lpad(CAST(c_custkey AS VARCHAR), 10, '0') AS cus
     CASE WHEN c_nationkey % 5 = 0 THEN NULL ELSE CAST(c_nationkey AS VARCHAR) END AS area, c_acctbal FROM customer)"""
 GAPPY = """gappy AS (SELECT KUNNR, CASE WHEN LAND1 LIKE '%7' THEN '  ' ELSE ' ' || NAME1 END AS NAME1,
     CASE WHEN BRSCH = 'MACHINERY' THEN NULL ELSE lower(LAND1) END AS LAND1, ORT01, BRSCH, KTOKD FROM kna1)"""
-VALID = "NOT (trim(NAME1) = '' OR LAND1 IS NULL OR trim(LAND1) = '')"
+VALID = "NOT (NAME1 IS NULL OR trim(NAME1) = '' OR LAND1 IS NULL OR trim(LAND1) = '')"
 
 ORACLES = {
     "parse_yyyymmdd": """WITH raw AS (SELECT VBELN, CASE WHEN isodow(ERDAT) >= 6 THEN '00000000'
@@ -135,7 +135,7 @@ ORACLES = {
     "orders_silver": "SELECT * FROM vbak",
     "orders_gold": "SELECT * FROM vgold",
     "orders_checked": f"""SELECT VBELN, ERDAT, KUNNR, VKORG, VTWEG, SPART, NETWR, WAERK, upper(trim(AUART)) AS AUART,
-        {year('ERDAT')} AS YEAR, {month('ERDAT')} AS MONTH, NETWR > 0 AS _is_valid FROM vbak""",
+        {year('ERDAT')} AS YEAR, {month('ERDAT')} AS MONTH, coalesce(NETWR > 0, FALSE) AND KUNNR IS NOT NULL AS _is_valid FROM vbak""",
     "customers_silver": f"""WITH {GAPPY} SELECT KUNNR AS codigo_cliente, trim(NAME1) AS nombre_cliente,
         upper(trim(LAND1)) AS pais, trim(ORT01) AS ciudad, trim(BRSCH) AS sector_industria,
         trim(KTOKD) AS grupo_cuentas, {VALID} AS es_valido FROM gappy""",
@@ -143,7 +143,7 @@ ORACLES = {
     "accounting_silver": """SELECT BUKRS, BELNR, GJAHR, BLDAT, BUDAT, BLART, WAERK, upper(trim(USNAM)) AS USNAM,
         trim(BKTXT) AS BKTXT, CAST(strptime(BLDAT, '%Y%m%d') AS DATE) AS BLDAT_DT,
         CAST(strptime(BUDAT, '%Y%m%d') AS DATE) AS BUDAT_DT, TRUE AS _is_valid FROM bkpf""",
-    "validity_flag": """SELECT c_custkey, c_acctbal > 0 AND trim(c_mktsegment) <> '' AS es_valido FROM customer""",
+    "validity_flag": """SELECT c_custkey, coalesce(c_acctbal > 0 AND trim(c_mktsegment) <> '', FALSE) AS es_valido FROM customer""",
     "validity_counts": f"""WITH {GAPPY} SELECT count(*) AS total_rows, count(*) FILTER (WHERE {VALID}) AS valid_rows,
         count(*) FILTER (WHERE NOT ({VALID})) AS invalid_rows,
         100 * count(*) FILTER (WHERE {VALID}) // count(*) AS valid_percent FROM gappy""",
@@ -165,7 +165,7 @@ ORACLES = {
     "add_constant_columns": """SELECT BUKRS, BELNR, GJAHR, 'CC001' AS KOSTL, 'SEG01' AS SEGMENT, '100' AS MANDT
         FROM bkpf""",
     "select_except": "SELECT * EXCLUDE (SPART, WAERK) FROM vbak",
-    "compose_text": """SELECT BELNR, 'Sociedad=' || BUKRS || ', Clase documento=' || BLART || ', Moneda=' || WAERK ||
+    "compose_text": """SELECT BELNR, 'Sociedad=' || BUKRS || ', Clase documento=' || coalesce(BLART, 'N/A') || ', Moneda=' || WAERK ||
         ', Año=' || CAST(GJAHR AS VARCHAR) AS texto FROM bkpf""",
     "add_column_backfill": """SELECT d.doc_id, coalesce(quality, -1) AS quality
         FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id""",

@@ -349,7 +349,7 @@ ORACLES = {
         {money_sum('value')} AS revenue_total, {money_mean('value')} AS ticket_promedio,
         {money_mean('length(event_type)')} AS distancia_promedio FROM events GROUP BY 1, 2, 3""",
     "high_value_documents": f"""SELECT h.BUKRS, h.BELNR, h.GJAHR, BUZEI, BLART, WAERK, DMBTR AS monto,
-        'Sociedad=' || h.BUKRS || ', Clase documento=' || BLART || ', Moneda=' || WAERK || ', Monto=' ||
+        'Sociedad=' || h.BUKRS || ', Clase documento=' || coalesce(BLART, 'N/A') || ', Moneda=' || WAERK || ', Monto=' ||
         CAST(CAST(DMBTR AS DECIMAL(18,2)) AS VARCHAR) AS descripcion,
         CASE WHEN DMBTR > 120000 THEN 'Revisar: monto muy alto' WHEN WAERK <> 'COP' THEN 'Revisar: moneda extranjera'
         ELSE 'Sin anomalías detectadas.' END AS alerta_auditoria {LINE_JOIN} WHERE DMBTR > 60000""",
@@ -383,7 +383,8 @@ ORACLES = {
               WINDOW w AS (PARTITION BY org_ventas ORDER BY anio, mes ROWS 2 PRECEDING))""",
     "rfm_segments": f"""WITH base AS (SELECT KUNNR,
             CAST(datediff('day', max(ERDAT), DATE '2001-12-31') AS INTEGER) AS recency_days,
-            count(DISTINCT VBELN) AS frequency, {sum_cents('NETWR')} AS c FROM vbak GROUP BY KUNNR),
+            count(DISTINCT VBELN) AS frequency, {sum_cents('NETWR')} AS c FROM vbak
+            WHERE ERDAT IS NOT NULL GROUP BY KUNNR),
         scored AS (SELECT KUNNR, recency_days, frequency, CAST(c AS DOUBLE) / 100 AS monetary,
             CAST(ntile(5) OVER (ORDER BY recency_days DESC, KUNNR) AS INTEGER) AS r_score,
             CAST(ntile(5) OVER (ORDER BY frequency, KUNNR) AS INTEGER) AS f_score,

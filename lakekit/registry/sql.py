@@ -77,7 +77,7 @@ VIEWS = {
     "vgold": f"""SELECT VBELN AS numero_orden, ERDAT AS fecha_creacion, KUNNR AS codigo_cliente, VKORG AS org_ventas,
         VTWEG AS canal_distribucion, SPART AS division, WAERK AS moneda, AUART AS tipo_orden, NETWR AS valor_neto,
         {year('ERDAT')} AS anio_creacion, {month('ERDAT')} AS mes_creacion,
-        AUART IN ('4-NOT SPECIFIED', '5-LOW') AS es_devolucion FROM vbak""",
+        coalesce(AUART IN ('4-NOT SPECIFIED', '5-LOW'), FALSE) AS es_devolucion FROM vbak""",
     "ksilver": """SELECT KUNNR AS codigo_cliente, trim(NAME1) AS nombre_cliente, upper(trim(LAND1)) AS pais,
         trim(ORT01) AS ciudad, trim(BRSCH) AS sector_industria, trim(KTOKD) AS grupo_cuentas,
         NOT (NAME1 IS NULL OR trim(NAME1) = '' OR LAND1 IS NULL OR trim(LAND1) = '') AS es_valido
@@ -86,10 +86,10 @@ VIEWS = {
         trim(MAKTX) AS descripcion_material, MTART AS tipo_material, MATKL AS categoria_material,
         KWMENG AS cantidad, NETWR AS valor_neto, WAERK AS moneda,
         NETWR IS NOT NULL AND NETWR > 0 AND KWMENG IS NOT NULL AND KWMENG > 0 AS es_valido
-        FROM vbap p LEFT JOIN mara m ON p.MATNR = m.MATNR""",
+        FROM vbap p LEFT JOIN mara m ON p.MATNR = m.MATNR WHERE VBELN IS NOT NULL AND p.MATNR IS NOT NULL""",
     "metrics": f"""SELECT KUNNR, count(DISTINCT VBELN) AS total_ordenes, {money_sum('NETWR')} AS revenue_total,
         {money_mean('NETWR')} AS ticket_promedio, min({year('ERDAT')}) AS primer_anio,
-        max({year('ERDAT')}) AS ultimo_anio FROM vbak GROUP BY KUNNR""",
+        max({year('ERDAT')}) AS ultimo_anio FROM vbak WHERE ERDAT IS NOT NULL GROUP BY KUNNR""",
     "abc": """SELECT m.*, NAME1 AS nombre_cliente, LAND1 AS pais, ORT01 AS ciudad,
         CASE WHEN revenue_total > 1000000 THEN 'A - Strategic' WHEN revenue_total > 500000 THEN 'B - Key Account'
         WHEN revenue_total > 100000 THEN 'C - Standard' ELSE 'D - Small' END AS clasificacion_abc
@@ -126,21 +126,22 @@ VIEWS = {
         {year('ERDAT')} AS anio, {month('ERDAT')} AS mes, VKORG AS org_ventas, KUNNR AS codigo_cliente,
         count(DISTINCT numero_orden) AS total_ordenes, {money_sum('cantidad')} AS unidades_vendidas,
         {money_sum('valor_neto')} AS revenue_total, strftime(min(ERDAT), '%Y-%m') AS periodo
-        FROM lsilver JOIN vbak ON numero_orden = VBELN WHERE es_valido
+        FROM lsilver JOIN vbak ON numero_orden = VBELN WHERE es_valido AND ERDAT IS NOT NULL
         GROUP BY codigo_material, descripcion_material, tipo_material, categoria_material, year(ERDAT), month(ERDAT),
         VKORG, KUNNR""",
     "kpis": f"""SELECT {year('ERDAT')} AS year, {month('ERDAT')} AS month, VKORG AS sales_org, WAERK AS currency,
         count(DISTINCT VBELN) AS num_orders, count(DISTINCT KUNNR) AS num_customers,
         {money_sum('NETWR')} AS total_revenue, {money_mean('NETWR')} AS avg_order_value,
         max(NETWR) AS max_order_value, min(NETWR) AS min_order_value
-        FROM vbak WHERE NETWR > 0 GROUP BY ALL""",
+        FROM vbak WHERE NETWR > 0 AND ERDAT IS NOT NULL GROUP BY ALL""",
     "monthly": f"""SELECT VKORG AS org_ventas, {year('ERDAT')} AS anio, {month('ERDAT')} AS mes,
-        {sum_cents('NETWR')} AS c, count(DISTINCT VBELN) AS num_ordenes FROM vbak GROUP BY ALL""",
+        {sum_cents('NETWR')} AS c, count(DISTINCT VBELN) AS num_ordenes FROM vbak
+        WHERE ERDAT IS NOT NULL GROUP BY ALL""",
     "usage": """SELECT CAST(ts AS DATE) AS usage_date, ts AS usage_start_time, event_type AS sku_name,
         'product-' || event_type AS billing_origin_product,
         CASE WHEN event_type IN ('error', 'signup') THEN 'DSU' ELSE 'DBU' END AS usage_unit, value AS usage_quantity,
-        CASE WHEN CAST(regexp_extract(props, '[0-9]+') AS INTEGER) < 50
-             THEN 'p' || CAST(CAST(regexp_extract(props, '[0-9]+') AS INTEGER) % 10 AS VARCHAR) END AS tag
+        CASE WHEN TRY_CAST(regexp_extract(props, '[0-9]+') AS INTEGER) < 50
+             THEN 'p' || CAST(TRY_CAST(regexp_extract(props, '[0-9]+') AS INTEGER) % 10 AS VARCHAR) END AS tag
         FROM events""",
     "hist0": "SELECT c_custkey, c_mktsegment, c_acctbal FROM customer",
     "hist1": """SELECT c_custkey, CASE WHEN c_mktsegment = 'BUILDING' THEN 'XXX' ELSE c_mktsegment END AS c_mktsegment,
