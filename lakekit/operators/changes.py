@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -70,10 +71,14 @@ def merge_accumulate(
     """Add a batch's counts and amounts to the groups of the target and derive the mean again.
 
     Amounts are added in cents. The mean is (old amount + new amount) / (old count + new count). Groups the target lacks are added; columns of
-    the target that the batch does not know are NULL there and unchanged elsewhere.
+    the target that the batch does not know are NULL there and unchanged elsewhere. A NULL in a key is a group of its
+    own, as in the aggregation that made the batch.
     """
-    added = batch.select(*keys, F.col(count).alias("_count"), F.col(amount).alias("_amount"))
-    both = target.join(added, list(keys), "full")
+    added = batch.select(
+        *[F.col(k).alias(f"_key_{k}") for k in keys], F.col(count).alias("_count"), F.col(amount).alias("_amount")
+    )
+    same_group = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys))
+    both = target.join(added, same_group, "full")
     rows = F.when(F.col("_count").isNull(), F.col(count)).otherwise(
         F.coalesce(F.col(count), F.lit(0)) + F.col("_count")
     )
@@ -82,7 +87,8 @@ def merge_accumulate(
     averaged = F.when(F.col("_count").isNull(), F.col(mean)).otherwise(
         F.when(rows > 0, total / rows).otherwise(F.lit(0.0))
     )
-    new = {count: rows, amount: total, mean: averaged}
+    group = {k: F.when(F.col("_count").isNull(), F.col(k)).otherwise(F.col(f"_key_{k}")) for k in keys}
+    new = {count: rows, amount: total, mean: averaged, **group}
     return both.select(*[new[c].alias(c) if c in new else F.col(c) for c in target.columns])
 
 

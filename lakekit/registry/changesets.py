@@ -137,16 +137,20 @@ ORACLES = {
             VKORG AS sales_org, WAERK AS currency, count(DISTINCT KUNNR) AS num_customers,
             max(NETWR) AS max_order_value, min(NETWR) AS min_order_value, count(*) AS n, {sum_cents('NETWR')} AS c,
             {rdiv(sum_cents('NETWR'), '(100 * count(*))', 2)} AS m
-            FROM vbak WHERE ERDAT < DATE '1999-06-15' GROUP BY 1, 2, 3, 4),
+            FROM vbak WHERE ERDAT < DATE '1999-06-15' AND NETWR > 0 GROUP BY 1, 2, 3, 4),
         new AS (SELECT {year('ERDAT')} AS year, {month('ERDAT')} AS month, VKORG AS sales_org, WAERK AS currency,
             count(*) AS nn, {sum_cents('NETWR')} AS nc FROM vbak WHERE ERDAT >= DATE '1999-06-15' GROUP BY 1, 2, 3, 4)
         SELECT year, month, sales_org, currency, coalesce(n, 0) + coalesce(nn, 0) AS num_orders, num_customers,
-            CAST(coalesce(c, 0) + coalesce(nc, 0) AS DOUBLE) / 100 AS total_revenue,
-            CASE WHEN nn IS NULL THEN m ELSE CAST(coalesce(c, 0) + coalesce(nc, 0) AS DOUBLE) / 100
+            CAST(coalesce(c + nc, c, nc) AS DOUBLE) / 100 AS total_revenue,
+            CASE WHEN nn IS NULL THEN m ELSE CAST(coalesce(c + nc, c, nc) AS DOUBLE) / 100
                 / (coalesce(n, 0) + coalesce(nn, 0)) END AS avg_order_value,
             max_order_value, min_order_value
-        FROM old FULL JOIN new USING (year, month, sales_org, currency)""",
-    "merge_changes": """SELECT * FROM hist2 UNION ALL SELECT * FROM hist1 WHERE c_acctbal < 0""",
+        FROM (SELECT coalesce(o.year, w.year) AS year, coalesce(o.month, w.month) AS month,
+            coalesce(o.sales_org, w.sales_org) AS sales_org, coalesce(o.currency, w.currency) AS currency,
+            num_customers, max_order_value, min_order_value, n, c, m, nn, nc
+            FROM old o FULL JOIN new w ON o.year = w.year AND o.month = w.month
+            AND o.sales_org IS NOT DISTINCT FROM w.sales_org AND o.currency = w.currency)""",
+    "merge_changes": """SELECT * FROM hist2 UNION ALL SELECT * FROM hist1 WHERE NOT coalesce(c_acctbal >= 0, FALSE)""",
     "insert_new_only": "SELECT * FROM hist2 WHERE c_custkey NOT IN (SELECT c_custkey FROM hist0)",
     "update_where": """SELECT c_custkey, CASE WHEN c_mktsegment = 'BUILDING' THEN 'DATO_INCORRECTO'
         ELSE c_mktsegment END AS c_mktsegment, CASE WHEN c_mktsegment = 'BUILDING' THEN c_acctbal * 2

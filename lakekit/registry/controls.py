@@ -72,8 +72,8 @@ QUERIES = {
     "incremental_load_chain": _chained,
 }
 
-FAILED = """concat_ws(',', CASE WHEN NOT value > 5 THEN 'value_large' END,
-    CASE WHEN NOT value < 250 THEN 'value_plausible' END, CASE WHEN event_type = 'error' THEN 'no_error' END)"""
+FAILED = """concat_ws(',', CASE WHEN (value > 5) IS NOT TRUE THEN 'value_large' END,
+    CASE WHEN (value < 250) IS NOT TRUE THEN 'value_plausible' END, CASE WHEN event_type = 'error' THEN 'no_error' END)"""
 
 ORACLES = {
     "expect_warn": "SELECT event_id, event_type, value FROM events",
@@ -81,9 +81,9 @@ ORACLES = {
         WHERE value > 5 AND value < 250 AND event_type <> 'error'""",
     "expect_fail": "SELECT event_id, event_type, value FROM events WHERE value >= 0",
     "expectation_metrics": """SELECT 'value_large' AS rule, count(*) FILTER (WHERE value > 5) AS passed,
-            count(*) FILTER (WHERE NOT value > 5) AS failed FROM events
+            count(*) FILTER (WHERE (value > 5) IS NOT TRUE) AS failed FROM events
         UNION ALL SELECT 'value_plausible', count(*) FILTER (WHERE value < 250),
-            count(*) FILTER (WHERE NOT value < 250) FROM events
+            count(*) FILTER (WHERE (value < 250) IS NOT TRUE) FROM events
         UNION ALL SELECT 'no_error', count(*) FILTER (WHERE event_type <> 'error'),
             count(*) FILTER (WHERE event_type = 'error') FROM events""",
     "quarantine_split": f"SELECT event_id, event_type, value, {FAILED} AS failed FROM events",
@@ -93,8 +93,9 @@ ORACLES = {
     "stream_bronze_silver_gold": f"""SELECT user_id AS zone, {year('ts')} AS year, {month('ts')} AS month,
         count(*) AS num_facts, {money_sum('value')} AS revenue_total, {money_mean('value')} AS ticket_promedio,
         {money_mean('length(event_type)')} AS distancia_promedio
-        FROM events WHERE event_type <> 'error' GROUP BY 1, 2, 3""",
+        FROM events WHERE event_type <> 'error' AND user_id IS NOT NULL GROUP BY 1, 2, 3""",
     "incremental_load_chain": f"""SELECT {year('ERDAT')} AS year, {month('ERDAT')} AS month, VKORG AS sales_org,
         WAERK AS currency, count(*) AS num_orders, {money_sum('NETWR')} AS total_revenue,
-        {money_sum('NETWR')} / count(*) AS avg_order_value FROM vbak GROUP BY 1, 2, 3, 4""",
+        {money_sum('NETWR')} / count(*) AS avg_order_value
+        FROM vbak WHERE AUART IS NOT NULL GROUP BY 1, 2, 3, 4""",
 }

@@ -247,7 +247,7 @@ ORACLES = {
         count(DISTINCT l_orderkey) AS orders FROM lineitem""",
     "rescue_unknown": f"""SELECT *, NULL AS _rescued_data FROM ({TEXT_ORDERS}) WHERE VTWEG <> 'F'
         UNION ALL SELECT VBELN, ERDAT, KUNNR, NULL, NULL, NULL,
-            CASE WHEN AUART <> '1-URGENT' THEN NETWR END, WAERK, AUART,
+            CASE WHEN AUART IS DISTINCT FROM '1-URGENT' THEN NETWR END, WAERK, AUART,
             CASE WHEN AUART = '1-URGENT' THEN '{{"NETWR":"n/a","ZZREGION_NUEVA":"' ELSE '{{"ZZREGION_NUEVA":"' END
             || SPART || '"}}' FROM ({TEXT_ORDERS}) WHERE VTWEG = 'F'""",
     "rescue_monitor": """SELECT count(*) AS total_rows, count(*) FILTER (WHERE VTWEG = 'F') AS rescued_rows

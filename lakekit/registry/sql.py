@@ -19,11 +19,11 @@ def money_sum(x: str) -> str:
 
 
 def rdiv(numerator: str, denominator: str, digits: int) -> str:
-    """Integer ratio rounded half away from zero; NULL for a zero denominator. The denominator is positive."""
+    """Integer ratio rounded half away from zero; NULL for a zero denominator."""
     scale = 10**digits
     n, d = f"CAST({numerator} AS HUGEINT)", f"NULLIF(CAST({denominator} AS HUGEINT), 0)"
-    quotient = f"((2 * abs({n}) * {scale} + {d}) // (2 * {d}))"
-    return f"(CAST((CASE WHEN {n} < 0 THEN -1 ELSE 1 END) * {quotient} AS DOUBLE) / {scale})"
+    quotient = f"((2 * abs({n}) * {scale} + abs({d})) // (2 * abs({d})))"
+    return f"(CAST((CASE WHEN ({n} < 0) <> ({d} < 0) THEN -1 ELSE 1 END) * {quotient} AS DOUBLE) / {scale})"
 
 
 def money_mean(x: str, digits: int = 2) -> str:

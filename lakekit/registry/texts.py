@@ -39,7 +39,7 @@ def _size_classes(spark, d):
 
     def load_model():
         def score(texts: pd.Series) -> pd.Series:
-            return "size " + (texts.str.len() // 1000).astype(str)
+            return "size " + (texts.str.len().astype("Int64") // 1000).astype("string")
 
         return score
 
@@ -155,7 +155,8 @@ ORACLES = {
         regexp_split_to_array(trim(p_name || '  ' || p_type), '\\s+')[1:3],
         lambda w: upper(w[1]) || lower(w[2:])), ' ') AS name FROM part""",
     "customer_brief": """SELECT KUNNR, nombre_cliente, pais, revenue_total, total_ordenes, clasificacion_abc,
-        'Cliente=' || nombre_cliente || ', País=' || pais || ', Ciudad=' || ciudad || ', Revenue total=' ||
+        'Cliente=' || coalesce(nombre_cliente, 'N/A') || ', País=' || coalesce(pais, 'N/A') || ', Ciudad=' ||
+        coalesce(ciudad, 'N/A') || ', Revenue total=' ||
         CAST(CAST(round(revenue_total) AS BIGINT) AS VARCHAR) || ', Órdenes=' || CAST(total_ordenes AS VARCHAR) ||
         ', Clasificación=' || clasificacion_abc || ', Ticket promedio=' ||
         CAST(CAST(round(ticket_promedio) AS BIGINT) AS VARCHAR) AS resumen_ejecutivo
