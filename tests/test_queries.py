@@ -7,8 +7,10 @@ import oracle
 import pytest
 from conftest import executed_plan
 
-QUERIES = driver.queries()
-SQL = driver.oracle_sql()
+from lakekit import registry
+
+QUERIES = registry.queries()
+SQL = registry.oracle_sql()
 # Operators whose result SQL cannot state: random draws, file sizes, iterative models.
 WITHOUT_SQL = {"random_sample", "binary_files", "file_health", "cluster_search", "project_2d", "publish_clusters"}
 
