@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lakekit.llm import decontaminate, line_rules, mixing, quality
+from lakekit.llm import decontaminate, line_rules, mixing, near_dups, quality
 from lakekit.sources.erp import read_table
 
 
@@ -23,11 +23,16 @@ def op9_line_rules(spark, d):
     return line_rules.clean_lines(read_table(spark, d, "documents")).drop("cleaned")
 
 
+def op10_fast_sketching(spark, d):
+    return near_dups.link_near_duplicates(read_table(spark, d, "documents"), shingle=4)
+
+
 QUERIES = {
     "op4_mix_sources": op4_mix_sources,
     "op7_quality_discriminant": op7_quality_discriminant,
     "op8_suffix_automaton": op8_suffix_automaton,
     "op9_line_rules": op9_line_rules,
+    "op10_fast_sketching": op10_fast_sketching,
 }
 
 ORACLES = {
