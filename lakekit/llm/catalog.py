@@ -2,14 +2,39 @@
 
 from __future__ import annotations
 
-from lakekit.llm import decontaminate, line_rules, mixing, near_dups, quality
+from pyspark.sql import functions as F
+
+from lakekit.llm import decontaminate, line_rules, mixing, near_dups, quality, toxicity, warc
 from lakekit.sources.erp import read_table
+from lakekit.sources.workspace import fresh_dir
+
+
+def op2_factorization_machine(spark, d):
+    return toxicity.classify(read_table(spark, d, "documents"), read_table(spark, d, "labels"))
 
 
 def op4_mix_sources(spark, d):
     return mixing.mix_sources(read_table(spark, d, "documents"))
 
 
+def op6_warc_salvage(spark, d):
+    pages = read_table(spark, d, "pages")
+    path = fresh_dir(spark, "archives")
+    warc.write_archives(pages, path)
+    key = pages.schema["page_id"].dataType
+    return (
+        warc.read_archives(spark, path)
+        .where("kind = 'record'")
+        .select(
+            F.col("record_id").cast(key).alias("page_id"),
+            "payload_bytes",
+            "payload_digest",
+            F.col("type").alias("record_type"),
+            F.col("refers_to").cast(key).alias("refers_to"),
+        )
+    )
+
+
 def op7_quality_discriminant(spark, d):
     return quality.classify(read_table(spark, d, "documents"), read_table(spark, d, "labels"))
 
@@ -28,7 +53,9 @@ def op10_fast_sketching(spark, d):
 
 
 QUERIES = {
+    "op2_factorization_machine": op2_factorization_machine,
     "op4_mix_sources": op4_mix_sources,
+    "op6_warc_salvage": op6_warc_salvage,
     "op7_quality_discriminant": op7_quality_discriminant,
     "op8_suffix_automaton": op8_suffix_automaton,
     "op9_line_rules": op9_line_rules,
@@ -37,5 +64,6 @@ QUERIES = {
 
 ORACLES = {
     "op4_mix_sources": mixing.oracle(),
+    "op6_warc_salvage": warc.oracle(),
     "op8_suffix_automaton": decontaminate.oracle(),
 }
