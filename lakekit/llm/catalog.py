@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lakekit.llm import decontaminate, line_rules, mixing, near_dups, quality, toxicity, warc
+from lakekit.llm import decontaminate, line_rules, mixing, near_dups, pii, quality, toxicity, warc
 from lakekit.sources.erp import read_table
 from lakekit.sources.workspace import fresh_dir
 
 
+def op1_weak_supervision(spark, d):
+    return pii.summarise(pii.find_spans(read_table(spark, d, "documents")))
+
+
 def op2_factorization_machine(spark, d):
     return toxicity.classify(read_table(spark, d, "documents"), read_table(spark, d, "labels"))
 
@@ -53,6 +57,7 @@ def op10_fast_sketching(spark, d):
 
 
 QUERIES = {
+    "op1_weak_supervision": op1_weak_supervision,
     "op2_factorization_machine": op2_factorization_machine,
     "op4_mix_sources": op4_mix_sources,
     "op6_warc_salvage": op6_warc_salvage,
