@@ -23,9 +23,14 @@ from lakekit.llm.common import slices, stored, utf8
 
 SHINGLE = 5
 PERCENT = 80
-BANDS, ROWS = 32, 4  # a pair of similarity 0.8 shares no band with a probability of 5e-8
+BANDS, ROWS = 40, 5  # a pair of similarity 0.8 shares no band with a probability of 1e-7
+# One bit of each coordinate, 64 to a word. Bits of a pair of similarity s agree with probability (1 + s) / 2; a pair is
+# left out only if its bits agree less than that by six standard deviations (1e-9).
+SIGNATURE_WORDS = 3
+DEVIATIONS = 6.0
 STAR_ROUNDS = 3
 ROWS_PER_SALT = 256
+SIGNATURE = [f"s{i}" for i in range(SIGNATURE_WORDS)]
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F,
                  0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], dtype=np.uint64)
 
@@ -86,8 +91,20 @@ def band_keys(sketch: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return keys.view(np.int64)
 
 
+def signatures(sketch: np.ndarray, words: int = SIGNATURE_WORDS) -> np.ndarray:
+    """One bit of each of the first coordinates, packed into 64-bit words."""
+    bits = (mixed(sketch[:, : 64 * words]) & np.uint64(1)).reshape(len(sketch), words, 64)
+    return (bits << np.arange(64, dtype=np.uint64)).sum(axis=2, dtype=np.uint64).view(np.int64)
+
+
+def bits_apart(percent: int, words: int = SIGNATURE_WORDS) -> int:
+    """Most bits in which signatures of a linked pair differ, but for a probability of 1e-9."""
+    n, p = 64 * words, (1 - percent / 100) / 2
+    return int(n * p + DEVIATIONS * (n * p * (1 - p)) ** 0.5) + 1
+
+
 def sketch_documents(docs: DataFrame, id_col: str, text_col: str, shingle: int, bands: int, rows: int) -> DataFrame:
-    """(doc_id, text_hash, n_shingles, fp, bands) per row; fp and bands are NULL without words. One pass over whole texts."""
+    """(doc_id, text_hash, n_shingles, fp, bands, signature) per row; fp and bands are NULL without words. One pass over whole texts."""
     schema = T.StructType(
         [
             T.StructField("doc_id", docs.schema[id_col].dataType),
@@ -95,6 +112,7 @@ def sketch_documents(docs: DataFrame, id_col: str, text_col: str, shingle: int,
             T.StructField("n_shingles", T.LongType()),
             T.StructField("fp", T.BinaryType()),
             T.StructField("bands", T.ArrayType(T.LongType())),
+            *[T.StructField(f"s{i}", T.LongType()) for i in range(SIGNATURE_WORDS)],
         ]
     )
 
@@ -102,7 +120,10 @@ def sketch_documents(docs: DataFrame, id_col: str, text_col: str, shingle: int,
         for batch in slices(batches, "_text"):
             sets = [shingle_set(t, shingle) for t in utf8(batch, "_text")]
             full = [s for s in sets if len(s)]
-            keys = iter(band_keys(sketches(full, bands * rows), bands, rows).tolist())
+            drawn = sketches(full, bands * rows)
+            keys = iter(band_keys(drawn, bands, rows).tolist())
+            signed = np.zeros((len(sets), SIGNATURE_WORDS), np.int64)
+            signed[[i for i, s in enumerate(sets) if len(s)]] = signatures(drawn)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
@@ -110,6 +131,7 @@ def sketch_documents(docs: DataFrame, id_col: str, text_col: str, shingle: int,
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([fingerprint(s) if len(s) else None for s in sets], pa.binary()),
                     pa.array([next(keys) if len(s) else None for s in sets], pa.list_(pa.int64())),
+                    *[pa.array(signed[:, i]) for i in range(SIGNATURE_WORDS)],
                 ],
                 schema.names,
             )
@@ -221,12 +243,15 @@ def link_near_duplicates(
             F.min_by("text_hash", F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")).alias("text_hash"),
             F.any_value("n_shingles").alias("n"),
             F.any_value("bands").alias("bands"),
+            *[F.any_value(c).alias(c) for c in SIGNATURE],
         ),
         "near-classes",
     )
-    members = classes.select("fp", "n", F.explode("bands").alias("key"))
+    members = classes.select("fp", F.explode("bands").alias("key"))
     shared = members.groupBy("key").agg(F.count("*").alias("c")).where("c > 1")
-    buckets = stored(members.join(shared.select("key"), "key"), "near-buckets")
+    shape = F.struct("n", *SIGNATURE)
+    crowded = members.join(shared.select("key"), "key")
+    buckets = stored(crowded.join(classes.select("fp", shape.alias("shape")), "fp"), "near-buckets")
     wanted = buckets.select("fp").distinct().join(classes.select("fp", "rep", "text_hash"), "fp")
     source = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))
     same = (wanted["text_hash"] == F.xxhash64(source["text"])) & wanted["rep"].eqNullSafe(source["id"])
@@ -234,10 +259,10 @@ def link_near_duplicates(
     labels, edges, tried = None, None, None
     for turn in range(STAR_ROUNDS + 1):
         if labels is None:
-            mixed_keys = buckets.select("key", "fp", "n", F.col("fp").alias("root"))
+            mixed_keys = buckets.select("key", "fp", "shape", F.col("fp").alias("root"))
         else:
             rooted = buckets.join(labels.toDF("fp", "r"), "fp", "left").select(
-                "key", "fp", "n", F.coalesce("r", "fp").alias("root")
+                "key", "fp", "shape", F.coalesce("r", "fp").alias("root")
             )
             spread = rooted.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x < y")
             mixed_keys = stored(rooted.join(spread.select("key"), "key"), "near-open")
@@ -245,19 +270,21 @@ def link_near_duplicates(
                 break
         if turn < STAR_ROUNDS:
             order = F.xxhash64("fp", F.lit(turn))
-            centers = mixed_keys.groupBy("key").agg(F.min(F.struct(order, "fp", "n", "root")).alias("c"))
+            centers = mixed_keys.groupBy("key").agg(F.min(F.struct(order, "fp", "shape", "root")).alias("c"))
             candidates = mixed_keys.join(centers, "key").select(
-                F.col("c.fp").alias("x"), F.col("c.n").alias("xn"), F.col("c.root").alias("xr"), "fp", "n", "root"
+                F.col("c.fp").alias("x"), F.col("c.shape").alias("xs"), F.col("c.root").alias("xr"), "fp", "shape", "root"
             )
         else:
             counts = mixed_keys.groupBy("key", "root").agg(F.count("*").alias("c"))
             largest = counts.groupBy("key").agg(F.max_by("root", F.struct("c", "root")).alias("most"))
             minority = mixed_keys.join(largest, "key").where(F.col("root") != F.col("most"))
-            minority = minority.select("key", F.col("fp").alias("x"), F.col("n").alias("xn"), F.col("root").alias("xr"))
+            minority = minority.select("key", F.col("fp").alias("x"), F.col("shape").alias("xs"), F.col("root").alias("xr"))
             candidates = minority.join(mixed_keys, "key")
-        similar_size = (F.col("n") * 100 >= F.col("xn") * percent) & (F.col("xn") * 100 >= F.col("n") * percent)
+        n, xn = F.col("shape.n"), F.col("xs.n")
+        apart = sum((F.bit_count(F.col(f"shape.{c}").bitwiseXOR(F.col(f"xs.{c}"))) for c in SIGNATURE), F.lit(0))
+        likely = (n * 100 >= xn * percent) & (xn * 100 >= n * percent) & (apart <= bits_apart(percent))
         pairs = (
-            candidates.where((F.col("xr") != F.col("root")) & similar_size)
+            candidates.where((F.col("xr") != F.col("root")) & likely)
             .select(F.col("x").alias("center"), F.col("fp").alias("member"))
             .distinct()
             .withColumns({"low": F.least("center", "member"), "high": F.greatest("center", "member")})

@@ -59,6 +59,17 @@ def test_coordinates_estimate_similarity_and_all_fill():
     assert (alone[0] == out[3]).all()
 
 
+def test_signatures_of_linked_pairs_stay_close():
+    rng = np.random.default_rng(2)
+    most = near_dups.bits_apart(80)
+    for _ in range(40):
+        pool = rng.integers(0, 2**63, 1250).astype(np.uint64)
+        a, b = near_dups.signatures(near_dups.sketches([pool[:1125], pool[125:]], 200))
+        assert sum(int(x).bit_count() for x in (a ^ b).view(np.uint64)) <= most
+    far = near_dups.signatures(near_dups.sketches([rng.integers(0, 2**63, 300).astype(np.uint64) for _ in range(2)], 200))
+    assert sum(int(x).bit_count() for x in (far[0] ^ far[1]).view(np.uint64)) > most
+
+
 def family(rng, base, edits, n):
     out = []
     for _ in range(n):
