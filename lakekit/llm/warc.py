@@ -1,7 +1,7 @@
 """Web archives: records with deduplicated payloads, and a salvage reader that gets past damaged bytes.
 
 A record is a version line, header lines, an empty line, a block of Content-Length bytes and two line ends. Records may
-stand plain one after the other or each in a gzip member of its own. After a failed check the reader searches for the
+stand plain one after the other, or one or many in a gzip member. After a failed check the reader searches for the
 next gzip member or version line that begins a valid record, and logs the bytes between as a gap.
 """
 
@@ -71,41 +71,56 @@ def parse_record(data: bytes, start: int) -> Record:
     return Record(start, end + 4, headers, block)
 
 
-def parse_member(data: bytes, start: int) -> Record:
-    """The record inside the gzip member that begins at `start`; its checksum and length are checked."""
-    reader, at, pieces = zlib.decompressobj(31), start, []
+def open_member(data: bytes, start: int) -> tuple[bytes, int, str]:
+    """(what the gzip member at `start` holds, its end, what is wrong with it if anything)."""
+    reader, at, pieces, wrong = zlib.decompressobj(31), start, [], ""
     try:
         while at < len(data) and not reader.eof:
             pieces.append(reader.decompress(data[at : at + CHUNK]))
             at += CHUNK
     except zlib.error as error:
-        raise Damaged(f"bad gzip member: {error}") from None
-    plain = b"".join(pieces)
-    if not reader.eof:
-        raise Damaged("gzip member without an end")
-    inner = parse_record(plain, 0)
-    if inner.end != len(plain):
-        raise Damaged("more than one record in a member")
-    return Record(start, min(at, len(data)) - len(reader.unused_data), inner.headers, inner.block)
+        wrong = f"bad gzip member: {error}"
+    if not wrong and not reader.eof:
+        wrong = "gzip member without an end"
+    return b"".join(pieces), min(at, len(data)) - len(reader.unused_data), wrong
 
 
 def salvage(data: bytes) -> Iterator[Record | Gap]:
-    """All valid records of an archive in order, and the byte ranges in between that hold none."""
+    """All valid records of an archive in order, and the byte ranges in between that hold none.
+
+    A gzip member may hold one record or many; they all have the member's range, the first one starting it. Of a damaged
+    member, the records before the damage come back if their own digests hold; their range is empty, the member a gap.
+    """
     at = lost = 0
     reason = ""
     marks = re.compile(re.escape(VERSION) + b"|" + re.escape(GZIP))
     while at < len(data):
+        found: list[Record] = []
         try:
-            record = parse_member(data, at) if data.startswith(GZIP, at) else parse_record(data, at)
+            if data.startswith(GZIP, at):
+                plain, end, wrong = open_member(data, at)
+                inner = [x for x in salvage(plain) if isinstance(x, Record)]
+                if wrong:
+                    found = [Record(lost, lost, x.headers, x.block) for x in inner if "warc-block-digest" in x.headers]
+                    raise Damaged(wrong)
+                if not plain and lost == at:
+                    at = lost = end  # an empty archive
+                    continue
+                if not inner:
+                    raise Damaged("gzip member without a record")
+                found = [Record(at if i == 0 else end, end, x.headers, x.block) for i, x in enumerate(inner)]
+            else:
+                found = [parse_record(data, at)]
         except Damaged as error:
+            yield from found
             reason = reason or str(error)
             following = marks.search(data, at + 1)
             at = following.start() if following else len(data)
             continue
         if lost < at:
             yield Gap(lost, at, reason)
-        yield record
-        at = lost = record.end
+        yield from found
+        at = lost = found[-1].end
         reason = ""
     if lost < len(data):
         yield Gap(lost, len(data), reason)
@@ -174,14 +189,14 @@ def write_archives(
     min_bytes: int = MIN_DUPLICATE_BYTES,
     records_per_file: int = RECORDS_PER_FILE,
 ) -> None:
-    """Plain archives of one record per page, by Spark's text writer, so any file system of Spark will do.
+    """Gzipped archives of one record per page, by Spark's text writer, so any file system of Spark will do.
 
     NULL payloads are empty, NULL ids have no record id, line ends inside a url are left out. An empty table gives no
     records. Other columns don't matter.
     """
     rows = with_duplicates(pages, id_col, url_col, payload_col, min_bytes)
     # The writer ends each line, and so each record, with a line feed.
-    writer = rows.select(record_text(F.col("digest")).alias("value")).write.option("lineSep", "\n")
+    writer = rows.select(record_text(F.col("digest")).alias("value")).write.option("lineSep", "\n").option("compression", "gzip")
     writer.option("maxRecordsPerFile", records_per_file).mode("overwrite").text(path)
 
 

@@ -44,6 +44,13 @@ def test_later_records_come_back_after_damage():
     assert parts(record(b"x") + changed + record(b"y")) == [b"x", "block digest differs", b"y"]
 
 
+def test_members_of_many_records():
+    whole = gzip.compress(b"".join(record(b"r%d" % i) for i in range(500)))
+    assert parts(whole + gzip.compress(record(b"z"))) == [b"r%d" % i for i in range(500)] + [b"z"]
+    got = parts(whole[: len(whole) // 2] + gzip.compress(record(b"z")))
+    assert got[:100] == [b"r%d" % i for i in range(100)] and got[-1] == b"z" and "gzip" in got[-2]
+
+
 def test_random_damage_never_loses_other_records():
     rng = random.Random(1)
     records = [record(rng.randbytes(rng.randrange(300))) for _ in range(20)]
