@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lakekit.llm import decontaminate, line_rules, mixing, near_dups, pii, quality, toxicity, warc
+from lakekit.llm import decontaminate, line_rules, lm, mixing, near_dups, pii, quality, toxicity, warc
 from lakekit.sources.erp import read_table
 from lakekit.sources.workspace import fresh_dir
 
@@ -21,6 +21,10 @@ def op4_mix_sources(spark, d):
     return mixing.mix_sources(read_table(spark, d, "documents"))
 
 
+def op5_log_bilinear(spark, d):
+    return lm.score_texts(read_table(spark, d, "documents"))
+
+
 def op6_warc_salvage(spark, d):
     pages = read_table(spark, d, "pages")
     path = fresh_dir(spark, "archives")
@@ -60,6 +64,7 @@ QUERIES = {
     "op1_weak_supervision": op1_weak_supervision,
     "op2_factorization_machine": op2_factorization_machine,
     "op4_mix_sources": op4_mix_sources,
+    "op5_log_bilinear": op5_log_bilinear,
     "op6_warc_salvage": op6_warc_salvage,
     "op7_quality_discriminant": op7_quality_discriminant,
     "op8_suffix_automaton": op8_suffix_automaton,
