@@ -19,6 +19,7 @@ HASH_BITS = 60
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 CAP = 2.0
+WIDTH = 12  # bits of the hash by which one histogram narrows a range
 
 
 def word_count(text: Column) -> Column:
@@ -104,7 +105,7 @@ def mix_sources(
     weights: Sequence[int] = WEIGHTS,
     share: float = SHARE,
     cap: float = CAP,
-    width: int = 12,
+    width: int = WIDTH,
     seed: str = "mix:",
 ) -> DataFrame:
     """How many words of each document a mix of the sources takes: (id, size, source_size, target, taken).
@@ -118,12 +119,46 @@ def mix_sources(
     Sizes are computed once and stored (id, source, size, hash); every later pass reads that small table. Source counts
     and thresholds have one row per source. Nothing is sorted by hash, and nothing reaches the driver but a flag.
     """
-    key = F.when(F.col(source_col).isNull(), F.lit("n")).otherwise(F.concat(F.lit("s"), F.col(source_col)))
+    sized, limits = _sizes_and_limits(docs, id_col, text_col, source_col, weights, share, cap, width, seed)
+    return sized.join(limits, "source_key").select(
+        "doc_id", "size", "source_size", "target", (F.col("size") * copies_taken()).alias("taken")
+    )
+
+
+def copies_taken() -> Column:
+    """How often a document is taken, from its hash and its source's limits."""
+    return F.col("copies") + F.when(F.col("hash") <= F.col("threshold"), F.lit(1)).otherwise(F.lit(0))
+
+
+def source_key(source: Column) -> Column:
+    """A source as a key that is never NULL."""
+    return F.when(source.isNull(), F.lit("n")).otherwise(F.concat(F.lit("s"), source))
+
+
+def take_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: str = "mix:") -> DataFrame:
+    """The documents that `mix_sources` takes, with how often (copies), their words (size) and both multiplied (taken).
+
+    The limits, one row per source, are joined to the documents, which are filtered where they are read. Documents that
+    the mix leaves out go. Columns of the documents with these three names are replaced.
+    """
+    _, limits = _sizes_and_limits(docs, id_col, text_col, source_col, WEIGHTS, SHARE, CAP, WIDTH, seed)
+    packed = docs.select(
+        F.struct(*[c for c in docs.columns if c not in ("copies", "size", "taken")]).alias("_row"),
+        source_key(docs[source_col]).alias("source_key"),
+        document_hash(docs[id_col], seed).alias("hash"),
+        word_count(docs[text_col]).alias("size"),
+    )
+    taken = packed.join(limits, "source_key").withColumn("copies", copies_taken()).where("copies > 0")
+    return taken.select("_row.*", "copies", "size", (F.col("copies") * F.col("size")).alias("taken"))
+
+
+def _sizes_and_limits(docs, id_col, text_col, source_col, weights, share, cap, width, seed) -> tuple[DataFrame, DataFrame]:
+    """(the sized documents; per source: size, target, whole copies and the largest hash that gets one more)."""
     sized = stored(
         docs.select(
             F.col(id_col).alias("doc_id"),
             F.col(source_col).alias("source"),
-            key.alias("source_key"),
+            source_key(F.col(source_col)).alias("source_key"),
             word_count(F.col(text_col)).alias("size"),
             document_hash(F.col(id_col), seed).alias("hash"),
         ),
@@ -131,9 +166,7 @@ def mix_sources(
     )
     sizes = sized.groupBy("source_key", "source").agg(F.sum("size").alias("source_size"))
     targets = source_targets(sizes.drop("source_key"), weights, share, cap)
-    keyed = targets.withColumn(
-        "source_key", F.when(F.col("source").isNull(), F.lit("n")).otherwise(F.concat(F.lit("s"), F.col("source")))
-    ).drop("source")
+    keyed = targets.withColumn("source_key", source_key(F.col("source"))).drop("source")
     copies = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0))
     goals = stored(
         keyed.withColumn("copies", copies.cast("long")).withColumn(
@@ -159,10 +192,7 @@ def mix_sources(
     nearer = F.col("below") + F.col("words") - F.col("rest") <= F.col("rest") - F.col("below")
     threshold = F.when(nearer, F.col("last")).otherwise(F.col("first") - 1)
     limits = goals.join(cut.select("source_key", threshold.alias("threshold")), "source_key", "left")
-    extra = F.when(F.col("hash") <= F.col("threshold"), F.lit(1)).otherwise(F.lit(0))
-    return sized.join(limits, "source_key").select(
-        "doc_id", "size", "source_size", "target", (F.col("size") * (F.col("copies") + extra)).alias("taken")
-    )
+    return sized, limits
 
 
 def oracle(docs: str = "documents", seed: str = "mix:") -> str:

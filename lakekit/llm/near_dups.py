@@ -234,6 +234,50 @@ def link_near_duplicates(
     compared with all others of the bucket outside their own. So no pair within a component is needed to find it, and
     yet no link between two components is missed.
     """
+    rows_, classes, labels = _classes_and_roots(docs, id_col, text_col, shingle, percent, bands, rows)
+    rooted = classes.select("fp", "rep").join(labels.toDF("fp", "r"), "fp", "left")
+    rooted = rooted.select("fp", "rep", F.coalesce("r", "fp").alias("root"))
+    smallest = rooted.groupBy("root").agg(F.min("rep").alias("component_id"))
+    ids = rooted.join(smallest, "root").select("fp", "component_id")
+    linked = rows_.join(ids, "fp", "left")
+    component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
+    return linked.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(
+        "kept", F.col("doc_id").eqNullSafe(F.col("component_id"))
+    )
+
+
+def drop_near_duplicates(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    shingle: int = SHINGLE,
+    percent: int = PERCENT,
+) -> DataFrame:
+    """One document of each component of `link_near_duplicates`, the one with the smallest id, with all its columns.
+
+    Rows that have id and text in common are one document, of which one row stays, whichever columns differ besides.
+    Documents without words are linked with nothing and stay. A NULL id comes after all others.
+    """
+    rows_, classes, labels = _classes_and_roots(docs, id_col, text_col, shingle, percent, BANDS, ROWS)
+    firsts = classes.select("fp", order_of_class().alias("first")).join(labels.toDF("fp", "r"), "fp", "left")
+    kept = firsts.groupBy(F.coalesce("r", "fp").alias("root")).agg(F.min("first").alias("first")).select("first.doc_id", "first.text_hash")
+    wordless = rows_.where("n_shingles = 0").select("doc_id", "text_hash").distinct()
+    chosen = kept.unionByName(wordless).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_kept"))
+    keyed = docs.select(F.struct(*docs.columns).alias("_row"), docs[id_col].alias("_key"), F.xxhash64(docs[text_col]).alias("_hash"))
+    single = keyed.groupBy("_key", "_hash").agg(F.any_value("_row").alias("_row"))
+    same = (single["_hash"] == chosen["_kept"]) & single["_key"].eqNullSafe(chosen["_id"])
+    return single.join(chosen, same, "left_semi").select("_row.*")
+
+
+def order_of_class():
+    """The class's first document: (whether the id is NULL, id, hash of the text)."""
+    return F.struct(F.col("rep").isNull().alias("last"), F.col("rep").alias("doc_id"), "text_hash")
+
+
+def _classes_and_roots(
+    docs: DataFrame, id_col: str, text_col: str, shingle: int, percent: int, bands: int, rows: int
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(rows with sketches, classes of equal sets, root of every class that is linked with another)."""
     rows_ = stored(sketch_documents(docs, id_col, text_col, shingle, bands, rows), "near-sketches")
     classes = stored(
         rows_.where("n_shingles > 0")
@@ -296,12 +340,4 @@ def link_near_duplicates(
         found = _verify(pairs, texts, shingle, percent)
         edges = found if edges is None else edges.unionByName(found)
         labels = components(edges)
-    rooted = classes.select("fp", "rep").join(labels.toDF("fp", "r"), "fp", "left")
-    rooted = rooted.select("fp", "rep", F.coalesce("r", "fp").alias("root"))
-    smallest = rooted.groupBy("root").agg(F.min("rep").alias("component_id"))
-    ids = rooted.join(smallest, "root").select("fp", "component_id")
-    linked = rows_.join(ids, "fp", "left")
-    component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    return linked.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(
-        "kept", F.col("doc_id").eqNullSafe(F.col("component_id"))
-    )
+    return rows_, classes, labels

@@ -144,6 +144,10 @@ def remainder(key: Column, divisor: int) -> Column:
     return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % divisor
 
 
+def probability(model: Discriminant, x: np.ndarray, temperature: float) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(model.margin(x) / temperature, -35, 35)))
+
+
 def scores(stats: DataFrame, model: Discriminant, temperature: float = TEMPERATURE) -> DataFrame:
     """The statistics' rows with a score in (0, 1): the logistic function of the margin by a temperature.
 
@@ -155,8 +159,8 @@ def scores(stats: DataFrame, model: Discriminant, temperature: float = TEMPERATU
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = np.stack([batch.column(f).to_numpy(zero_copy_only=False) for f in FEATURES], axis=1)
-            z = np.clip(model.margin(x) / temperature, -35, 35)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(1 / (1 + np.exp(-z)))], schema.names)
+            score = pa.array(probability(model, x, temperature))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), score], schema.names)
 
     return stats.mapInArrow(run, schema)
 
@@ -191,3 +195,26 @@ def classify(
         "score",
         (F.col("score") >= threshold).cast("int").alias("predicted"),
     )
+
+
+def keep_good(
+    docs: DataFrame,
+    labels: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    label_col: str = "quality",
+    folds: int = 4,
+    held_out: int = 2,
+    threshold: float = THRESHOLD,
+) -> DataFrame:
+    """The documents that `classify` predicts to be good, with all their columns; rows are judged where they are read."""
+    known = labels.select(labels[id_col].alias("doc_id"), labels[label_col].alias("label"))
+    stats = document_statistics(docs, id_col, text_col)
+    model = train(stats, known, remainder(F.col("doc_id"), folds) != held_out)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, text_col):
+            x = np.array([statistics(t) for t in utf8(batch, text_col)]).reshape(-1, len(FEATURES))
+            yield batch.filter(pa.array(probability(model, x, TEMPERATURE) >= threshold))
+
+    return docs.mapInArrow(run, docs.schema)
