@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lakekit.llm import decontaminate, line_rules, lm, mixing, near_dups, pii, quality, toxicity, warc
+from lakekit.llm import decontaminate, line_rules, lm, mixing, near_dups, pii, quality, repeats, toxicity, warc
 from lakekit.sources.erp import read_table
 from lakekit.sources.workspace import fresh_dir
 
@@ -17,6 +17,10 @@ def op2_factorization_machine(spark, d):
     return toxicity.classify(read_table(spark, d, "documents"), read_table(spark, d, "labels"))
 
 
+def op3_suffix_repeats(spark, d):
+    return repeats.remove_repeats(read_table(spark, d, "documents")).drop("kept")
+
+
 def op4_mix_sources(spark, d):
     return mixing.mix_sources(read_table(spark, d, "documents"))
 
@@ -63,6 +67,7 @@ def op10_fast_sketching(spark, d):
 QUERIES = {
     "op1_weak_supervision": op1_weak_supervision,
     "op2_factorization_machine": op2_factorization_machine,
+    "op3_suffix_repeats": op3_suffix_repeats,
     "op4_mix_sources": op4_mix_sources,
     "op5_log_bilinear": op5_log_bilinear,
     "op6_warc_salvage": op6_warc_salvage,
