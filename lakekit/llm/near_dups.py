@@ -15,7 +15,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,9 +28,12 @@ BANDS, ROWS = 40, 5  # a pair of similarity 0.8 shares no band with a probabilit
 # left out only if its bits agree less than that by six standard deviations (1e-9).
 SIGNATURE_WORDS = 3
 DEVIATIONS = 6.0
+# Parities of the elements in 512 hashed cells: two sets differ in at least as many elements as their parities in cells.
+PARITY_WORDS = 8
 STAR_ROUNDS = 3
 ROWS_PER_SALT = 256
 SIGNATURE = [f"s{i}" for i in range(SIGNATURE_WORDS)]
+PARITIES = [f"p{i}" for i in range(PARITY_WORDS)]
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F,
                  0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], dtype=np.uint64)
 
@@ -97,6 +100,14 @@ def signatures(sketch: np.ndarray, words: int = SIGNATURE_WORDS) -> np.ndarray:
     return (bits << np.arange(64, dtype=np.uint64)).sum(axis=2, dtype=np.uint64).view(np.int64)
 
 
+def parities(shingles: np.ndarray) -> np.ndarray:
+    """How many elements fall into each cell, modulo 2, packed into 64-bit words."""
+    with np.errstate(over="ignore"):
+        cells = (mixed(shingles + _ODD[3]) % np.uint64(64 * PARITY_WORDS)).astype(np.int64)
+    odd = np.bincount(cells, minlength=64 * PARITY_WORDS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def bits_apart(percent: int, words: int = SIGNATURE_WORDS) -> int:
     """Most bits in which signatures of a linked pair differ, but for a probability of 1e-9."""
     n, p = 64 * words, (1 - percent / 100) / 2
@@ -112,7 +123,7 @@ def sketch_documents(docs: DataFrame, id_col: str, text_col: str, shingle: int,
             T.StructField("n_shingles", T.LongType()),
             T.StructField("fp", T.BinaryType()),
             T.StructField("bands", T.ArrayType(T.LongType())),
-            *[T.StructField(f"s{i}", T.LongType()) for i in range(SIGNATURE_WORDS)],
+            *[T.StructField(c, T.LongType()) for c in SIGNATURE + PARITIES],
         ]
     )
 
@@ -122,8 +133,9 @@ def sketch_documents(docs: DataFrame, id_col: str, text_col: str, shingle: int,
             full = [s for s in sets if len(s)]
             drawn = sketches(full, bands * rows)
             keys = iter(band_keys(drawn, bands, rows).tolist())
-            signed = np.zeros((len(sets), SIGNATURE_WORDS), np.int64)
-            signed[[i for i, s in enumerate(sets) if len(s)]] = signatures(drawn)
+            signed = np.zeros((len(sets), SIGNATURE_WORDS + PARITY_WORDS), np.int64)
+            if full:
+                signed[[i for i, s in enumerate(sets) if len(s)]] = np.hstack([signatures(drawn), [parities(s) for s in full]])
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
@@ -131,7 +143,7 @@ def sketch_documents(docs: DataFrame, id_col: str, text_col: str, shingle: int,
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([fingerprint(s) if len(s) else None for s in sets], pa.binary()),
                     pa.array([next(keys) if len(s) else None for s in sets], pa.list_(pa.int64())),
-                    *[pa.array(signed[:, i]) for i in range(SIGNATURE_WORDS)],
+                    *[pa.array(signed[:, i]) for i in range(signed.shape[1])],
                 ],
                 schema.names,
             )
@@ -269,7 +281,7 @@ def drop_near_duplicates(
     return single.join(chosen, same, "left_semi").select("_row.*")
 
 
-def order_of_class():
+def order_of_class() -> Column:
     """The class's first document: (whether the id is NULL, id, hash of the text)."""
     return F.struct(F.col("rep").isNull().alias("last"), F.col("rep").alias("doc_id"), "text_hash")
 
@@ -287,13 +299,13 @@ def _classes_and_roots(
             F.min_by("text_hash", F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")).alias("text_hash"),
             F.any_value("n_shingles").alias("n"),
             F.any_value("bands").alias("bands"),
-            *[F.any_value(c).alias(c) for c in SIGNATURE],
+            *[F.any_value(c).alias(c) for c in SIGNATURE + PARITIES],
         ),
         "near-classes",
     )
     members = classes.select("fp", F.explode("bands").alias("key"))
     shared = members.groupBy("key").agg(F.count("*").alias("c")).where("c > 1")
-    shape = F.struct("n", *SIGNATURE)
+    shape = F.struct("n", *SIGNATURE, *PARITIES)
     crowded = members.join(shared.select("key"), "key")
     buckets = stored(crowded.join(classes.select("fp", shape.alias("shape")), "fp"), "near-buckets")
     wanted = buckets.select("fp").distinct().join(classes.select("fp", "rep", "text_hash"), "fp")
@@ -325,8 +337,13 @@ def _classes_and_roots(
             minority = minority.select("key", F.col("fp").alias("x"), F.col("shape").alias("xs"), F.col("root").alias("xr"))
             candidates = minority.join(mixed_keys, "key")
         n, xn = F.col("shape.n"), F.col("xs.n")
-        apart = sum((F.bit_count(F.col(f"shape.{c}").bitwiseXOR(F.col(f"xs.{c}"))) for c in SIGNATURE), F.lit(0))
-        likely = (n * 100 >= xn * percent) & (xn * 100 >= n * percent) & (apart <= bits_apart(percent))
+
+        def apart(columns: list[str]) -> Column:
+            return sum((F.bit_count(F.col(f"shape.{c}").bitwiseXOR(F.col(f"xs.{c}"))) for c in columns), F.lit(0))
+
+        # A linked pair's elements that are in one set only are at most this share of both sizes.
+        few = apart(PARITIES) * (100 + percent) <= (n + xn) * (100 - percent)
+        likely = (n * 100 >= xn * percent) & (xn * 100 >= n * percent) & few & (apart(SIGNATURE) <= bits_apart(percent))
         pairs = (
             candidates.where((F.col("xr") != F.col("root")) & likely)
             .select(F.col("x").alias("center"), F.col("fp").alias("member"))

@@ -70,6 +70,15 @@ def test_signatures_of_linked_pairs_stay_close():
     assert sum(int(x).bit_count() for x in (far[0] ^ far[1]).view(np.uint64)) > most
 
 
+def test_parities_bound_the_difference():
+    rng = np.random.default_rng(3)
+    for n in (1, 50, 400):
+        pool = np.unique(rng.integers(0, 2**63, n + 200).astype(np.uint64))
+        a, b = pool[:n], pool[n // 3 : n + 20]
+        bits = sum(int(x).bit_count() for x in (near_dups.parities(a) ^ near_dups.parities(b)).view(np.uint64))
+        assert bits <= len(np.setxor1d(a, b)) and (n < 400 or bits > 0.6 * len(np.setxor1d(a, b)))
+
+
 def family(rng, base, edits, n):
     out = []
     for _ in range(n):
