@@ -105,26 +105,34 @@ class Anchors:
             around = self.hashes.of(self.first, span + LENGTH)
             offsets = (self.place - self.first).astype(np.uint64) * np.uint64(1000) + span.astype(np.uint64)
             self.around = mixed(mixed(around) + offsets * np.uint64(0xC2B2AE3D27D4EB4F))
-            if len(np.unique(self.key)) < len(self.key):
-                self.again = self._inner_repeats()
-
-    def _inner_repeats(self) -> np.ndarray:
-        """Windows that stand earlier in the text; equal hashes are confirmed byte by byte."""
-        hashes = self.hashes.every(LENGTH)
-        _, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
-        source = first[inverse]
-        again = np.flatnonzero(source < np.arange(len(hashes)))
-        if len(again):
-            # Runs of windows with one distance to their first occurrence are compared as wholes.
-            cuts = np.flatnonzero((np.diff(again) != 1) | (np.diff(source[again]) != 1)) + 1
-            view = self.data
-            for run in np.split(again, cuts):
-                a, b, size = run[0], source[run[0]], len(run) + LENGTH - 1
-                if not np.array_equal(view[a : a + size], view[b : b + size]):
-                    raise ArithmeticError("hash collision inside a text")
-        out = np.zeros(len(hashes), bool)
-        out[again] = True
-        return out
+            _, inverse, counts = np.unique(self.key, return_inverse=True, return_counts=True)
+            if len(counts) < len(self.key):
+                self._mark_inner_repeats(np.flatnonzero(counts[inverse] > 1))
+
+    def _mark_inner_repeats(self, owners: np.ndarray) -> None:
+        """Marks windows that stand earlier in the text, all under anchors that repeat; hashes are confirmed by bytes."""
+        windows = ranges(self.first[owners], self.last[owners])
+        _, first, inverse = np.unique(self.hashes.of(windows, LENGTH), return_index=True, return_inverse=True)
+        source = windows[first[inverse]]
+        later = source < windows
+        again, source = windows[later], source[later]
+        if not len(again):
+            return
+        # Runs of windows at one distance from their first occurrence are compared as wholes.
+        cuts = np.flatnonzero((np.diff(again) != 1) | (np.diff(source) != 1)) + 1
+        begins, ends = np.concatenate([[0], cuts]), np.concatenate([cuts, [len(again)]])
+        text = self.data.tobytes()
+        for i, j in zip(begins.tolist(), ends.tolist()):
+            x, y, size = int(again[i]), int(source[i]), j - i + LENGTH - 1
+            if text[x : x + size] != text[y : y + size]:
+                raise ArithmeticError("hash collision inside a text")
+        self.again[again] = True
+
+
+def ranges(first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """All numbers from each first to its last, one range after the other."""
+    sizes = last - first + 1
+    return np.repeat(first - np.concatenate([[0], np.cumsum(sizes)[:-1]]), sizes) + np.arange(sizes.sum())
 
 
 def anchors_of(docs: DataFrame) -> DataFrame:
@@ -259,25 +267,32 @@ def _surroundings(wanted: DataFrame, packed: DataFrame) -> DataFrame:
     """
     lists = wanted.groupBy("doc", "part").agg(F.collect_list(F.struct("place", "key", "many")).alias("list"))
 
+    names = ["key", "doc", "part", "place", "left", "around", "window"]
+
+    def shaped(key, doc, part, place, left, around, window) -> pa.RecordBatch:
+        n = len(key)
+        whole = [pa.array(key), pa.array(np.full(n, doc)), pa.array(np.full(n, part)), pa.array(place), pa.array(left)]
+        return pa.RecordBatch.from_arrays([*whole, pa.array(around or [None] * n, pa.binary()), window], names)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for doc, part, z, listed in zip(*(batch.column(c).to_pylist() for c in ("doc", "part", "z", "list"))):
                 a = Anchors(zstandard.decompress(z))
                 text = a.data.tobytes()
-                at = {p: i for i, p in enumerate(a.place.tolist())}
-                every = mixed(mixed(a.hashes.every(LENGTH)) + np.uint64(1)).view(np.int64) if any(w["many"] for w in listed) else None
-                out = []
-                for w in listed:
-                    i = at[w["place"]]
-                    first, last = int(a.first[i]), int(a.last[i])
-                    if w["many"]:
-                        out += [(w["key"], doc, part, s, w["place"] - s, None, int(every[s])) for s in range(first, last + 1)]
+                for many in (False, True):
+                    chosen = [w for w in listed if w["many"] == many]
+                    if not chosen:
+                        continue
+                    key, place = (np.array([w[c] for w in chosen], np.int64) for c in ("key", "place"))
+                    i = np.searchsorted(a.place, place)
+                    first, last = a.first[i], a.last[i]
+                    if many:
+                        windows, sizes = ranges(first, last), last - first + 1
+                        hashes = mixed(a.hashes.of(windows, LENGTH) + np.uint64(1)).view(np.int64)
+                        yield shaped(np.repeat(key, sizes), doc, part, windows, np.repeat(place, sizes) - windows, None, pa.array(hashes))
                     else:
-                        out.append((w["key"], doc, part, w["place"], w["place"] - first, text[first : last + LENGTH], None))
-                for b in range(0, len(out), 50_000):
-                    types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64()]
-                    names = ["key", "doc", "part", "place", "left", "around", "window"]
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out[b : b + 50_000]), types)], names)
+                        around = [text[x : y + LENGTH] for x, y in zip(first.tolist(), last.tolist())]
+                        yield shaped(key, doc, part, place, place - first, around, pa.nulls(len(key), pa.int64()))
 
     schema = "key long, doc long, part long, place long, left long, around binary, window long"
     return lists.join(packed.drop("doc_id").dropDuplicates(["doc", "part"]), ["doc", "part"]).mapInArrow(run, schema)
@@ -387,13 +402,12 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             np.add.at(change, starts, 1)
             np.add.at(change, starts + LENGTH, -1)
             if marks:
-                at = {p: i for i, p in enumerate(a.place.tolist())}
-                for m in marks:
-                    first, last = m["first"], m["last"]
-                    if last < 0:
-                        first, last = a.first[at[first]], a.last[at[first]]
-                    change[first] += 1
-                    change[last + LENGTH] -= 1
+                first, last = (np.array([m[c] for m in marks], np.int64) for c in ("first", "last"))
+                whole = last < 0
+                own = np.searchsorted(a.place, first[whole])
+                first[whole], last[whole] = a.first[own], a.last[own]
+                np.add.at(change, first, 1)
+                np.add.at(change, last + LENGTH, -1)
             gone = np.cumsum(change[:-1]) > 0
             kept = a.data[~gone].tobytes()
             spans = int(np.count_nonzero(gone[1:] & ~gone[:-1]) + (len(gone) > 0 and gone[0]))
