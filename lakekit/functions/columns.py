@@ -20,8 +20,9 @@ def moment(at: datetime) -> Column:
 
 
 def pad_key(c: str | Column, width: int = 10) -> Column:
-    """Key as text, zero-padded on the left."""
-    return F.lpad(col(c).cast("string"), width, "0")
+    """Key as text, zero-padded on the left; keys that are longer than the width stay whole."""
+    key = col(c).cast("string")
+    return F.when(F.length(key) < width, F.lpad(key, width, "0")).otherwise(key)
 
 
 def parse_yyyymmdd(c: str | Column) -> Column:

@@ -14,11 +14,12 @@ from lakekit.functions.columns import col
 from lakekit.values import NEGATIVE_WORDS, NO_CATEGORY, POSITIVE_WORDS
 
 # Patterns of fields that can be read out of, or masked in, free text.
-EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+[.][A-Za-z]{2,}"
+# Bounded repeats keep the search linear in the text; word edges keep numbers out of longer ones.
+EMAIL = r"[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9.-]{1,255}[.][A-Za-z]{2,24}"
 PHONE = r"[+][0-9]{1,3} [(][0-9]{3}[)] [0-9]{3}-[0-9]{4}"
 IP_ADDRESS = r"[0-9]{1,3}[.][0-9]{1,3}[.][0-9]{1,3}[.][0-9]{1,3}"
-CARD_NUMBER = r"[0-9]{16}"
-SECRET = r"[0-9a-f]{40}"
+CARD_NUMBER = r"\b[0-9]{16}\b"
+SECRET = r"\b[0-9a-f]{40}\b"
 TAX_ID = r"[0-9]{3}[.][0-9]{3}[.][0-9]{3}-[0-9]"
 INVOICE_NUMBER = r"[A-Z]-[0-9]{4}-[0-9]{5}"
 AMOUNT = r"(?:COP|USD|EUR) [0-9][0-9.,]*[0-9]"
@@ -27,11 +28,11 @@ AMOUNT = r"(?:COP|USD|EUR) [0-9][0-9.,]*[0-9]"
 ANCHORS = {EMAIL: "@", PHONE: "+", TAX_ID: "-", INVOICE_NUMBER: "-"}
 
 MASKED_ENTITIES = {
+    "[SECRET]": SECRET,
     "[EMAIL]": EMAIL,
     "[PHONE]": PHONE,
     "[TAX_ID]": TAX_ID,
     "[CARD]": CARD_NUMBER,
-    "[SECRET]": SECRET,
     "[IP]": IP_ADDRESS,
 }
 
@@ -107,7 +108,7 @@ def mask_entities(text: str | Column, entities: Mapping[str, str] = MASKED_ENTIT
     """Every match of the entity patterns replaced by its label, in the order given."""
     masked = col(text)
     for label, pattern in entities.items():
-        masked = F.regexp_replace(masked, pattern, label)
+        masked = _where_possible(masked, pattern, F.regexp_replace(masked, pattern, label), masked)
     return masked
 
 

@@ -105,6 +105,7 @@ def top_k(df: DataFrame, by: str, k: int, *tie_break: str) -> DataFrame:
     return df.orderBy(F.desc_nulls_last(by), *[F.asc_nulls_last(c) for c in tie_break]).limit(k)
 
 
-def random_sample(df: DataFrame, rows: int, seed: int | None = None) -> DataFrame:
-    """That many rows at random."""
-    return df.orderBy(F.rand(seed)).limit(rows)
+def random_sample(df: DataFrame, rows: int, key: str, seed: int = 0) -> DataFrame:
+    """That many rows at random: those with the smallest hashes of seed and key, whatever the partitioning."""
+    drawn = F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
+    return df.orderBy(drawn, key).limit(rows)

@@ -69,15 +69,9 @@ def enrich_incremental(
     score: Callable[[DataFrame], DataFrame],
     model_name: str,
     processed_at: datetime | None = None,
-    limit: int | None = None,
 ) -> DataFrame:
-    """Enriched rows for the keys that have none yet, with model name and time: the rows to append.
-
-    A limit is for trial runs; without one every open key is processed.
-    """
+    """Enriched rows for the keys that have none yet, with model name and time: the rows to append."""
     todo = new_keys(source.where(F.col(text).isNotNull()), enriched, keys)
-    if limit is not None:
-        todo = todo.limit(limit)
     return score(todo).withColumns(
         {
             "modelo_ia": F.lit(model_name),
@@ -91,7 +85,7 @@ def summarise_extract(df: DataFrame, key: str, text: str, max_words: int = 50, n
 
     Texts are shuffled once, by key; the word counts, sentence scores and ranks that follow all work within that
     partitioning and carry no text. The sentences chosen are cut out of the same shuffled texts. The best sentence
-    is kept even if it alone exceeds the limit.
+    is kept even if it alone exceeds the limit. A text without words has the summary NULL.
     """
     texts = df.select(key, text).repartition(key)
     sentences = F.split(F.col(text), r"[.!?\n]+")
@@ -113,22 +107,25 @@ def summarise_extract(df: DataFrame, key: str, text: str, max_words: int = 50, n
     )
     picked = F.filter(sentences, lambda _, pos: F.array_contains("_chosen", pos))
     trimmed = F.transform(picked, lambda sentence: F.trim(sentence))
-    return texts.join(chosen, key).select(key, F.array_join(trimmed, ". ").alias(name))
+    summary = F.when(F.col("_chosen").isNotNull(), F.array_join(trimmed, ". "))
+    return texts.join(chosen, key, "left").select(key, summary.alias(name))
 
 
 def document_text(
     elements: DataFrame, key: str, position: str, text: str, rows_per_part: int = 1000, name: str = "document_text"
 ) -> DataFrame:
-    """Elements joined to text in order, one row per document and part.
+    """Elements joined to text in order, one row per document.
 
-    A part covers a fixed span of positions, so a document of any length never gathers in one task; documents
-    shorter than the span are one row with part 0.
+    Spans of positions are joined first, each in some task; then a document's spans are joined, so what meets in the
+    end is its text and no row per element.
     """
-    part = F.floor(F.col(position) / rows_per_part).cast("int")
+    part = F.floor(F.col(position) / rows_per_part).cast("long")
     in_order = F.array_sort(F.collect_list(F.struct(F.col(position), F.col(text).alias("_text"))))
-    return elements.groupBy(key, part.alias("part")).agg(
-        F.array_join(F.transform(in_order, lambda e: e["_text"]), "\n").alias(name)
+    spans = elements.groupBy(key, part.alias("_part")).agg(
+        F.array_join(F.transform(in_order, lambda e: e["_text"]), "\n").alias("_span")
     )
+    parts = F.array_sort(F.collect_list(F.struct("_part", "_span")))
+    return spans.groupBy(key).agg(F.array_join(F.transform(parts, lambda p: p["_span"]), "\n").alias(name))
 
 
 def variant_document_text(document: Column, elements: str = "$.document.elements") -> Column:

@@ -21,9 +21,8 @@ from lakekit.operators.changes import unique_rows
 from lakekit.operators.cleaning import bool_to_int, drop_all_null_columns, empty_to_null, fill_missing_category
 from lakekit.operators.history import write_version
 
-# Most categories of one column, and most clusters, that a job will hold in the driver.
-MAX_CATEGORIES = 10_000
-MAX_CLUSTERS = 2_000
+# Cluster means compared at a time: bounds the memory for their distances, not their number.
+MEANS_PER_BLOCK = 1_000
 
 ALGORITHMS = {"kmeans": KMeans, "bisecting": BisectingKMeans}
 
@@ -34,13 +33,6 @@ def prepare_features(df: DataFrame, columns: Sequence[str], key: str) -> DataFra
     return fill_missing_category(drop_all_null_columns(bool_to_int(chosen), keep=[key]), key)
 
 
-def _check_categories(df: DataFrame, categories: Sequence[str]) -> None:
-    sizes = df.agg(*[F.approx_count_distinct(c).alias(c) for c in categories]).first()
-    large = [c for c in categories if sizes[c] > MAX_CATEGORIES]
-    if large:
-        raise ValueError(f"too many categories to encode: {', '.join(large)}")
-
-
 def one_hot(df: DataFrame, key: str, output: str = "features") -> DataFrame:
     """All text columns but the key as 0/1 columns of one vector, next to the numeric ones.
 
@@ -48,7 +40,6 @@ def one_hot(df: DataFrame, key: str, output: str = "features") -> DataFrame:
     """
     texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType) and f.name != key]
     numbers = [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType) and f.name != key]
-    _check_categories(df, texts)
     indexed, encoded = [f"_{c}_index" for c in texts], [f"_{c}_hot" for c in texts]
     stages = [
         StringIndexer(inputCols=texts, outputCols=indexed, stringOrderType="alphabetAsc"),
@@ -109,11 +100,8 @@ def cluster_quality(df: DataFrame, features: str = "features", label: str = "lab
     means = (
         df.groupBy(label)
         .agg(F.count(F.lit(1)).alias("_n"), vector_to_array(Summarizer.mean(F.col(features))).alias("_mean"))
-        .limit(MAX_CLUSTERS + 1)
         .collect()
     )
-    if len(means) > MAX_CLUSTERS:
-        raise ValueError(f"more than {MAX_CLUSTERS} clusters")
     if len(means) < 2:
         return spark.createDataFrame([(len(means), -1.0, 0.0, float("inf"))], schema)
     centers = spark.createDataFrame(
@@ -124,7 +112,7 @@ def cluster_quality(df: DataFrame, features: str = "features", label: str = "lab
     squared = F.aggregate(squares, F.lit(0.0), lambda total, s: total + s)
     spread = {
         r[label]: (r["_within"], r["_spread"])
-        for r in df.join(F.broadcast(centers), label)
+        for r in df.join(centers, label)
         .select(label, squared.alias("_d2"))
         .groupBy(label)
         .agg(F.sum("_d2").alias("_within"), F.avg(F.sqrt("_d2")).alias("_spread"))
@@ -139,15 +127,25 @@ def cluster_quality(df: DataFrame, features: str = "features", label: str = "lab
     middle = (points * counts[:, None]).sum(axis=0) / rows
     between = (counts * ((points - middle) ** 2).sum(axis=1)).sum()
     ch = (between / (clusters - 1)) / (within / (rows - clusters)) if within > 0 else 1.0
-    apart = np.sqrt(((points[:, None, :] - points[None, :, :]) ** 2).sum(axis=2))
-    np.fill_diagonal(apart, np.inf)
-    with np.errstate(divide="ignore", invalid="ignore"):
-        similar = np.nan_to_num((spreads[:, None] + spreads[None, :]) / apart, nan=0.0)
-    db = similar.max(axis=1).mean()
+    db = np.concatenate([_worst(points, spreads, a) for a in range(0, clusters, MEANS_PER_BLOCK)]).mean()
     silhouette = ClusteringEvaluator(featuresCol=features, predictionCol=label).evaluate(df)
     return spark.createDataFrame([(clusters, float(silhouette), float(ch), float(db))], schema)
 
 
+def _worst(points: np.ndarray, spreads: np.ndarray, start: int) -> np.ndarray:
+    """For a block of clusters, the largest ratio of spreads to distance to any other cluster."""
+    block = points[start : start + MEANS_PER_BLOCK]
+    apart = np.zeros((len(block), len(points)))
+    for i in range(points.shape[1]):
+        apart += (block[:, i, None] - points[None, :, i]) ** 2
+    apart = np.sqrt(apart)
+    own = np.arange(len(block))
+    apart[own, start + own] = np.inf
+    with np.errstate(divide="ignore", invalid="ignore"):
+        similar = (spreads[start : start + len(block), None] + spreads[None, :]) / apart
+    return np.nan_to_num(similar, nan=0.0).max(axis=1)
+
+
 def project_2d(df: DataFrame, features: str = "features", x: str = "TSNE_X", y: str = "TSNE_Y") -> DataFrame:
     """Two coordinates per row: its first two principal components.
 

@@ -23,13 +23,17 @@ def _rule_counts(rules: Rules) -> list[Column]:
 
 
 def expect_warn(df: DataFrame, rules: Rules, observation: Observation | None = None) -> DataFrame:
-    """All rows stay. Broken rules are counted on the side while the rows pass through, without another run."""
-    return df.observe(observation, *_rule_counts(rules)) if observation else df
+    """All rows stay, with the names of the rules they break in `warnings`.
+
+    With an observation, broken rules are also counted while the rows pass through, without another run.
+    """
+    counted = df.observe(observation, *_rule_counts(rules)) if observation else df
+    return with_failed_rules(counted, rules, "warnings")
 
 
 def expect_drop(df: DataFrame, rules: Rules, observation: Observation | None = None) -> DataFrame:
     """Rows that break a rule are removed, and counted on the side if asked for."""
-    counted = expect_warn(df, rules, observation)
+    counted = df.observe(observation, *_rule_counts(rules)) if observation else df
     return counted.where(reduce(lambda a, b: a & b, (holds(r) for r in rules.values())))
 
 

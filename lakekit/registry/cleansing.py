@@ -118,7 +118,7 @@ QUERIES = {
     ),
 }
 
-PROFILE = """profile AS (SELECT lpad(CAST(c_custkey AS VARCHAR), 10, '0') AS customer,
+PROFILE = """profile AS (SELECT repeat('0', greatest(10 - length(CAST(c_custkey AS VARCHAR)), 0)) || CAST(c_custkey AS VARCHAR) AS customer,
     CASE WHEN c_mktsegment = 'BUILDING' THEN '' ELSE c_mktsegment END AS segment, c_acctbal > 0 AS in_credit,
     CAST(NULL AS VARCHAR) AS unused,
     CASE WHEN c_nationkey % 5 = 0 THEN NULL ELSE CAST(c_nationkey AS VARCHAR) END AS area, c_acctbal FROM customer)"""
@@ -130,8 +130,8 @@ ORACLES = {
     "parse_yyyymmdd": """WITH raw AS (SELECT VBELN, CASE WHEN isodow(ERDAT) >= 6 THEN '00000000'
             ELSE strftime(ERDAT, '%Y%m%d') END AS ERDAT FROM vbak)
         SELECT VBELN, ERDAT, CAST(try_strptime(ERDAT, '%Y%m%d') AS DATE) AS fecha FROM raw""",
-    "pad_key": """SELECT c_custkey, lpad(CAST(c_custkey AS VARCHAR), 10, '0') AS KUNNR,
-        lpad(CAST(c_nationkey AS VARCHAR), 3, '0') AS nation FROM customer""",
+    "pad_key": """SELECT c_custkey, repeat('0', greatest(10 - length(CAST(c_custkey AS VARCHAR)), 0)) || CAST(c_custkey AS VARCHAR) AS KUNNR,
+        repeat('0', greatest(3 - length(CAST(c_nationkey AS VARCHAR)), 0)) || CAST(c_nationkey AS VARCHAR) AS nation FROM customer""",
     "orders_silver": "SELECT * FROM vbak",
     "orders_gold": "SELECT * FROM vgold",
     "orders_checked": f"""SELECT VBELN, ERDAT, KUNNR, VKORG, VTWEG, SPART, NETWR, WAERK, upper(trim(AUART)) AS AUART,

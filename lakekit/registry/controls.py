@@ -62,7 +62,9 @@ def _chained(spark, d):
 
 
 QUERIES = {
-    "expect_warn": lambda s, d: quality.expect_warn(_events(s, d), _rules()),
+    "expect_warn": lambda s, d: quality.expect_warn(_events(s, d), _rules()).withColumn(
+        "warnings", F.array_join("warnings", ",")
+    ),
     "expect_drop": lambda s, d: quality.expect_drop(_events(s, d), _rules()),
     "expect_fail": lambda s, d: quality.expect_fail(_events(s, d), {"not_negative": F.col("value") >= 0}),
     "expectation_metrics": lambda s, d: quality.expectation_metrics(_events(s, d), _rules()),
@@ -76,7 +78,7 @@ FAILED = """concat_ws(',', CASE WHEN (value > 5) IS NOT TRUE THEN 'value_large'
     CASE WHEN (value < 250) IS NOT TRUE THEN 'value_plausible' END, CASE WHEN event_type = 'error' THEN 'no_error' END)"""
 
 ORACLES = {
-    "expect_warn": "SELECT event_id, event_type, value FROM events",
+    "expect_warn": f"SELECT event_id, event_type, value, {FAILED} AS warnings FROM events",
     "expect_drop": """SELECT event_id, event_type, value FROM events
         WHERE value > 5 AND value < 250 AND event_type <> 'error'""",
     "expect_fail": "SELECT event_id, event_type, value FROM events WHERE value >= 0",

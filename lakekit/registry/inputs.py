@@ -132,7 +132,7 @@ def customer_states(spark: SparkSession, d: str) -> list[DataFrame]:
     first = erp.read_table(spark, d, "customer").select("c_custkey", "c_mktsegment", "c_acctbal")
     second = update_where(first, F.col("c_mktsegment") == "BUILDING", {"c_mktsegment": F.lit("XXX")})
     suppliers = erp.read_table(spark, d, "supplier").select(
-        (F.col("s_suppkey") + 1_000_000_000).alias("c_custkey"),
+        (-1 - F.col("s_suppkey")).alias("c_custkey"),  # no customer has a negative key
         F.lit("SUPPLIER").alias("c_mktsegment"),
         F.col("s_acctbal").alias("c_acctbal"),
     )

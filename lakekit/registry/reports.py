@@ -208,7 +208,7 @@ QUERIES = {
     "union_all": lambda s, d: erp.kna1(s, d)
     .select(F.lit("customer").alias("kind"), F.col("KUNNR").alias("partner"), "NAME1", "LAND1")
     .unionByName(erp.lfa1(s, d).select(F.lit("vendor").alias("kind"), F.col("LIFNR").alias("partner"), "NAME1", "LAND1")),
-    "random_sample": lambda s, d: cleaning.random_sample(erp.order_headers(s, d), 50, 7),
+    "random_sample": lambda s, d: cleaning.random_sample(erp.order_headers(s, d), 50, "VBELN", 7),
 }
 
 DOC_TYPE = f"""
@@ -237,6 +237,7 @@ CENTS_BUDGET = "CAST(round(budget_revenue * 100) AS HUGEINT)"
 BUDGET_JOIN = "FROM kpis r JOIN budget b USING (year, month, sales_org, currency)"
 
 ORACLES = {
+    "random_sample": "SELECT * FROM vbak ORDER BY md5('7:' || VBELN), VBELN LIMIT 50",
     "join_header_lines": f"SELECT h.BUKRS, h.BELNR, h.GJAHR, BUZEI, BLART, WAERK, KONTO, DMBTR {LINE_JOIN}",
     "join_single_key": "SELECT VBELN, POSNR, p.MATNR, MATKL, MTART, NETWR FROM vbap p JOIN mara m ON p.MATNR = m.MATNR",
     "join_left_master": """SELECT m.KUNNR, total_ordenes, revenue_total, NAME1, LAND1

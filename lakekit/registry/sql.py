@@ -35,7 +35,8 @@ def pct(part: str, whole: str, digits: int = 2) -> str:
 
 
 def key(x: str, width: int = 10) -> str:
-    return f"lpad(CAST({x} AS VARCHAR), {width}, '0')"
+    """A key as text, zeros before it up to a width: the number of zeros is never negative."""
+    return f"(repeat('0', greatest({width} - length(CAST({x} AS VARCHAR)), 0)::BIGINT) || CAST({x} AS VARCHAR))"
 
 
 def currency(x: str) -> str:
@@ -147,7 +148,7 @@ VIEWS = {
     "hist1": """SELECT c_custkey, CASE WHEN c_mktsegment = 'BUILDING' THEN 'XXX' ELSE c_mktsegment END AS c_mktsegment,
         c_acctbal FROM hist0""",
     "hist2": """SELECT c_custkey, c_mktsegment, c_acctbal FROM hist1 WHERE c_acctbal >= 0
-        UNION ALL SELECT s_suppkey + 1000000000, 'SUPPLIER', s_acctbal FROM supplier""",
+        UNION ALL SELECT -1 - s_suppkey, 'SUPPLIER', s_acctbal FROM supplier""",
 }
 
 

@@ -149,8 +149,9 @@ ORACLES = {
             CAST(sum(tf) AS DOUBLE) / count(*) AS score FROM tf GROUP BY doc_id, pos),
         ranked AS (SELECT *, row_number() OVER o AS r, sum(n) OVER (o ROWS UNBOUNDED PRECEDING) AS run
             FROM scored WINDOW o AS (PARTITION BY doc_id ORDER BY score DESC, pos))
-        SELECT doc_id, string_agg(s, '. ' ORDER BY pos) AS summary FROM ranked WHERE run <= 40 OR r = 1
-        GROUP BY doc_id""",
+        SELECT doc_id, summary FROM documents LEFT JOIN
+            (SELECT doc_id, string_agg(s, '. ' ORDER BY pos) AS summary FROM ranked WHERE run <= 40 OR r = 1
+            GROUP BY doc_id) USING (doc_id)""",
     "normalise_description": """SELECT p_partkey, array_to_string(list_transform(
         regexp_split_to_array(trim(p_name || '  ' || p_type), '\\s+')[1:3],
         lambda w: upper(w[1]) || lower(w[2:])), ' ') AS name FROM part""",
@@ -161,8 +162,8 @@ ORACLES = {
         ', Clasificación=' || clasificacion_abc || ', Ticket promedio=' ||
         CAST(CAST(round(ticket_promedio) AS BIGINT) AS VARCHAR) AS resumen_ejecutivo
         FROM abc ORDER BY revenue_total DESC, KUNNR LIMIT 5""",
-    "document_text": """SELECT conv_id, CAST(turn // 1000 AS INTEGER) AS part,
-        string_agg(text, chr(10) ORDER BY turn) AS document_text FROM conversations GROUP BY 1, 2""",
+    "document_text": """SELECT conv_id, string_agg(text, chr(10) ORDER BY turn) AS document_text
+        FROM conversations GROUP BY conv_id""",
     "document_tree_text": "SELECT doc_id, text AS document_text FROM documents",
     "document_fields": f"""SELECT doc_id, {EXTRACTED}, 'Antioquia' AS departamento, 'Industrial' AS uso,
         TIMESTAMP '2024-06-01 08:00:00' AS _procesado_at FROM documents""",

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakekit.functions.columns import moment
+from lakekit.sources.workspace import nothing_stored
 
 
 def read_csv(spark: SparkSession, paths: str | list[str], schema: T.StructType) -> DataFrame:
@@ -96,7 +97,9 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     try:
         spark.read.parquet(path)
         return True
-    except AnalysisException:
+    except AnalysisException as error:
+        if not nothing_stored(error):
+            raise
         return False
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
 
@@ -33,3 +34,8 @@ def use_checkpoints(spark: SparkSession) -> None:
     root = shared_root(spark)
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(root)
+
+
+def nothing_stored(error: AnalysisException) -> bool:
+    """Whether a read failed because the folder is missing or empty; any other failure is a real one."""
+    return error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")

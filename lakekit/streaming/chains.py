@@ -15,6 +15,7 @@ from lakekit.operators.changes import insert_new_only, merge_accumulate
 from lakekit.operators.cleaning import dedup_by_key
 from lakekit.operators.quality import expect_drop
 from lakekit.schemas import ERP_SCHEMAS
+from lakekit.sources.workspace import nothing_stored
 from lakekit.streaming.ingest import incremental_files, read_batches, stream_table_read, write_batch
 
 
@@ -153,7 +154,9 @@ class OrderLoad:
         folder = f"{self.work}/gold_sales"
         try:
             return spark.read.option("basePath", folder).parquet(folder)
-        except AnalysisException:
+        except AnalysisException as error:
+            if not nothing_stored(error):
+                raise
             return spark.createDataFrame([], f"{EMPTY_SALES}, _after int")
 
     def _sales_before(self, spark: SparkSession, batch_id: int) -> DataFrame:

@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakekit.sources.workspace import nothing_stored
+
 RESCUED = "_rescued_data"
 RAGGED = "_corrupt_record"
 # Files per micro-batch: bounds the list of names that one batch brings to the driver.
@@ -33,8 +35,8 @@ def read_batches(spark: SparkSession, target: str, schema: T.StructType | None =
     """All rows ingested so far, with their batch number."""
     try:
         return spark.read.option("basePath", target).parquet(target)
-    except AnalysisException:
-        if schema is None:
+    except AnalysisException as error:
+        if schema is None or not nothing_stored(error):
             raise
         return spark.createDataFrame([], T.StructType([*schema.fields, T.StructField("_batch", T.IntegerType())]))
 

@@ -190,3 +190,12 @@ def test_only_existing_keys_are_scanned_for_a_small_batch(spark, before, monkeyp
     monkeypatch.setattr(joins, "estimated_bytes", lambda df: 100 if df.count() < 3 else 1000)
     small = before.where("k = 1").unionByName(before.sparkSession.createDataFrame([(7, "x", 1.0)], before.schema))
     assert rows(joins.new_keys(small, before, ["k"])) == [(7, "x", 1.0)]
+
+
+def test_long_keys_stay_apart(spark):
+    """Eleven and twelve digits through a join and a distinct count."""
+    from lakekit.functions.columns import pad_key
+
+    keys = [10000000001, 10000000002, 100000000015]
+    df = spark.createDataFrame([(k,) for k in keys], "k bigint").select(pad_key("k").alias("key"))
+    assert df.distinct().count() == 3 and df.join(df.withColumnRenamed("key", "other"), F.col("key") == F.col("other")).count() == 3

@@ -121,6 +121,27 @@ def test_mask_entities(spark):
     assert one(spark, T.mask_entities("t"), t=("string", text)) == "NIT [TAX_ID] tel [PHONE] [EMAIL]"
 
 
+def test_longer_patterns_are_masked_first_and_whole(spark):
+    secret = "deadbeef1234567890123456abcdefabcdefabcd"
+    cases = {
+        f"key {secret}.": "key [SECRET].",
+        "12345678901234567890": "12345678901234567890",
+        "4111111111111111 4111111111111111": "[CARD] [CARD]",
+        "write a.b+c@x-y.example.com now": "write [EMAIL] now",
+        "l" * 100_000: "l" * 100_000,
+        "l" * 100_000 + "@": "l" * 100_000 + "@",
+    }
+    for text, masked in cases.items():
+        assert one(spark, T.mask_entities("t"), t=("string", text)) == masked
+    found = one(spark, T.extract_fields("t", {"card": T.CARD_NUMBER, "secret": T.SECRET}), t=("string", secret))
+    assert found.asDict() == {"card": None, "secret": secret}
+
+
+def test_long_keys_stay_whole(spark):
+    for key, padded in ((5, "0000000005"), (10000000001, "10000000001"), (100000000015, "100000000015")):
+        assert one(spark, C.pad_key("k"), k=("bigint", key)) == padded
+
+
 def test_normalise_description(spark):
     assert one(spark, T.normalise_description("t", 3), t=("string", "  cemento   PORTLAND tipo I ")) == (
         "Cemento Portland Tipo"

@@ -1,6 +1,10 @@
 from __future__ import annotations
 
+import pyarrow as pa
+import pyarrow.parquet as pq
+import pytest
 from conftest import rows
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from lakekit.schemas import ERP_SCHEMAS
@@ -229,3 +233,14 @@ def test_no_local_folder_on_a_cluster():
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         fresh_dir(_Session("spark://cluster:7077"), "run")
+
+
+def test_a_broken_table_is_not_an_empty_one(spark, tmp_path):
+    schema = spark.range(1).schema
+    assert read_batches(spark, str(tmp_path / "none"), schema).count() == 0
+    (tmp_path / "odd" / "_batch=1").mkdir(parents=True)
+    pq.write_table(pa.table({"id": [1], "ID": [2]}), tmp_path / "odd" / "_batch=1" / "part.parquet")
+    with pytest.raises(AnalysisException):
+        read_batches(spark, str(tmp_path / "odd"), schema)
+    with pytest.raises(AnalysisException):
+        files.table_exists(spark, str(tmp_path / "odd"))

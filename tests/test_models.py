@@ -80,11 +80,20 @@ def test_features(spark):
     assert cells == {"k1": [1, 1, 0, 0, 1], "k2": [0, 0, 1, 1, 0]}
 
 
-def test_too_many_categories(spark, monkeypatch):
-    monkeypatch.setattr(learning, "MAX_CATEGORIES", 5)
-    df = spark.range(50).select(F.col("id").cast("string").alias("key"), F.col("id").cast("string").alias("c"))
-    with pytest.raises(ValueError, match="c"):
-        learning.one_hot(df, "key")
+def test_many_categories(spark):
+    df = spark.range(10_500).select(F.col("id").cast("string").alias("key"), F.col("id").cast("string").alias("c"))
+    encoded = learning.one_hot(df, "key")
+    assert encoded.first().features.size == 10_500
+
+
+def test_quality_of_many_clusters(spark, monkeypatch):
+    df = spark.range(4_400).select(
+        (F.col("id") % 2_200).alias("label"), F.array(F.col("id") % 2_200 * 1.0, F.col("id") * 0.001).alias("e")
+    )
+    vectors = learning.array_features(df, "e").drop("e")
+    blocks = learning.cluster_quality(vectors).first()
+    monkeypatch.setattr(learning, "MEANS_PER_BLOCK", 10_000)
+    assert blocks.clusters == 2_200 and blocks == learning.cluster_quality(vectors).first()
 
 
 def test_model_is_loaded_once_per_task(spark):
@@ -127,10 +136,16 @@ def test_summary_keeps_order_and_limit(spark):
     assert found[2].startswith("One very long")
 
 
-def test_long_documents_come_in_parts(spark):
+def test_texts_without_words_keep_their_row(spark):
+    df = spark.createDataFrame([(1, "12 34. 56"), (2, None), (3, ""), (4, "A word")], "k int, t string")
+    found = {r.k: r.summary for r in enrich.summarise_extract(df, "k", "t", 9).collect()}
+    assert found == {1: None, 2: None, 3: None, 4: "A word"}
+
+
+def test_long_documents_are_one_row(spark):
     df = spark.range(25).select(F.lit("d").alias("doc"), F.col("id").alias("pos"), F.col("id").cast("string").alias("t"))
-    found = enrich.document_text(df, "doc", "pos", "t", rows_per_part=10).orderBy("part").collect()
-    assert [r.document_text.split("\n") for r in found] == [[str(i) for i in range(a, b)] for a, b in ((0, 10), (10, 20), (20, 25))]
+    found = enrich.document_text(df, "doc", "pos", "t", rows_per_part=10).collect()
+    assert [r.document_text.split("\n") for r in found] == [[str(i) for i in range(25)]]
 
 
 def test_parsed_document(spark):

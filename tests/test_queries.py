@@ -12,7 +12,7 @@ from lakekit import registry
 QUERIES = registry.queries()
 SQL = registry.oracle_sql()
 # Operators whose result SQL cannot state: random draws, file sizes, iterative models.
-WITHOUT_SQL = {"random_sample", "binary_files", "file_health", "cluster_search", "project_2d", "publish_clusters"}
+WITHOUT_SQL = {"binary_files", "file_health", "cluster_search", "project_2d", "publish_clusters"}
 
 
 def test_every_query_has_sql_or_a_reason():
