@@ -277,11 +277,12 @@ def drop_near_duplicates(
     firsts = classes.select("fp", order_of_class().alias("first")).join(labels.toDF("fp", "r"), "fp", "left")
     kept = firsts.groupBy(F.coalesce("r", "fp").alias("root")).agg(F.min("first").alias("first")).select("first.doc_id", "first.text_hash")
     wordless = rows_.where("n_shingles = 0").select("doc_id", "text_hash").distinct()
-    chosen = kept.unionByName(wordless).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_kept"))
-    keyed = docs.select(F.struct(*docs.columns).alias("_row"), docs[id_col].alias("_key"), F.xxhash64(docs[text_col]).alias("_hash"))
+    # Ids by their hash, so that NULL is a value; with the text's hash, 128 bits tell documents apart. Grouping and join
+    # have the same keys, so texts are shuffled once.
+    chosen = kept.unionByName(wordless).select(F.xxhash64("doc_id").alias("_key"), F.col("text_hash").alias("_hash"))
+    keyed = docs.select(F.struct(*docs.columns).alias("_row"), F.xxhash64(docs[id_col]).alias("_key"), F.xxhash64(docs[text_col]).alias("_hash"))
     single = keyed.groupBy("_key", "_hash").agg(F.any_value("_row").alias("_row"))
-    same = (single["_hash"] == chosen["_kept"]) & single["_key"].eqNullSafe(chosen["_id"])
-    return single.join(chosen, same, "left_semi").select("_row.*")
+    return single.join(chosen, ["_key", "_hash"], "left_semi").select("_row.*")
 
 
 def order_of_class() -> Column:
