@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Largest estimated size of a side that is sent to every executor when asked to.
+# Rows of a list of periods that may be broadcast: some MB.
+FEW_PERIODS = 50_000
 BROADCAST_LIMIT = 64 * 1024 * 1024
 
 
@@ -53,7 +55,13 @@ def new_keys(candidates: DataFrame, target: DataFrame, keys: Sequence[str]) -> D
 def join_validity(
     facts: DataFrame, periods: DataFrame, key: str, at: str, valid_from: str, valid_to: str
 ) -> DataFrame:
-    """Equi-join on the key, kept where the moment lies in [valid_from, valid_to); an open end is NULL."""
+    """Equi-join on the key, kept where the moment lies in [valid_from, valid_to); an open end is NULL.
+
+    Few keys may hold all facts. The periods are counted, and if they are few, they go to the facts instead of the facts
+    being shuffled by key; beyond that, Spark splits the hot keys of the join.
+    """
+    if periods.limit(FEW_PERIODS + 1).count() <= FEW_PERIODS:
+        periods = F.broadcast(periods)
     inside = (F.col(at) >= F.col(valid_from)) & (F.col(valid_to).isNull() | (F.col(at) < F.col(valid_to)))
     return facts.alias("f").join(
         periods.withColumnRenamed(key, "_period_key"), (F.col(f"f.{key}") == F.col("_period_key")) & inside

@@ -62,12 +62,19 @@ def compact_files(
 ) -> None:
     """Rewrite a table into files near the target size, in a new place.
 
-    A partitioned table keeps its folders: rows are rebalanced by partition value, which gathers small values and
-    splits large ones. An unpartitioned one is dealt out evenly.
+    A partitioned table keeps its folders: each is dealt out over as many parts as its size needs, by a hash of the row.
+    An unpartitioned one is dealt out evenly.
     """
     table = spark.read.parquet(path)
     if partition_by:
-        table = table.hint("rebalance", *[F.col(c) for c in partition_by])
+        folder = F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "")
+        sizes = table.select(folder.alias("_folder"), F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_size").alias("s"))
+        parts = F.ceil(F.sum("s") / F.lit(target_mb * MB))
+        needed = sizes.distinct().groupBy("_folder").agg(parts.alias("_parts"))
+        part = F.pmod(F.xxhash64(*table.columns), F.col("_parts"))
+        dealt = table.withColumn("_folder", folder).join(needed, "_folder").withColumn("_part", part)
+        total = needed.agg(F.sum("_parts")).first()[0] or 1
+        table = dealt.repartition(total, "_folder", "_part").drop("_folder", "_part", "_parts")
     else:
         table = table.repartition(files_needed(spark, path, target_mb))
     table.write.mode("errorifexists").partitionBy(*partition_by).parquet(new_path)

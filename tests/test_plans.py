@@ -221,3 +221,27 @@ def test_left_join_to_facts_keeps_all_masters(spark):
     master = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "k int, n string")
     facts = spark.createDataFrame([(1, 10), (1, 11), (3, 12), (9, 13)], "k int, v int")
     assert rows(joins.join_facts(master, facts, ["k"])) == rows(master.join(facts, "k", "left"))
+
+
+def test_partitioned_compaction_keeps_to_the_target_size(spark, tmp_path):
+    rows = spark.range(60_000).select((F.col("id") % 10 == 0).cast("int").alias("g"), F.col("id"), F.sha2(F.col("id").cast("string"), 256).alias("t"))
+    rows.repartition(20).write.partitionBy("g").parquet(str(tmp_path / "small"))
+    layout.compact_files(spark, str(tmp_path / "small"), str(tmp_path / "mb"), ["g"], target_mb=1)
+    layout.compact_files(spark, str(tmp_path / "small"), str(tmp_path / "all"), ["g"], target_mb=4096)
+    fine, coarse = (layout.table_files(spark, str(tmp_path / n)).count() for n in ("mb", "all"))
+    assert coarse == 2 and fine > 3
+    assert spark.read.parquet(str(tmp_path / "mb")).distinct().count() == 60_000
+
+
+def test_few_periods_go_to_the_facts(spark):
+    from lakekit.operators.joins import join_validity
+
+    facts = spark.range(1000).select(F.concat(F.lit("sku"), F.floor(F.col("id") / 5000)).alias("k"), F.col("id").alias("at"))
+    periods = spark.createDataFrame([("sku0", 0, 500), ("sku0", 500, None)], "k string, a long, b long")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        joined = join_validity(facts, periods, "k", "at", "a", "b")
+        assert joined.count() == 1000
+        assert "BroadcastHashJoin" in executed_plan(joined)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
