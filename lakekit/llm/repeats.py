@@ -105,8 +105,9 @@ class Anchors:
             around = self.hashes.of(self.first, span + LENGTH)
             offsets = (self.place - self.first).astype(np.uint64) * np.uint64(1000) + span.astype(np.uint64)
             self.around = mixed(mixed(around) + offsets * np.uint64(0xC2B2AE3D27D4EB4F))
-            _, inverse, counts = np.unique(self.key, return_inverse=True, return_counts=True)
-            if len(counts) < len(self.key):
+            ordered = np.sort(self.key)
+            if (ordered[1:] == ordered[:-1]).any():
+                _, inverse, counts = np.unique(self.key, return_inverse=True, return_counts=True)
                 self._mark_inner_repeats(np.flatnonzero(counts[inverse] > 1))
 
     def _mark_inner_repeats(self, owners: np.ndarray) -> None:
