@@ -3,7 +3,7 @@
 The model predicts the class of the next token: one of the most frequent tokens, the end, or a group of the other tokens
 with alike endings. Context tokens' vectors, scaled by position, add up to a predicted vector; its products with all
 classes' vectors, normalised, are probabilities. Within a group, tokens have smoothed relative frequencies, so that the
-probabilities of all known tokens and one unknown in each group add up to one. Counts and training cover all training documents: counts by a shuffle, training by tasks that each learn
+probabilities of all known tokens and one unknown in each group add up to one. Counts and training cover all training documents, each position as an example once: counts by a shuffle, training by tasks that each learn
 from their part and whose parameters are averaged.
 """
 
@@ -12,8 +12,9 @@ from __future__ import annotations
 import math
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, replace
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -33,8 +34,7 @@ NOISE = 64  # noise tokens that the examples of a batch share
 NOISE_RATIO = 8.0
 RATE = 0.3
 BATCH = 1024
-EVERY = 8  # of the positions of each training text, one in so many is an example in each round
-ROUNDS = 2
+ROUNDS = 2  # each takes every second position of each training text, the second round those that the first leaves out
 TRAINING_TASKS = 64  # each sends the driver one model of about 20 kB
 FREQUENT = 300_000  # at most so many tokens with their counts are sent to every task; the others are joined
 FLUSH = 400_000
@@ -142,10 +142,12 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def examples(texts: list[np.ndarray], context: int, first: int = 0, every: int = 1) -> tuple[np.ndarray, np.ndarray]:
-    """(histories, following classes) of every so many positions of each text; before a text there are ends."""
+def examples(
+    texts: list[np.ndarray], context: int, firsts: Iterable[int] = repeat(0), every: int = 1
+) -> tuple[np.ndarray, np.ndarray]:
+    """(histories, following classes) of every so many positions of each text; before a text there are ends. `firsts` has each text's first one."""
     histories, following = [], []
-    for ids in texts:
+    for ids, first in zip(texts, firsts):
         padded = np.concatenate([np.full(context, GROUPS, ids.dtype), ids])
         places = np.arange(first % every, len(ids), every)
         histories.append(padded[places[:, None] + np.arange(context - 1, -1, -1)])
@@ -217,14 +219,16 @@ def group_masses(counts: DataFrame, table: ClassTable) -> tuple[np.ndarray, np.n
 
 
 def train(docs: DataFrame, classes: ClassTable, class_counts: np.ndarray, rounds: int = ROUNDS) -> LogBilinear:
-    """Rounds of training on all documents of (text): every task starts from the last model, and the results are averaged.
+    """Rounds of training on all documents of (doc_id, text): every task starts from the last model, and the
+    results are averaged. Of n rounds, each takes every n-th position of a text, the first one by the hash of its id, so
+    that all rounds together take every position once.
 
     A task takes its examples in order and ends with one model, so at most TRAINING_TASKS models reach the driver.
     """
     spark = docs.sparkSession
     model = initial(class_counts)
     shared_classes = spark.sparkContext.broadcast(classes)
-    dealt = docs.select("text").coalesce(TRAINING_TASKS)
+    dealt = docs.select("text", F.pmod(F.xxhash64("doc_id"), F.lit(rounds)).alias("first")).coalesce(TRAINING_TASKS)
     for turn in range(rounds):
         start = spark.sparkContext.broadcast(model)
 
@@ -233,7 +237,8 @@ def train(docs: DataFrame, classes: ClassTable, class_counts: np.ndarray, rounds
             trainer, table, n = Trainer(start.value, 1000 * turn + task), shared_classes.value, 0
             for batch in slices(batches, "text", 1 << 20):
                 texts = [_ids(tokens_of(t), table) for t in utf8(batch, "text")]
-                history, following = examples(texts, CONTEXT, turn * (EVERY // ROUNDS), EVERY)
+                firsts = [x + turn for x in batch.column("first").to_pylist()]
+                history, following = examples(texts, CONTEXT, firsts, rounds)
                 order = trainer.rng.permutation(len(following))
                 for a in range(0, len(order), BATCH):
                     chosen = order[a : a + BATCH]

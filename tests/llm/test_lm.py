@@ -79,3 +79,10 @@ def test_query_and_held_out_likelihood(spark, folder):
     check(rows, got)
     held = [r for r in got if r["held_out"]]
     assert sum(r["score"] for r in held) > 0.99 * sum(r["base_score"] for r in held)
+
+
+def test_every_position_is_learned(spark):
+    """Texts of two words: the second word and the end stand at positions that a stride of four or eight never takes."""
+    docs = spark.range(20_000).selectExpr("id AS doc_id", "'alpha beta' AS text").repartition(1)
+    held = lm.score_texts(docs).where("held_out").first()
+    assert held["score"] > 0.5 * held["base_score"]
