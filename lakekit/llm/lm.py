@@ -1,10 +1,12 @@
 """Scoring texts by a log-bilinear neural language model, trained in numpy by noise-contrastive estimation.
 
-The model predicts the class of the next token: one of the most frequent tokens, the end, or a group of the other tokens
-with alike endings. Context tokens' vectors, scaled by position, add up to a predicted vector; its products with all
-classes' vectors, normalised, are probabilities. Within a group, tokens have smoothed relative frequencies, so that the
-probabilities of all known tokens and one unknown in each group add up to one. Counts and training cover all training documents, each position as an example once: counts by a shuffle, training by tasks that each learn
-from their part and whose parameters are averaged.
+The model predicts the next token: a token with vectors of its own, the end, or a group of the other tokens with alike
+endings. All tokens counted often enough have vectors of their own. Context tokens' vectors, scaled by position, add up to
+a predicted vector. Its products with all classes' vectors, normalised, are the classes' probabilities; its products with
+the vectors of one class's tokens, normalised, are theirs within the class. Classes are ranges of tokens by frequency.
+Within a group, tokens have smoothed relative frequencies, so that the probabilities of all known tokens and one unknown
+in each group add up to one. Counts and training cover all training documents, and every position is an example once:
+counts by a shuffle, training by tasks that each learn from their part and whose parameters are averaged.
 """
 
 from __future__ import annotations
@@ -26,16 +28,18 @@ from lakekit.llm.common import slices, stored, utf8
 from lakekit.llm.quality import remainder
 
 END = b""  # the token that ends every text; no word is empty
-CLASSES = 128
-GROUPS = 64  # of these classes, for tokens that have none of their own
+GROUPS = 64  # for tokens that have no vectors of their own
+OWN_COUNT = 50  # of the training texts, from which a token has vectors of its own if it is a frequent one
 DIMENSIONS = 16
 CONTEXT = 5
-NOISE = 64  # noise tokens that the examples of a batch share
+NOISE = 64  # noise classes that the examples of a batch share
 NOISE_RATIO = 8.0
-RATE = 0.3
+RIVALS = 4  # noise tokens of its class for each example
+RATE = 0.1
 BATCH = 1024
 ROUNDS = 2  # each takes every second position of each training text, the second round those that the first leaves out
-TRAINING_TASKS = 64  # each sends the driver one model of about 20 kB
+TRAINING_TASKS = 64  # each ends with the rows of the model that it has changed
+BLOCK = 1024  # rows of the model that are averaged together
 FREQUENT = 300_000  # at most so many tokens with their counts are sent to every task; the others are joined
 FLUSH = 400_000
 
@@ -49,93 +53,177 @@ def tokens_of(text: bytes) -> list[bytes]:
 
 @dataclass(frozen=True)
 class LogBilinear:
-    """Vectors of context tokens and of predicted tokens by class, scales by context position, biases, class counts."""
+    """Vectors of context tokens by id, scales by context position, vectors and biases of classes and of predicted tokens.
+
+    Predicted tokens are in the order of their classes: `place` has theirs by id, `starts` the classes' first places.
+    """
 
     contexts: np.ndarray
     scales: np.ndarray
+    class_targets: np.ndarray
+    class_biases: np.ndarray
     targets: np.ndarray
     biases: np.ndarray
     noise: np.ndarray
+    place: np.ndarray
+    starts: np.ndarray
 
-    def parameters(self) -> np.ndarray:
-        return np.concatenate([x.ravel() for x in (self.contexts, self.scales, self.targets, self.biases)])
-
-    def with_parameters(self, flat: np.ndarray) -> LogBilinear:
-        parts, at = [], 0
-        for x in (self.contexts, self.scales, self.targets, self.biases):
-            parts.append(flat[at : at + x.size].reshape(x.shape).astype(np.float32))
-            at += x.size
-        return replace(self, contexts=parts[0], scales=parts[1], targets=parts[2], biases=parts[3])
+    def copy(self) -> LogBilinear:
+        return replace(self, **{name: getattr(self, name).copy() for name in PARAMETERS})
 
     def predicted(self, history: np.ndarray) -> np.ndarray:
-        return sum(self.contexts[history[:, j]] * self.scales[j] for j in range(history.shape[1]))
+        return np.einsum("nkd,kd->nd", self.contexts.take(history, axis=0), self.scales)
 
     def log_probabilities(self, history: np.ndarray, following: np.ndarray) -> np.ndarray:
         """Natural logarithms of the normalised probabilities of `following` after `history`."""
-        vectors = self.predicted(history)
         out = np.empty(len(following))
-        for a in range(0, len(following), 4096):
-            b = min(a + 4096, len(following))
-            logits = vectors[a:b] @ self.targets.T + self.biases
-            own = logits[np.arange(b - a), following[a:b]]
-            peak = logits.max(axis=1)
-            logits -= peak[:, None]
-            out[a:b] = own - peak - np.log(np.exp(logits, out=logits).sum(axis=1))
+        for a in range(0, len(following), 1 << 15):
+            vectors = self.predicted(history[a : a + (1 << 15)])
+            place = self.place[following[a : a + (1 << 15)]]
+            kind = np.searchsorted(self.starts, place, "right") - 1
+            total = np.empty(len(place))
+            for i in range(0, len(place), 1024):
+                own = slice(i, i + 1024)
+                total[own] = _log_softmax(vectors[own] @ self.class_targets.T + self.class_biases, kind[own])
+            order = np.argsort(kind, kind="stable")
+            edges = np.searchsorted(kind[order], np.arange(len(self.starts)))
+            for c in np.flatnonzero((np.diff(edges) > 0) & (np.diff(self.starts) > 1)):
+                low, high = self.starts[c], self.starts[c + 1]
+                step = max(1, (1 << 20) // (high - low))
+                for i in range(edges[c], edges[c + 1], step):
+                    chosen = order[i : min(i + step, edges[c + 1])]
+                    logits = vectors[chosen] @ self.targets[low:high].T + self.biases[low:high]
+                    total[chosen] += _log_softmax(logits, place[chosen] - low)
+            out[a : a + (1 << 15)] = total
         return out
 
 
-def initial(class_counts: np.ndarray, dimensions: int = DIMENSIONS, context: int = CONTEXT, seed: int = 11) -> LogBilinear:
-    """The model that predicts the relative frequencies of the classes in any context."""
+PARAMETERS = ("contexts", "scales", "class_targets", "class_biases", "targets", "biases")
+
+
+def _log_softmax(logits: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """The chosen one of each row; overwrites the logits."""
+    own = logits[np.arange(len(chosen)), chosen]
+    peak = logits.max(axis=1)
+    logits -= peak[:, None]
+    return own - peak - np.log(np.exp(logits, out=logits).sum(axis=1))
+
+
+def initial(token_counts: np.ndarray, dimensions: int = DIMENSIONS, context: int = CONTEXT, seed: int = 11) -> LogBilinear:
+    """The model that predicts the relative frequencies of the tokens in any context.
+
+    Classes are about as many as the root of the tokens, of like sums of roots of counts: common tokens are in small ones.
+    """
     rng = np.random.default_rng(seed)
-    share = (class_counts + 1) / (class_counts + 1).sum()
-    n = len(class_counts)
+    counts = np.asarray(token_counts, float) + 1
+    n = len(counts)
+    order = np.argsort(-counts, kind="stable")
+    place = np.empty(n, np.int32)
+    place[order] = np.arange(n, dtype=np.int32)
+    counts = counts[order]
+    mass = np.cumsum(np.sqrt(counts))
+    label = np.floor((mass - np.sqrt(counts)) / mass[-1] * np.ceil(np.sqrt(n)))
+    starts = np.concatenate([[0], np.flatnonzero(np.diff(label)) + 1, [n]]).astype(np.int32)
+    in_class = np.add.reduceat(counts, starts[:-1])
+    share = in_class / in_class.sum()
     return LogBilinear(
         rng.normal(0, 0.3, (n, dimensions)).astype(np.float32),
         np.tile(np.float32(1.0 / context), (context, dimensions)),
-        rng.normal(0, 0.1, (n, dimensions)).astype(np.float32),
+        rng.normal(0, 0.1, (len(share), dimensions)).astype(np.float32),
         np.log(share).astype(np.float32),
+        rng.normal(0, 0.1, (n, dimensions)).astype(np.float32),
+        np.log(counts / np.repeat(in_class, np.diff(starts))).astype(np.float32),
         share,
+        place,
+        starts,
     )
 
 
 class Trainer:
-    """Noise-contrastive estimation: tells real next tokens from tokens drawn by frequency. Adagrad, batches of numpy."""
+    """Noise-contrastive estimation: tells the real next class from classes drawn by frequency, and the real next token from
+    others of its class, drawn evenly. Adagrad, batches of numpy."""
 
     def __init__(self, model: LogBilinear, seed: int) -> None:
-        self.model = model.with_parameters(model.parameters().copy())
-        self.sums = [np.full(x.shape, 1e-2, np.float32) for x in (model.contexts, model.scales, model.targets, model.biases)]
+        self.model = model.copy()
+        self.sums = {name: np.full(getattr(model, name).shape, 1e-1, np.float32) for name in PARAMETERS}
         self.rng = np.random.default_rng(seed)
         self.log_noise = np.log(model.noise * NOISE_RATIO).astype(np.float32)
-
-    def _move(self, which: int, value: np.ndarray, grad: np.ndarray) -> None:
-        self.sums[which] += grad * grad
-        value -= RATE * grad / np.sqrt(self.sums[which])
+        self.class_of = np.repeat(np.arange(len(model.noise), dtype=np.int32), np.diff(model.starts))
+        self.sizes = np.diff(model.starts).astype(np.float32)
+        self.slot = np.empty(len(model.place), np.int32)
+        self.seen = {name: np.zeros(len(model.place), np.float32) for name in ("contexts", "targets")}
+
+    def _move(self, name: str, grad: np.ndarray, rows: np.ndarray | None = None) -> None:
+        value, sums = getattr(self.model, name), self.sums[name]
+        if rows is None:
+            sums += grad * grad
+            value -= RATE * grad / np.sqrt(sums)
+            return
+        now = sums.take(rows, axis=0)
+        now += grad * grad
+        sums[rows] = now
+        np.sqrt(now, out=now)
+        grad *= RATE
+        grad /= now
+        value[rows] = value.take(rows, axis=0) - grad
+
+    def _added(self, name: str, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(the distinct rows, the position of each given row among them); counts them as seen."""
+        self.slot[rows] = np.arange(len(rows), dtype=np.int32)
+        first = self.slot[rows]
+        distinct = rows[first == np.arange(len(rows))]
+        self.slot[distinct] = np.arange(len(distinct), dtype=np.int32)
+        position = self.slot[rows]
+        self.seen[name][distinct] += np.bincount(position, minlength=len(distinct))
+        return distinct, position
 
     def step(self, history: np.ndarray, following: np.ndarray) -> None:
         m, n = self.model, len(following)
-        drawn = self.rng.choice(len(m.noise), NOISE, p=m.noise)
         vectors = m.predicted(history)
-        real = np.einsum("ij,ij->i", vectors, m.targets[following]) + m.biases[following] - self.log_noise[following]
-        fake = vectors @ m.targets[drawn].T + m.biases[drawn] - self.log_noise[drawn]
-        d_real = (_sigmoid(real) - 1) / n
-        d_fake = _sigmoid(fake) * np.float32(NOISE_RATIO / NOISE / n)
-        d_vectors = d_real[:, None] * m.targets[following] + d_fake @ m.targets[drawn]
-        classes = len(m.noise)
-        # One-hot products add up the gradients of repeated classes.
-        hot = np.zeros((n, classes), np.float32)
-        hot[np.arange(n), following] = d_real
-        g_targets = hot.T @ vectors
-        g_biases = hot.sum(axis=0)
-        np.add.at(g_targets, drawn, d_fake.T @ vectors)
-        np.add.at(g_biases, drawn, d_fake.sum(axis=0))
-        g_contexts, g_scales = np.zeros_like(m.contexts), np.zeros_like(m.scales)
-        for j in range(history.shape[1]):
-            hot[:] = 0
-            hot[np.arange(n), history[:, j]] = 1
-            g_contexts += hot.T @ (d_vectors * m.scales[j])
-            g_scales[j] = (d_vectors * m.contexts[history[:, j]]).sum(axis=0)
-        for i, (x, g) in enumerate(zip((m.contexts, m.scales, m.targets, m.biases), (g_contexts, g_scales, g_targets, g_biases))):
-            self._move(i, x, g)
+        place = m.place[following]
+        kind = self.class_of[place]
+        drawn = self.rng.choice(len(m.noise), NOISE, p=m.noise)
+        real = np.einsum("ij,ij->i", vectors, m.class_targets[kind]) + m.class_biases[kind] - self.log_noise[kind]
+        fake = vectors @ m.class_targets[drawn].T + m.class_biases[drawn] - self.log_noise[drawn]
+        d_real = _sigmoid(real) - 1
+        d_fake = _sigmoid(fake) * np.float32(NOISE_RATIO / NOISE)
+        d_vectors = d_real[:, None] * m.class_targets[kind] + d_fake @ m.class_targets[drawn]
+        g_classes, g_class_biases = np.zeros_like(m.class_targets), np.zeros_like(m.class_biases)
+        _add_rows(g_classes, kind, d_real[:, None] * vectors)
+        np.add.at(g_class_biases, kind, d_real)
+        _add_rows(g_classes, drawn, d_fake.T @ vectors)
+        np.add.at(g_class_biases, drawn, d_fake.sum(axis=0))
+
+        size = self.sizes[kind]
+        offset = (self.rng.random((n, RIVALS), np.float32) * size[:, None]).astype(np.int32)
+        rivals = m.starts[kind][:, None] + np.minimum(offset, size[:, None].astype(np.int32) - 1)
+        words = np.concatenate([place[:, None], rivals], axis=1)
+        own = m.targets.take(words, axis=0)
+        d_words = _sigmoid(np.einsum("nrd,nd->nr", own, vectors) + m.biases[words] - np.log(RIVALS / size)[:, None])
+        d_words[:, 0] -= 1
+        d_words *= (size > 1)[:, None]  # a class of one token has nothing to tell apart
+        d_vectors += np.einsum("nr,nrd->nd", d_words, own)
+        touched, position = self._added("targets", words.ravel())
+        g_words, g_biases = np.zeros((len(touched), vectors.shape[1]), np.float32), np.zeros(len(touched), np.float32)
+        _add_rows(g_words, position, np.einsum("nr,nd->nrd", d_words, vectors))
+        np.add.at(g_biases, position, d_words.ravel())
+
+        before, position = self._added("contexts", history.ravel())
+        g_contexts = np.zeros((len(before), vectors.shape[1]), np.float32)
+        _add_rows(g_contexts, position, np.einsum("nd,kd->nkd", d_vectors, m.scales))
+        g_scales = np.einsum("nd,nkd->kd", d_vectors, m.contexts.take(history, axis=0))
+        self._move("class_targets", g_classes)
+        self._move("class_biases", g_class_biases)
+        self._move("scales", g_scales)
+        self._move("targets", g_words, touched)
+        self._move("biases", g_biases, touched)
+        self._move("contexts", g_contexts, before)
+
+
+def _add_rows(total: np.ndarray, rows: np.ndarray, values: np.ndarray) -> None:
+    """Adds each row of the values to its row of the total; flat, where numpy is fast."""
+    d = total.shape[1]
+    np.add.at(total.reshape(-1), (rows[:, None] * d + np.arange(d, dtype=rows.dtype)).ravel(), values.ravel())
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -145,7 +233,7 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 def examples(
     texts: list[np.ndarray], context: int, firsts: Iterable[int] = repeat(0), every: int = 1
 ) -> tuple[np.ndarray, np.ndarray]:
-    """(histories, following classes) of every so many positions of each text; before a text there are ends. `firsts` has each text's first one."""
+    """(histories, following tokens) of every so many positions of each text; before a text there are ends. `firsts` has each text's first one."""
     histories, following = [], []
     for ids, first in zip(texts, firsts):
         padded = np.concatenate([np.full(context, GROUPS, ids.dtype), ids])
@@ -195,48 +283,95 @@ def frequent_tokens(counts: DataFrame, most: int) -> tuple[dict[bytes, int], int
     return dict(zip((t.encode() for t in rows["token"].to_pylist()), rows["c"].to_pylist())), least
 
 
-class ClassTable(dict):
-    """Class by token: the end, then the most frequent tokens; all others by the hash of their last two bytes."""
+class TokenTable(dict):
+    """Id by token: the end, then tokens with vectors of their own; all others by the hash of their last two bytes."""
 
     def __missing__(self, token: bytes) -> int:
         return zlib.crc32(token[-2:]) % GROUPS
 
     @classmethod
-    def of(cls, frequent: dict[bytes, int], classes: int) -> ClassTable:
-        words = sorted((t for t in frequent if t != END), key=lambda t: (-frequent[t], t))[: classes - GROUPS - 1]
+    def of(cls, frequent: dict[bytes, int], least: int) -> TokenTable:
+        words = sorted((t for t, c in frequent.items() if t != END and c >= least), key=lambda t: (-frequent[t], t))
         return cls({END: GROUPS} | {t: GROUPS + 1 + i for i, t in enumerate(words)})
 
 
-def group_masses(counts: DataFrame, table: ClassTable) -> tuple[np.ndarray, np.ndarray]:
-    """(counts, distinct tokens) of each group of tokens without a class of their own, over all counted tokens."""
+def group_masses(counts: DataFrame, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """(counts, distinct tokens) of each group of tokens counted less than `least` times, over all counted tokens."""
     group = F.crc32(F.substring(F.col("token").cast("binary"), -2, 2)) % GROUPS
-    own = counts.sparkSession.createDataFrame([(t.decode(),) for t in table], "token string")
-    rows = counts.join(F.broadcast(own), "token", "left_anti").groupBy(group.alias("g")).agg(F.sum("c").alias("c"), F.count("*").alias("v"))
+    others = counts.where((F.col("c") < least) & (F.col("token") != END.decode()))
+    rows = others.groupBy(group.alias("g")).agg(F.sum("c").alias("c"), F.count("*").alias("v"))
     total, distinct = np.zeros(GROUPS), np.zeros(GROUPS)
     for r in rows.collect():
         total[r["g"]], distinct[r["g"]] = r["c"], r["v"]
     return total, distinct
 
 
-def train(docs: DataFrame, classes: ClassTable, class_counts: np.ndarray, rounds: int = ROUNDS) -> LogBilinear:
-    """Rounds of training on all documents of (doc_id, text): every task starts from the last model, and the
-    results are averaged. Of n rounds, each takes every n-th position of a text, the first one by the hash of its id, so
-    that all rounds together take every position once.
-
-    A task takes its examples in order and ends with one model, so at most TRAINING_TASKS models reach the driver.
+# Parameters that have a row per token, and those that every example moves.
+_BY_TOKEN = {"contexts": ("contexts",), "targets": ("targets", "biases")}
+_DENSE = ("scales", "class_targets", "class_biases")
+_PART = "part string, block int, task int, rows binary, weights binary, flat binary"
+
+
+def _table(model: LogBilinear, part: str, rows=slice(None)) -> np.ndarray:
+    """A part of the model as a matrix: the rows of tokens, or all that every example moves as one row."""
+    if part == "dense":
+        return np.concatenate([getattr(model, x).ravel() for x in _DENSE])[None]
+    return np.hstack([getattr(model, x)[rows].reshape(-1, model.contexts.shape[1] if x != "biases" else 1) for x in _BY_TOKEN[part]])
+
+
+def _parts(trainer: Trainer, task: int, n: int) -> Iterator[pa.RecordBatch]:
+    """What a task has changed, by blocks of rows; a row's weight is how often the task has seen it."""
+    names = [c.split()[0] for c in _PART.split(", ")]
+    found = [("dense", 0, np.zeros(1, np.int32), np.array([n], np.float32))]
+    for part in _BY_TOKEN:
+        rows = np.flatnonzero(trainer.seen[part]).astype(np.int32)
+        for own in np.split(rows, np.flatnonzero(np.diff(rows // BLOCK)) + 1) if len(rows) else []:
+            found.append((part, int(own[0]) // BLOCK, own, trainer.seen[part][own]))
+    for part, block, rows, weights in found:
+        values = [part], [block], [task], [rows.tobytes()], [weights.tobytes()], [_table(trainer.model, part, rows).tobytes()]
+        kinds = pa.string(), pa.int32(), pa.int32(), *[pa.binary()] * 3
+        yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(values, kinds)], names)
+
+
+def _averaged(table: pa.Table) -> pa.Table:
+    """The mean of one block over the tasks that have seen its rows, by how often they have."""
+    table = table.sort_by("task")
+    total, weight = None, np.zeros(BLOCK)
+    for rows, weights, flat in zip(*(table[c].to_pylist() for c in ("rows", "weights", "flat"))):
+        own, weights = np.frombuffer(rows, np.int32) % BLOCK, np.frombuffer(weights, np.float32)
+        values = np.frombuffer(flat, np.float32).reshape(len(own), -1)
+        if total is None:
+            total = np.zeros((BLOCK if table["part"][0].as_py() != "dense" else 1, values.shape[1]))
+        total[own] += values * weights[:, None].astype(float)
+        weight[own] += weights
+    own = np.flatnonzero(weight).astype(np.int32)
+    rows = own + np.int32(table["block"][0].as_py() * BLOCK)
+    mean = (total[own] / weight[own, None]).astype(np.float32)
+    done = table.slice(0, 1).drop_columns(["rows", "weights", "flat"])
+    for name, value in (("rows", rows), ("weights", weight[own].astype(np.float32)), ("flat", mean)):
+        done = done.append_column(name, pa.array([value.tobytes()], pa.binary()))
+    return done
+
+
+def train(docs: DataFrame, table: TokenTable, counts: np.ndarray, rounds: int = ROUNDS) -> LogBilinear:
+    """Rounds of training on all documents of (doc_id, text): every task starts from the last model, and the results are averaged.
+
+    A task takes its examples in order and ends with the rows it has changed; blocks of rows are averaged by Spark, so
+    that the driver gets one model per round. Of n rounds, each takes every n-th position of a text, the first one by the
+    hash of its id, so that all rounds together take every position once and each has first and last words.
     """
     spark = docs.sparkSession
-    model = initial(class_counts)
-    shared_classes = spark.sparkContext.broadcast(classes)
+    model = initial(counts)
+    shared_table = spark.sparkContext.broadcast(table)
     dealt = docs.select("text", F.pmod(F.xxhash64("doc_id"), F.lit(rounds)).alias("first")).coalesce(TRAINING_TASKS)
     for turn in range(rounds):
         start = spark.sparkContext.broadcast(model)
 
         def run(batches: Iterator[pa.RecordBatch], start=start, turn=turn) -> Iterator[pa.RecordBatch]:
             task = TaskContext.get().partitionId()
-            trainer, table, n = Trainer(start.value, 1000 * turn + task), shared_classes.value, 0
+            trainer, n = Trainer(start.value, 1000 * turn + task), 0
             for batch in slices(batches, "text", 1 << 20):
-                texts = [_ids(tokens_of(t), table) for t in utf8(batch, "text")]
+                texts = [_ids(tokens_of(t), shared_table.value) for t in utf8(batch, "text")]
                 firsts = [x + turn for x in batch.column("first").to_pylist()]
                 history, following = examples(texts, CONTEXT, firsts, rounds)
                 order = trainer.rng.permutation(len(following))
@@ -244,33 +379,41 @@ def train(docs: DataFrame, classes: ClassTable, class_counts: np.ndarray, rounds
                     chosen = order[a : a + BATCH]
                     trainer.step(history[chosen], following[chosen])
                 n += len(order)
-            flat = trainer.model.parameters().astype(np.float32).tobytes()
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([task], pa.int32()), pa.array([n], pa.int64()), pa.array([flat], pa.binary())], ["task", "n", "flat"]
-            )
-
-        rows = sorted(dealt.mapInArrow(run, "task int, n long, flat binary").where("n > 0").collect(), key=lambda r: r["task"])
-        if not rows:
-            break
-        total = sum(r["n"] for r in rows)
-        model = model.with_parameters(sum(np.frombuffer(r["flat"], np.float32).astype(float) * (r["n"] / total) for r in rows))
+            if n:
+                yield from _parts(trainer, task, n)
+
+        found = dealt.mapInArrow(run, _PART).groupBy("part", "block").applyInArrow(_averaged, _PART).toArrow()
+        model = model.copy()
+        for part, rows, flat in zip(*(found[c].to_pylist() for c in ("part", "rows", "flat"))):
+            rows, at = np.frombuffer(rows, np.int32), 0
+            values = np.frombuffer(flat, np.float32).reshape(len(rows), -1)
+            for name in _DENSE if part == "dense" else _BY_TOKEN[part]:
+                x = getattr(model, name)
+                if part == "dense":
+                    x[:] = values[0, at : at + x.size].reshape(x.shape)
+                    at += x.size
+                else:
+                    width = x[:1].size
+                    x[rows] = values[:, at : at + width].reshape(len(rows), *x.shape[1:])
+                    at += width
+        start.unpersist()
     return model
 
 
-def _ids(tokens: list[bytes], classes: ClassTable) -> np.ndarray:
-    return np.fromiter(map(classes.__getitem__, tokens), np.int32, len(tokens))
+def _ids(tokens: list[bytes], table: TokenTable) -> np.ndarray:
+    return np.fromiter(map(table.__getitem__, tokens), np.int32, len(tokens))
 
 
 @dataclass(frozen=True)
 class Scorer:
     model: LogBilinear
-    classes: ClassTable
+    table: TokenTable
     frequent: dict[bytes, int]
     log_masses: np.ndarray  # of the groups, zeros after them
 
     def heads(self, texts: list[list[bytes]]) -> tuple[list[tuple], list[Counter]]:
         """Per text: (tokens, frequent ones, base sum, model sum), and counts of tokens that aren't frequent."""
-        ids = [_ids(t, self.classes) for t in texts]
+        ids = [_ids(t, self.table) for t in texts]
         logs = self.model.log_probabilities(*examples(ids, CONTEXT)) / math.log(10)
         ends = np.cumsum([len(x) for x in ids])
         heads, rare = [], []
@@ -291,7 +434,7 @@ def score_texts(
     folds: int = 7,
     held_out: int = 2,
     frequent_limit: int = FREQUENT,
-    classes: int = CLASSES,
+    own_count: int = OWN_COUNT,
 ) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for every row of the documents.
 
@@ -312,11 +455,12 @@ def score_texts(
     counts = stored(token_counts(training), "lm-counts")
     totals = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     frequent, least = frequent_tokens(counts, frequent_limit)
-    table = ClassTable.of(frequent, classes)
-    in_groups, distinct = group_masses(counts, table)
-    by_class = np.concatenate([in_groups, [frequent.get(t, 0) for t in table]])
+    own_least = max(least, own_count)
+    table = TokenTable.of(frequent, own_least)
+    in_groups, distinct = group_masses(counts, own_least)
+    by_token = np.concatenate([in_groups, [frequent.get(t, 0) for t in table]])
     log_masses = np.concatenate([np.log10(in_groups + distinct + 1), np.zeros(len(table))])
-    model = train(training, table, by_class) if totals["n"] else initial(by_class)
+    model = train(training, table, by_token) if totals["n"] else initial(by_token)
     shared = spark.sparkContext.broadcast(Scorer(model, table, frequent, log_masses))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -86,3 +86,21 @@ def test_every_position_is_learned(spark):
     docs = spark.range(20_000).selectExpr("id AS doc_id", "'alpha beta' AS text").repartition(1)
     held = lm.score_texts(docs).where("held_out").first()
     assert held["score"] > 0.5 * held["base_score"]
+
+
+def test_context_helps_with_words_beyond_the_most_frequent(spark):
+    """Each text has words of one of 20 topics; all words are about as frequent and end alike."""
+    rng = random.Random(3)
+    rows = [(i, " ".join(f"w{i % 20 * 75 + rng.randrange(75):04d}xx" for _ in range(300))) for i in range(700)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(1)
+    held = lm.score_texts(docs).where("held_out").collect()
+    assert sum(r["score"] for r in held) > 0.85 * sum(r["base_score"] for r in held)
+
+
+def test_tokens_with_vectors_grow_with_the_vocabulary():
+    counts = {b"t%d" % i: 100 + i for i in range(5000)} | {b"rare": 3}
+    table = lm.TokenTable.of(counts, lm.OWN_COUNT)
+    assert len(table) == 5001 and table[b"rare"] < lm.GROUPS < table[b"t0"]
+    model = lm.initial(np.arange(400.0))
+    history = np.array([[0, 1, 2, 3, 1]] * 400)
+    assert np.exp(model.log_probabilities(history, np.arange(400))).sum() == pytest.approx(1, abs=1e-4)
