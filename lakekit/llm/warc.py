@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakekit.llm.common import slices, utf8
+
 VERSION = b"WARC/1.1\r\n"
 GZIP = b"\x1f\x8b\x08"
 MIN_DUPLICATE_BYTES = 100
@@ -150,7 +152,7 @@ def with_duplicates(
 
 
 def record_text(digest: Column) -> Column:
-    """A record without its last line feed, from the columns of with_duplicates. A revisit has an empty block."""
+    """A record, from the columns of with_duplicates. A revisit has an empty block."""
     revisit = F.col("refers_to").isNotNull()
     clean_url = F.regexp_replace(F.coalesce("url", F.lit("")), r"[\r\n]", "")
 
@@ -176,10 +178,24 @@ def record_text(digest: Column) -> Column:
         line("Content-Length", F.when(revisit, "0").otherwise(F.col("bytes").cast("string"))),
         F.lit("\r\n"),
         F.when(revisit, absent).otherwise(F.col("payload")),
-        F.lit("\r\n\r"),
+        F.lit("\r\n\r\n"),
     )
 
 
+def gzip_member(record: bytes) -> bytes:
+    """The record as a gzip member without its last byte, which is 0.
+
+    It is the highest byte of the record's length. Records of 16 MB and more are followed by an empty member.
+    """
+    data = b""
+    for part in (record, b""):
+        packer = zlib.compressobj(wbits=31)
+        data += packer.compress(part) + packer.flush()
+        if data.endswith(b"\0"):
+            break
+    return data[:-1]
+
+
 def write_archives(
     pages: DataFrame,
     path: str,
@@ -189,14 +205,20 @@ def write_archives(
     min_bytes: int = MIN_DUPLICATE_BYTES,
     records_per_file: int = RECORDS_PER_FILE,
 ) -> None:
-    """Gzipped archives of one record per page, by Spark's text writer, so any file system of Spark will do.
+    """Archives of one record per page, each a gzip member, by Spark's text writer, so any file system of Spark will do.
 
     NULL payloads are empty, NULL ids have no record id, line ends inside a url are left out. An empty table gives no
     records. Other columns don't matter.
     """
     rows = with_duplicates(pages, id_col, url_col, payload_col, min_bytes)
-    # The writer ends each line, and so each record, with a line feed.
-    writer = rows.select(record_text(F.col("digest")).alias("value")).write.option("lineSep", "\n").option("compression", "gzip")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "value"):
+            yield pa.RecordBatch.from_arrays([pa.array(map(gzip_member, utf8(batch, "value")), pa.binary())], ["value"])
+
+    members = rows.select(record_text(F.col("digest")).alias("value")).mapInArrow(run, "value binary")
+    # The writer ends each line, and so each member, with the zero byte; a cast to text leaves bytes as they are.
+    writer = members.select(F.col("value").cast("string")).write.option("lineSep", "\0").option("compression", "none")
     writer.option("maxRecordsPerFile", records_per_file).mode("overwrite").text(path)
 
 

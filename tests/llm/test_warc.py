@@ -95,3 +95,24 @@ def test_gaps_are_logged_by_file(spark, tmp_path):
 def test_query_against_sql(spark, db, folder):
     got = oracle.spark_rows(catalog.QUERIES["op6_warc_salvage"](spark, folder))
     assert got == oracle.duckdb_rows(db, catalog.ORACLES["op6_warc_salvage"])
+
+
+def test_damage_in_a_written_file_costs_one_record(spark, tmp_path):
+    rng = random.Random(4)
+    rows = [(i, "u", f"<p>{rng.randbytes(200).hex()}</p>" if i % 3 else "<p>again and again</p>" * 9) for i in range(60)]
+    warc.write_archives(spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1), str(tmp_path / "w"))
+    files = [f.read_bytes() for f in (tmp_path / "w").iterdir() if f.name.startswith("part-")]
+    ids = lambda data: {p.headers["warc-record-id"] for p in warc.salvage(data) if isinstance(p, warc.Record)}
+    assert sum(len(ids(f)) for f in files) == 60
+    assert all(gzip.decompress(f).count(warc.VERSION) == len(ids(f)) for f in files)
+    for data in files:
+        for at in rng.sample(range(len(data)), min(20, len(data))):
+            hurt = bytearray(data)
+            hurt[at] ^= 1 << rng.randrange(8)
+            assert len(ids(data) - ids(bytes(hurt))) <= 1
+
+
+def test_members_end_in_zero_at_any_size():
+    for body in (b"x", b"x" * (1 << 24)):
+        data = warc.gzip_member(record(body)) + b"\0" + warc.gzip_member(record(b"z")) + b"\0"
+        assert [p.block for p in warc.salvage(data)] == [body, b"z"]
