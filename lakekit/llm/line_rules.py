@@ -14,6 +14,7 @@ from lakekit.llm.common import slices, utf8
 
 SYMBOLS = b"#*$%&|<>"
 BLANKS = b" \t\n\v\f\r"
+UPPER, LOWER = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz"
 # Phrases of pages rather than of texts.
 BOILERPLATE = (
     "all rights reserved",
@@ -79,8 +80,8 @@ def failing(line: bytes) -> bool:
     if not LETTERS.search(line):
         return True
     if len(words) >= MIN_SHOUT:
-        lower = sum(map(line.count, (b"a", b"e", b"i", b"o", b"n", b"r", b"s", b"t", b"h")))
-        upper = sum(map(line.count, (b"A", b"E", b"I", b"O", b"N", b"R", b"S", b"T", b"H")))
+        lower = len(line) - len(line.translate(None, LOWER))
+        upper = len(line) - len(line.translate(None, UPPER))
         if upper > MAX_SHOUT * (upper + lower):
             return True
     if len(SEPARATORS.findall(line)) >= MIN_SEPARATORS:

@@ -64,3 +64,8 @@ def test_clean_documents_stay(spark, folder):
 def test_word_characters_are_code_points():
     stats, *_ = line_rules.clean("né 日本 x\t#".encode())
     assert stats == (3, len(re.sub(r"[\x20\x09-\x0D]", "", "né 日本 x\t#")), 1, 0, 0)
+
+
+def test_shouting_counts_all_letters():
+    assert line_rules.failing(b"BUY DVD BUG LUCKY FULL")
+    assert not line_rules.failing(b"HE SAT IN my buggy, full of luck")
