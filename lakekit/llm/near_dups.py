@@ -75,7 +75,7 @@ def sketches(sets: list[np.ndarray], t: int) -> np.ndarray:
         owner = np.repeat(open_rows, [len(s) for s in sets])
         for i in range(2 * t):
             h = mixed(elements + np.uint64(i + 1) * _ODD[0])
-            value = (np.uint64(i) << np.uint64(56)) | (mixed(h ^ _ODD[1]) >> np.uint64(8))
+            value = (np.uint64(i) << np.uint64(48)) | (mixed(h ^ _ODD[1]) >> np.uint64(16))  # rounds may be more than 256
             bins = (h % np.uint64(t)).astype(np.int64) if i < t else np.full(len(h), i - t)
             np.minimum.at(flat, owner * t + bins, value)
             unfilled = (out[open_rows] == np.iinfo(np.uint64).max).any(axis=1)

@@ -123,3 +123,12 @@ def test_query_against_brute_force(spark, folder):
     rows = [tuple(r) for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()]
     got = sorted(map(tuple, catalog.QUERIES["op10_fast_sketching"](spark, folder).collect()), key=repr)
     assert got == brute(rows, 4)
+
+
+def test_short_pairs_pass_the_signature_filter():
+    rng = np.random.default_rng(6)
+    for n in (4, 5, 6):
+        long = [np.sort(rng.integers(0, 1 << 63, n + 1).astype(np.uint64)) for _ in range(3000)]
+        a, b = (near_dups.signatures(near_dups.sketches(s, 200)) for s in (long, [x[1:] for x in long]))
+        apart = np.bitwise_count((a ^ b).view(np.uint64)).sum(axis=1)
+        assert (apart <= near_dups.bits_apart(80)).all()
