@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lakekit.llm import decontaminate, fim, line_rules, lm, mixing, near_dups, pii, quality, repeats, toxicity, warc
+from lakekit.llm import decontaminate, fim, line_rules, lm, mixing, near_dups, packing, pii, quality, repeats, toxicity, warc
 from lakekit.sources.erp import read_table
 from lakekit.sources.workspace import fresh_dir
 
@@ -64,6 +64,10 @@ def op10_fast_sketching(spark, d):
     return near_dups.link_near_duplicates(read_table(spark, d, "documents"), shingle=4)
 
 
+def op11_concat_cut(spark, d):
+    return packing.digests(packing.pack(read_table(spark, d, "documents")))
+
+
 def op12_boundary_set(spark, d):
     return fim.digests(fim.fill_in_middle(read_table(spark, d, "documents")))
 
@@ -79,6 +83,7 @@ QUERIES = {
     "op8_suffix_automaton": op8_suffix_automaton,
     "op9_line_rules": op9_line_rules,
     "op10_fast_sketching": op10_fast_sketching,
+    "op11_concat_cut": op11_concat_cut,
     "op12_boundary_set": op12_boundary_set,
 }
 
