@@ -4,7 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lakekit.llm import decontaminate, fim, line_rules, lm, mixing, near_dups, packing, pii, quality, repeats, toxicity, warc
+from lakekit.llm import (
+    decontaminate,
+    fim,
+    hard_negatives,
+    line_rules,
+    lm,
+    mixing,
+    near_dups,
+    packing,
+    pii,
+    quality,
+    repeats,
+    toxicity,
+    warc,
+)
 from lakekit.sources.erp import read_table
 from lakekit.sources.workspace import fresh_dir
 
@@ -72,6 +86,10 @@ def op12_boundary_set(spark, d):
     return fim.digests(fim.fill_in_middle(read_table(spark, d, "documents")))
 
 
+def op13_anchor_tree(spark, d):
+    return hard_negatives.mine_hard_negatives(hard_negatives.relabelled(read_table(spark, d, "embeddings")))
+
+
 QUERIES = {
     "op1_weak_supervision": op1_weak_supervision,
     "op2_factorization_machine": op2_factorization_machine,
@@ -85,6 +103,7 @@ QUERIES = {
     "op10_fast_sketching": op10_fast_sketching,
     "op11_concat_cut": op11_concat_cut,
     "op12_boundary_set": op12_boundary_set,
+    "op13_anchor_tree": op13_anchor_tree,
 }
 
 ORACLES = {
@@ -92,4 +111,5 @@ ORACLES = {
     "op6_warc_salvage": warc.oracle(),
     "op8_suffix_automaton": decontaminate.oracle(),
     "op12_boundary_set": fim.oracle(),
+    "op13_anchor_tree": hard_negatives.oracle(),
 }
