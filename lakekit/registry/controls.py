@@ -61,6 +61,18 @@ def _chained(spark, d):
     return load.current_sales(spark)
 
 
+def _pipelined(spark, d):
+    """Orders landing in four batches, each overlapping the one before; sales folded together after every second."""
+    work = fresh_dir(spark, "order-pipeline")
+    load = OrderLoad(f"{work}/landing", work, fan=2)
+    orders = erp.vbak(spark, d)
+    types = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
+    for i in range(4):
+        stage_csv(orders.where(F.col("AUART").isin(*types[i : i + 2])), f"{load.landing}/batch_{i:02d}")
+        load.run(spark)
+    return load.current_sales(spark)
+
+
 QUERIES = {
     "expect_warn": lambda s, d: quality.expect_warn(_events(s, d), _rules()).withColumn(
         "warnings", F.array_join("warnings", ",")
@@ -72,11 +84,17 @@ QUERIES = {
     "quality_gate": lambda s, d: quality.gate_report(_events(s, d), _rules(), (100, 1_000_000_000)),
     "stream_bronze_silver_gold": _streamed_zones,
     "incremental_load_chain": _chained,
+    "incremental_pipeline": _pipelined,
 }
 
 FAILED = """concat_ws(',', CASE WHEN (value > 5) IS NOT TRUE THEN 'value_large' END,
     CASE WHEN (value < 250) IS NOT TRUE THEN 'value_plausible' END, CASE WHEN event_type = 'error' THEN 'no_error' END)"""
 
+SALES = f"""SELECT {year('ERDAT')} AS year, {month('ERDAT')} AS month, VKORG AS sales_org,
+        WAERK AS currency, count(*) AS num_orders, {money_sum('NETWR')} AS total_revenue,
+        {money_sum('NETWR')} / count(*) AS avg_order_value
+        FROM vbak WHERE AUART IS NOT NULL GROUP BY 1, 2, 3, 4"""
+
 ORACLES = {
     "expect_warn": f"SELECT event_id, event_type, value, {FAILED} AS warnings FROM events",
     "expect_drop": """SELECT event_id, event_type, value FROM events
@@ -96,8 +114,6 @@ ORACLES = {
         count(*) AS num_facts, {money_sum('value')} AS revenue_total, {money_mean('value')} AS ticket_promedio,
         {money_mean('length(event_type)')} AS distancia_promedio
         FROM events WHERE event_type <> 'error' AND user_id IS NOT NULL GROUP BY 1, 2, 3""",
-    "incremental_load_chain": f"""SELECT {year('ERDAT')} AS year, {month('ERDAT')} AS month, VKORG AS sales_org,
-        WAERK AS currency, count(*) AS num_orders, {money_sum('NETWR')} AS total_revenue,
-        {money_sum('NETWR')} / count(*) AS avg_order_value
-        FROM vbak WHERE AUART IS NOT NULL GROUP BY 1, 2, 3, 4""",
+    "incremental_load_chain": SALES,
+    "incremental_pipeline": SALES,
 }

@@ -4,18 +4,17 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakekit.functions.columns import pad_key, parse_yyyymmdd, safe_ratio
-from lakekit.functions.money import mean, total
-from lakekit.operators.changes import insert_new_only, merge_accumulate
+from lakekit.functions.money import exact_sum, mean, total
+from lakekit.operators.changes import insert_new_only
 from lakekit.operators.cleaning import dedup_by_key
+from lakekit.operators.partials import FAN, PartialTable
 from lakekit.operators.quality import expect_drop
 from lakekit.schemas import ERP_SCHEMAS
-from lakekit.sources.workspace import nothing_stored
 from lakekit.streaming.ingest import incremental_files, read_batches, stream_table_read, write_batch
 
 
@@ -93,18 +92,56 @@ def sales_of_batch(orders: DataFrame) -> DataFrame:
     ).agg(F.count(F.lit(1)).alias("num_orders"), total("NETWR").alias("total_revenue"))
 
 
+# The sales table as one that batches are merged into.
 EMPTY_SALES = (
     "year int, month int, sales_org string, currency string, num_orders bigint, total_revenue double, "
     "avg_order_value double"
 )
+SALES_KEYS = ("year", "month", "sales_org", "currency")
+SALES_PARTIALS = T.StructType(
+    [
+        T.StructField("year", T.IntegerType()),
+        T.StructField("month", T.IntegerType()),
+        T.StructField("sales_org", T.StringType()),
+        T.StructField("currency", T.StringType()),
+        T.StructField("num_orders", T.LongType()),
+        T.StructField("revenue", T.DecimalType(38, 2)),
+    ]
+)
+
+
+def partial_sales(orders: DataFrame) -> DataFrame:
+    """Orders and exact revenue per month, organisation and currency: adds up over batches."""
+    return orders.groupBy(
+        F.year("ERDAT").alias("year"),
+        F.month("ERDAT").alias("month"),
+        F.col("VKORG").alias("sales_org"),
+        F.col("WAERK").alias("currency"),
+    ).agg(F.count(F.lit(1)).alias("num_orders"), exact_sum("NETWR").cast("decimal(38,2)").alias("revenue"))
+
+
+def finished_sales(partials: DataFrame) -> DataFrame:
+    """The sales table from its added-up partial values."""
+    return partials.select(
+        *SALES_KEYS,
+        "num_orders",
+        F.col("revenue").cast("double").alias("total_revenue"),
+        F.when(F.col("num_orders") > 0, F.col("revenue").cast("double") / F.col("num_orders"))
+        .otherwise(F.lit(0.0))
+        .alias("avg_order_value"),
+    )
 
 
 @dataclass(frozen=True)
 class OrderLoad:
-    """Folders of the chain landing files -> bronze -> new silver orders -> accumulated sales."""
+    """Folders of the chain landing files -> bronze -> new silver orders -> accumulated sales.
+
+    `fan` is the number of batches after which their sales are folded together.
+    """
 
     landing: str
     work: str
+    fan: int = FAN
 
     @property
     def bronze(self) -> str:
@@ -114,15 +151,18 @@ class OrderLoad:
     def silver(self) -> str:
         return f"{self.work}/orders_silver"
 
-    def sales(self, batch_id: int) -> str:
-        return f"{self.work}/gold_sales/_after={batch_id}"
+    @property
+    def sales(self) -> PartialTable:
+        merges = {"num_orders": F.sum, "revenue": F.sum}
+        return PartialTable(f"{self.work}/gold_sales", SALES_PARTIALS, SALES_KEYS, merges, self.fan)
 
     def run(self, spark: SparkSession, name_pattern: str = "*.csv") -> None:
         """Take in what has landed since the last run.
 
-        Every step of a micro-batch replaces only its own output: bronze and silver under the batch number, the
-        sales under the number of the batch they include. It starts from the state before the batch, so a batch
-        that is run again after a failure gives the same tables and adds nothing twice.
+        Every step of a micro-batch replaces only its own output: bronze, silver and the batch's own sales under the batch
+        number. What is written follows the batch, not the tables: the sales table is added up when it is read. A batch
+        that is run again after a failure starts from the silver orders before it, gives the same tables and adds nothing
+        twice.
         """
         incremental_files(
             spark,
@@ -140,30 +180,9 @@ class OrderLoad:
         candidates = dedup_by_key(orders_from_landing(landed), ["VBELN"])
         known = read_batches(spark, self.silver, candidates.schema).where(F.col("_batch") < batch_id)
         write_batch(insert_new_only(known, candidates, ["VBELN"]), self.silver, batch_id)
-        added = spark.read.parquet(f"{self.silver}/_batch={batch_id}")
-        merge_accumulate(
-            self._sales_before(spark, batch_id),
-            sales_of_batch(added),
-            ["year", "month", "sales_org", "currency"],
-            "num_orders",
-            "total_revenue",
-            "avg_order_value",
-        ).write.mode("overwrite").parquet(self.sales(batch_id))
-
-    def _sales_states(self, spark: SparkSession) -> DataFrame:
-        folder = f"{self.work}/gold_sales"
-        try:
-            return spark.read.option("basePath", folder).parquet(folder)
-        except AnalysisException as error:
-            if not nothing_stored(error):
-                raise
-            return spark.createDataFrame([], f"{EMPTY_SALES}, _after int")
-
-    def _sales_before(self, spark: SparkSession, batch_id: int) -> DataFrame:
-        earlier = self._sales_states(spark).where(F.col("_after") < batch_id)
-        return earlier.where(F.col("_after") == earlier.agg(F.max("_after")).scalar()).drop("_after")
-
-    def current_sales(self, spark: SparkSession) -> DataFrame:
-        """The newest sales table."""
-        states = self._sales_states(spark)
-        return states.where(F.col("_after") == states.agg(F.max("_after")).scalar()).drop("_after")
+        added = spark.read.schema(candidates.schema).parquet(f"{self.silver}/_batch={batch_id}")
+        self.sales.add(partial_sales(added), batch_id)
+
+    def current_sales(self, spark: SparkSession, after: int | None = None) -> DataFrame:
+        """The sales table after the newest batch, or as it was after an earlier one."""
+        return finished_sales(self.sales.read(spark, after))
