@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from math import ceil
+from math import ceil, log2
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from lakekit.operators.curves import FINER, blocks_to_files, curve_position, rank_bits
+from lakekit.operators.joins import broadcast_if_small
+from lakekit.sources.workspace import written
 from lakekit.values import SMALL_FILE_COUNT, SMALL_FILE_MB
 
 MB = 1024 * 1024
@@ -48,9 +51,24 @@ def file_health(spark: SparkSession, tables: Mapping[str, str]) -> DataFrame:
     )
 
 
-def files_needed(spark: SparkSession, path: str, target_mb: int = TARGET_FILE_MB) -> int:
-    size = table_files(spark, path).agg(F.sum("length")).first()[0] or 0
-    return max(1, ceil(size / (target_mb * MB)))
+def small_limit(target_mb: int) -> int:
+    """Bytes below which a file is packed with others: any two such files fit into one of the target size."""
+    return target_mb * MB // 2
+
+
+def packing_plan(spark: SparkSession, path: str, target_mb: int = TARGET_FILE_MB) -> DataFrame:
+    """(file, length, bin): the small files of a table in bins up to the target size, by the listed sizes alone.
+
+    Files keep their folder's order, so what was written together stays together. Bins are numbered over all folders.
+    """
+    folder = F.regexp_replace("path", "/[^/]*$", "")
+    small = table_files(spark, path).where(F.col("length") < small_limit(target_mb)).select("path", folder.alias("folder"), "length")
+    before = Window.partitionBy("folder").orderBy("path").rowsBetween(Window.unboundedPreceding, -1)
+    part = F.floor(F.coalesce(F.sum("length").over(before), F.lit(0)) / F.lit(target_mb * MB))
+    in_folder = small.withColumn("_part", part)
+    number = F.dense_rank().over(Window.orderBy("folder", "_part")) - 1
+    bins = in_folder.select("folder", "_part").distinct().withColumn("bin", number.cast("int"))
+    return in_folder.join(bins, ["folder", "_part"]).select(F.col("path").alias("file"), "length", "bin")
 
 
 def compact_files(
@@ -60,35 +78,76 @@ def compact_files(
     partition_by: Sequence[str] = (),
     target_mb: int = TARGET_FILE_MB,
 ) -> None:
-    """Rewrite a table into files near the target size, in a new place.
+    """Pack the small files of a table into files near the target size, in a new place. Larger files are left alone.
 
-    A partitioned table keeps its folders: each is dealt out over as many parts as its size needs, by a hash of the row.
-    An unpartitioned one is dealt out evenly.
+    Only files below half the target are read and rewritten, whole files to a bin and in their order; a partitioned table
+    keeps its folders. `read_compacted` gives the table afterwards. One shuffle of the small files' rows.
     """
+    plan = written(packing_plan(spark, path, target_mb), "packing-plan")
     table = spark.read.parquet(path)
-    if partition_by:
-        folder = F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "")
-        sizes = table.select(folder.alias("_folder"), F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_size").alias("s"))
-        parts = F.ceil(F.sum("s") / F.lit(target_mb * MB))
-        needed = sizes.distinct().groupBy("_folder").agg(parts.alias("_parts"))
-        part = F.pmod(F.xxhash64(*table.columns), F.col("_parts"))
-        dealt = table.withColumn("_folder", folder).join(needed, "_folder").withColumn("_part", part)
-        total = needed.agg(F.sum("_parts")).first()[0] or 1
-        table = dealt.repartition(total, "_folder", "_part").drop("_folder", "_part", "_parts")
-    else:
-        table = table.repartition(files_needed(spark, path, target_mb))
-    table.write.mode("errorifexists").partitionBy(*partition_by).parquet(new_path)
+    bins = plan.agg(F.max("bin")).first()[0]
+    if bins is None:
+        table.limit(0).write.mode("errorifexists").parquet(new_path)
+        return
+    name, row = F.col("_metadata.file_path"), F.col("_metadata.row_index")
+    small = table.where(F.col("_metadata.file_size") < small_limit(target_mb)).select("*", file_key(name).alias("_file"), row.alias("_row"))
+    dealt = small.join(broadcast_if_small(plan.select(file_key(F.col("file")).alias("_file"), "bin")), "_file")
+    packed = dealt.repartitionById(bins + 1, F.col("bin")).sortWithinPartitions(*partition_by, "_file", "_row")
+    packed.select(*[f"`{c}`" for c in table.columns]).write.mode("errorifexists").partitionBy(*partition_by).parquet(new_path)
+
+
+def file_key(name: Column) -> Column:
+    """A file's name without scheme, host and escapes, which listings and scans write differently."""
+    return F.regexp_replace(F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B"))), "^[a-zA-Z][a-zA-Z0-9+.-]*:(//[^/]*)?/+", "/")
+
+
+def read_compacted(spark: SparkSession, path: str, new_path: str, target_mb: int = TARGET_FILE_MB) -> DataFrame:
+    """A table whose small files were packed into a new place: its other files, where they were, and the packed ones.
+
+    The small files are left out when the files are listed; they can be deleted.
+    """
+    large = spark.read.parquet(path).where(F.col("_metadata.file_size") >= small_limit(target_mb))
+    return large.unionByName(spark.read.schema(large.schema).parquet(new_path))
 
 
 def cluster_layout(df: DataFrame, path: str, columns: Sequence[str], files: int | None = None) -> str:
     """Rewrite rows so that close values of up to four filter columns share files and row groups.
 
-    A range partitioning of all columns plus the sort gives each file a narrow min/max, which lets later filters
-    skip it. A trailing hash of the row splits a value that holds much of the table over several files.
+    Files hold blocks of a space-filling curve over all the columns, so that their min/max are narrow in each, and a later
+    filter on any one column skips most of them. Rows are counted by small blocks first; blocks are put together to about
+    `files` files of similar size (the session's shuffle partitions, if none are named), and a block that holds much of the
+    table is dealt over several by a hash of the row. Two passes over the filter columns, then one shuffle of the rows.
     """
     if not 1 <= len(columns) <= 4:
         raise ValueError("cluster by one to four columns")
-    spread = [*columns, F.xxhash64(*df.columns)]
-    ranged = df.repartitionByRange(files, *spread) if files else df.repartitionByRange(*spread)
-    ranged.sortWithinPartitions(*columns).write.mode("errorifexists").parquet(path)
+    spark = df.sparkSession
+    files = files or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    bits = rank_bits(len(columns), files)
+    placed = df.withColumn("_place", curve_position(df, columns, bits))
+    bits *= len(columns)
+    plan = written(blocks_to_files(placed.select(F.col("_place").alias("place")), bits, files), "cluster-plan")
+    finest = min(bits, ceil(log2(max(2, files))) + FINER)
+    number = F.col("first_file") + F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.col("parts"))
+    dealt = (
+        placed.withColumn("_cell", F.shiftright("_place", bits - finest))
+        .join(broadcast_if_small(plan), F.col("_cell") == F.col("cell"))
+        .withColumn("_file", number.cast("int"))
+    )
+    total = plan.agg(F.coalesce(F.max(F.col("first_file") + F.col("parts")), F.lit(1))).first()[0]
+    within = ["_place"] if len(columns) > 1 else [f"`{columns[0]}`"]
+    ordered = dealt.repartitionById(total, F.col("_file")).sortWithinPartitions(*within)
+    ordered.select(*[f"`{c}`" for c in df.columns]).write.mode("errorifexists").parquet(path)
     return path
+
+
+def files_to_read(spark: SparkSession, path: str, probes: Mapping[str, Column]) -> DataFrame:
+    """For each column and value: all files of a table, and those whose least and largest value don't rule the value out."""
+    bounds = [F.min(c).alias(f"_least_{i}") for i, c in enumerate(probes)] + [F.max(c).alias(f"_most_{i}") for i, c in enumerate(probes)]
+    by_file = spark.read.parquet(path).groupBy(F.col("_metadata.file_path").alias("_file")).agg(*bounds)
+    inside = [
+        F.count_if(value.between(F.col(f"_least_{i}"), F.col(f"_most_{i}"))).alias(f"_read_{i}")
+        for i, value in enumerate(probes.values())
+    ]
+    counted = by_file.agg(F.count(F.lit(1)).alias("num_files"), *inside)
+    each = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"_read_{i}").alias("files_read")) for i, c in enumerate(probes)])
+    return counted.select("num_files", F.inline(each)).select("column", "num_files", "files_read")

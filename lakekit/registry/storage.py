@@ -31,10 +31,8 @@ def _compacted(spark, d):
     old, new = _many_files(spark, d), fresh_dir(spark, "compacted")
     layout.compact_files(spark, old, new, ["period"])
     before, after = (layout.table_files(spark, p).agg(F.count(F.lit(1))).scalar() for p in (old, new))
-    rows = [
-        spark.read.parquet(path).agg(F.count(F.lit(1)).alias("num_rows")).select(F.lit(stage).alias("stage"), "num_rows")
-        for stage, path in (("before", old), ("after", new))
-    ]
+    tables = {"before": spark.read.parquet(old), "after": layout.read_compacted(spark, old, new)}
+    rows = [t.agg(F.count(F.lit(1)).alias("num_rows")).select(F.lit(stage).alias("stage"), "num_rows") for stage, t in tables.items()]
     return rows[0].unionByName(rows[1]).withColumn("fewer_files", after < before)
 
 
@@ -43,6 +41,21 @@ def _clustered(spark, d):
     return spark.read.parquet(path)
 
 
+def _skipping(spark, d):
+    """Rows of one day, one part and one supplier in lines clustered by all three, and whether few files hold them."""
+    lines = erp.read_table(spark, d, "lineitem")
+    columns = ["l_shipdate", "l_partkey", "l_suppkey"]
+    path = layout.cluster_layout(lines, fresh_dir(spark, "clustered-lines"), columns, files=64)
+    middle = lines.agg(*[F.percentile_approx(F.unix_micros(F.col(c).cast("timestamp")) if c == columns[0] else c, 0.5).alias(c) for c in columns])
+    probes = {c: middle.select(c).scalar() for c in columns}
+    probes[columns[0]] = F.timestamp_micros(probes[columns[0]]).cast(lines.schema[columns[0]].dataType)
+    files = layout.files_to_read(spark, path, probes)
+    clustered = spark.read.parquet(path)
+    counts = [clustered.where(F.col(c) == v).agg(F.count(F.lit(1)).alias("num_rows")).select(F.lit(c).alias("column"), "num_rows") for c, v in probes.items()]
+    counted = counts[0].unionByName(counts[1]).unionByName(counts[2])
+    return files.join(counted, "column").select("column", "num_rows", (3 * F.col("files_read") <= F.col("num_files")).alias("few_files"))
+
+
 def _published(spark, d):
     share = fresh_dir(spark, "share")
     tables = {
@@ -96,6 +109,7 @@ QUERIES = {
     "file_health": _file_health,
     "compact_files": _compacted,
     "cluster_layout": _clustered,
+    "cluster_layout_skipping": _skipping,
     "publish_dataset": _published,
     "publish_row_subset": lambda s, d: _publish_and_read(
         s, publish.row_subset(erp.kna1(s, d), "LAND1", "NATION_7"), "customers.one_country"
@@ -111,6 +125,11 @@ ORACLES = {
     "compact_files": """SELECT 'before' AS stage, count(*) AS num_rows, TRUE AS fewer_files FROM vbak
         UNION ALL SELECT 'after', count(*), TRUE FROM vbak""",
     "cluster_layout": "SELECT * FROM vbak",
+    "cluster_layout_skipping": " UNION ALL ".join(
+        f"""SELECT '{c}' AS "column", count(*) AS num_rows, TRUE AS few_files FROM lineitem
+        WHERE {c} = (SELECT quantile_disc({c}, 0.5) FROM lineitem)"""
+        for c in ("l_shipdate", "l_partkey", "l_suppkey")
+    ),
     "publish_dataset": """SELECT 'sales.monthly_kpis' AS alias, count(*) AS num_rows FROM kpis
         UNION ALL SELECT 'customers.customer_360', count(*) FROM c360
         UNION ALL SELECT 'sales.orders', count(*) FROM vgold""",

@@ -6,7 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -29,6 +29,13 @@ def fresh_dir(spark: SparkSession, purpose: str) -> str:
     return f"{shared_root(spark)}/lakekit/{purpose}-{uuid.uuid4().hex}"
 
 
+def written(df: DataFrame, purpose: str) -> DataFrame:
+    """The rows stored in the shared folder and read back: cuts the lineage, and Spark then knows how large they are."""
+    path = fresh_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def use_checkpoints(spark: SparkSession) -> None:
     """Make DataFrame.checkpoint() usable."""
     root = shared_root(spark)
