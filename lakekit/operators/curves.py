@@ -119,7 +119,8 @@ def blocks_to_files(places: DataFrame, bits: int, files: int) -> DataFrame:
     for d in reversed(depths):
         fits = F.col(f"_rows_{d}") <= limit
         block = F.when(fits, F.struct(F.lit(d).alias("depth"), F.shiftright("cell", finest - d).alias("block"))).otherwise(block)
-    parts = F.when(F.col("rows") > limit, F.ceil(F.col("rows") / limit)).otherwise(F.lit(1)).cast("int")
+    shares = F.ceil(F.col("rows") * files / F.col("_all"))
+    parts = F.when(F.col("rows") > limit, shares).otherwise(F.lit(1)).cast("int")
     in_order = Window.orderBy("cell")
     opens = F.when(F.lag("_block").over(in_order).eqNullSafe(F.col("_block")), F.lit(0)).otherwise(F.col("parts"))
     return (
