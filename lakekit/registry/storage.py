@@ -41,19 +41,23 @@ def _clustered(spark, d):
     return spark.read.parquet(path)
 
 
+CLUSTERED = ("l_orderkey", "l_partkey", "l_extendedprice")
+
+
 def _skipping(spark, d):
-    """Rows of one day, one part and one supplier in lines clustered by all three, and whether few files hold them."""
+    """Rows with a middle value of each filter column in lines clustered by all three, and whether few files hold them."""
     lines = erp.read_table(spark, d, "lineitem")
-    columns = ["l_shipdate", "l_partkey", "l_suppkey"]
-    path = layout.cluster_layout(lines, fresh_dir(spark, "clustered-lines"), columns, files=64)
-    middle = lines.agg(*[F.percentile_approx(F.unix_micros(F.col(c).cast("timestamp")) if c == columns[0] else c, 0.5).alias(c) for c in columns])
-    probes = {c: middle.select(c).scalar() for c in columns}
-    probes[columns[0]] = F.timestamp_micros(probes[columns[0]]).cast(lines.schema[columns[0]].dataType)
-    files = layout.files_to_read(spark, path, probes)
+    path = layout.cluster_layout(lines, fresh_dir(spark, "clustered-lines"), CLUSTERED, files=64)
     clustered = spark.read.parquet(path)
-    counts = [clustered.where(F.col(c) == v).agg(F.count(F.lit(1)).alias("num_rows")).select(F.lit(c).alias("column"), "num_rows") for c, v in probes.items()]
+    middle = {c: lines.agg(((F.min(c) + F.max(c)) / 2).alias(c)).scalar() for c in CLUSTERED}
+    probes = {c: lines.where(F.col(c) <= m).agg(F.max(c)).scalar() for c, m in middle.items()}
+    counts = [
+        clustered.where(F.col(c) == v).agg(F.count(F.lit(1)).alias("num_rows")).select(F.lit(c).alias("column"), "num_rows")
+        for c, v in probes.items()
+    ]
     counted = counts[0].unionByName(counts[1]).unionByName(counts[2])
-    return files.join(counted, "column").select("column", "num_rows", (3 * F.col("files_read") <= F.col("num_files")).alias("few_files"))
+    few = (3 * F.col("files_read") <= F.col("num_files")).alias("few_files")
+    return layout.files_to_read(spark, path, probes).join(counted, "column").select("column", "num_rows", few)
 
 
 def _published(spark, d):
@@ -126,9 +130,9 @@ ORACLES = {
         UNION ALL SELECT 'after', count(*), TRUE FROM vbak""",
     "cluster_layout": "SELECT * FROM vbak",
     "cluster_layout_skipping": " UNION ALL ".join(
-        f"""SELECT '{c}' AS "column", count(*) AS num_rows, TRUE AS few_files FROM lineitem
-        WHERE {c} = (SELECT quantile_disc({c}, 0.5) FROM lineitem)"""
-        for c in ("l_shipdate", "l_partkey", "l_suppkey")
+        f"""SELECT '{c}' AS "column", count(*) AS num_rows, TRUE AS few_files FROM lineitem WHERE {c} =
+        (SELECT max({c}) FROM lineitem WHERE {c} <= (SELECT (min({c}) + max({c})) / 2 FROM lineitem))"""
+        for c in CLUSTERED
     ),
     "publish_dataset": """SELECT 'sales.monthly_kpis' AS alias, count(*) AS num_rows FROM kpis
         UNION ALL SELECT 'customers.customer_360', count(*) FROM c360
