@@ -1,60 +1,226 @@
-"""Tables that keep their versions: plain Parquet with one folder per version.
+"""Tables that keep their versions: plain Parquet folders, a base state now and then and change sets in between.
 
-A job computes the full next state and appends it under the next number, with its time and operation; a line in a
-small commits table records the version even when the state has no rows. Reading a state is a filter on the
-partition column. Meant for master and result tables; facts are appended with a batch column instead.
+A job that knows its keys stores only the rows it changes, as they are afterwards, and the keys it deletes; a version without
+keys is stored as a whole. A state is the newest base before it, without the rows of changed keys, plus those keys' latest rows.
+When the changes since a base exceed a share of it, the next version is stored as a base too. A line in a small commits table
+makes a version count, with its time, operation and number of rows. One writer per table.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import datetime
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakekit.functions.columns import moment
-from lakekit.operators.changes import as_feed
+from lakekit.operators.changes import as_feed, change_feed, rows_by_key, unique_rows, update_where
 from lakekit.operators.joins import broadcast_if_small
+from lakekit.sources.workspace import nothing_stored
 
 VERSION_COLUMNS = ("_version", "_committed_at", "_operation")
+# Changed rows since the last base, as a share of its rows, beyond which a version becomes a base.
+REBASE_SHARE = 0.5
 
 
 def states_path(path: str) -> str:
+    """Base states, one folder per version that has one."""
     return f"{path}/states"
 
 
+def changes_path(path: str) -> str:
+    """Change sets, one folder per version that has one: the table's columns and `_deleted`."""
+    return f"{path}/changes"
+
+
 def commits_path(path: str) -> str:
     return f"{path}/commits"
 
 
-def write_version(df: DataFrame, path: str, version: int, operation: str, committed_at: datetime) -> None:
-    """Store a full state under a version number; writing the same number again replaces it."""
-    spark = df.sparkSession
-    folder = f"{states_path(path)}/_version={version}"
-    stamped = df.select(
-        "*",
-        moment(committed_at).alias("_committed_at"),
-        F.lit(operation).alias("_operation"),
-    )
-    stamped.write.mode("overwrite").parquet(folder)
-    written = spark.read.parquet(folder).agg(F.count(F.lit(1)).alias("_rows"))
-    written.select(
+def _read(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.read.option("basePath", folder).parquet(folder)
+
+
+def _write_base(df: DataFrame, path: str, version: int, operation: str, committed_at: datetime) -> None:
+    stamped = df.select("*", moment(committed_at).alias("_committed_at"), F.lit(operation).alias("_operation"))
+    stamped.write.mode("overwrite").parquet(f"{states_path(path)}/_version={version}")
+
+
+def _commit(
+    counts: DataFrame, path: str, version: int, operation: str, committed_at: datetime, based: bool, keys: Sequence[str]
+) -> None:
+    """Store the commit line of a version from one row of counts (_rows, _changed)."""
+    counts.select(
         moment(committed_at).alias("_committed_at"),
         F.lit(operation).alias("_operation"),
-        "_rows",
+        F.col("_rows").cast("long").alias("_rows"),
+        F.col("_changed").cast("long").alias("_changed"),
+        F.lit(based).alias("_based"),
+        F.array(*[F.lit(k) for k in keys]).cast("array<string>").alias("_keys"),
     ).coalesce(1).write.mode("overwrite").parquet(f"{commits_path(path)}/_version={version}")
 
 
+def _commits(spark: SparkSession, path: str) -> DataFrame:
+    return _read(spark, commits_path(path))
+
+
+def _newest(spark: SparkSession, path: str, until: Column):
+    """The newest commit that meets a condition, with the base its state starts from; None if there is none."""
+    row = _commits(spark, path).where(until).agg(
+        F.max_by(F.struct("_version", "_rows", "_keys"), "_version").alias("last"),
+        F.max_by(F.struct("_version", "_rows"), F.when(F.col("_based"), F.col("_version"))).alias("base"),
+        F.max(F.when(F.col("_based"), F.col("_version"))).alias("base_version"),
+        F.array_agg(F.struct("_version", "_changed")).alias("sets"),
+    ).first()
+    return row if row and row["last"] else None
+
+
+def write_version(
+    df: DataFrame, path: str, version: int, operation: str, committed_at: datetime, keys: Sequence[str] = ()
+) -> None:
+    """Store a full state under a version number; writing the same number again replaces it.
+
+    With keys, and if there is an earlier version, only what differs from that is stored: one full join of both states.
+    """
+    spark = df.sparkSession
+    before = _newest_if_any(spark, path, F.col("_version") < version) if keys else None
+    if before:
+        write_changes(
+            changes_between(_state(spark, path, before), df, keys), path, version, operation, committed_at, keys
+        )
+        return
+    _write_base(unique_rows(df, keys) if keys else df, path, version, operation, committed_at)
+    folder = f"{states_path(path)}/_version={version}"
+    counts = spark.read.parquet(folder).agg(F.count(F.lit(1)).alias("_rows"), F.count(F.lit(1)).alias("_changed"))
+    _commit(counts, path, version, operation, committed_at, True, ())
+
+
+def changes_between(before: DataFrame, after: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rows of a state that are new or different, and the keys that are gone with `_deleted` set."""
+    rest = [c for c in after.columns if c not in keys]
+    old, new = rows_by_key(before.select(*after.columns), keys, "_old"), rows_by_key(after, keys, "_new")
+    changed = old.join(new, list(keys), "full").where(~F.col("_old").eqNullSafe(F.col("_new")))
+    columns = [F.col(c) if c in keys else F.col(f"_new.{c}").alias(c) for c in [*keys, *rest]]
+    return changed.select(*columns, F.col("_new").isNull().alias("_deleted")).select(*after.columns, "_deleted")
+
+
+def write_changes(
+    changes: DataFrame,
+    path: str,
+    version: int,
+    operation: str,
+    committed_at: datetime,
+    keys: Sequence[str],
+    rebase_share: float = REBASE_SHARE,
+) -> None:
+    """Store a version as the rows that it changes: what is written follows the change, not the table.
+
+    `changes` has the table's columns, and if rows are deleted a boolean `_deleted`; a key occurs once and is not NULL, or the
+    job stops. Rows that are as before are allowed. The count of rows needs one look at the keys of the state before.
+    """
+    spark = changes.sparkSession
+    before = _newest_if_any(spark, path, F.col("_version") < version)
+    if before is None:
+        raise ValueError("the first version of a table must be a full state")
+    if "_deleted" not in changes.columns:
+        changes = changes.withColumn("_deleted", F.lit(False))
+    state = _state(spark, path, before)
+    folder = f"{changes_path(path)}/_version={version}"
+    known = reduce(lambda a, b: a & b, (F.col(k).isNotNull() for k in keys))
+    checked = unique_rows(changes, keys).where(
+        F.when(known, F.lit(True)).otherwise(F.raise_error(F.lit("a key is NULL")).cast("boolean"))
+    )
+    checked.select(*state.columns, F.coalesce("_deleted", F.lit(False)).alias("_deleted")).write.mode("overwrite").parquet(folder)
+    stored = spark.read.parquet(folder)
+    found = state.select(*keys).join(broadcast_if_small(stored.select(*keys, "_deleted")), list(keys))
+    gone_and_there = found.agg(F.count_if("_deleted").alias("_gone"), F.count_if(~F.col("_deleted")).alias("_there"))
+    counts = (
+        stored.agg(F.count(F.lit(1)).alias("_changed"), F.count_if(~F.col("_deleted")).alias("_set"))
+        .withColumn("_gone", gone_and_there.select("_gone").scalar())
+        .withColumn("_there", gone_and_there.select("_there").scalar())
+        .select((F.lit(before["last"]["_rows"]) + F.col("_set") - F.col("_there") - F.col("_gone")).alias("_rows"), "_changed")
+        .first()
+    )
+    since = counts["_changed"] + sum(s["_changed"] for s in before["sets"] if s["_version"] > before["base_version"])
+    based = since > rebase_share * max(1, before["base"]["_rows"])
+    if based:
+        _write_base(_changed_state(state, stored, keys), path, version, operation, committed_at)
+    _commit(spark.createDataFrame([counts]), path, version, operation, committed_at, based, keys)
+
+
+def update_version(
+    spark: SparkSession,
+    path: str,
+    condition: Column,
+    values: Mapping[str, Column],
+    operation: str,
+    committed_at: datetime,
+    keys: Sequence[str],
+) -> int:
+    """Give the rows that meet a condition new values, as the next version; returns its number."""
+    version = last_version(spark, path) + 1
+    touched = snapshot_as_of(spark, path, version - 1).where(condition)
+    write_changes(update_where(touched, F.lit(True), values), path, version, operation, committed_at, keys)
+    return version
+
+
+def _newest_if_any(spark: SparkSession, path: str, until: Column):
+    try:
+        return _newest(spark, path, until)
+    except AnalysisException as error:
+        if not nothing_stored(error):
+            raise
+        return None
+
+
+def _changed_state(state: DataFrame, latest: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """A state after a change set with one row per key."""
+    kept = state.join(broadcast_if_small(latest.select(*keys)), list(keys), "left_anti")
+    return kept.unionByName(latest.where(~F.col("_deleted")).select(*state.columns))
+
+
+def _base(spark: SparkSession, path: str, version: int) -> DataFrame:
+    return _read(spark, states_path(path)).where(F.col("_version") == F.lit(version)).drop(*VERSION_COLUMNS)
+
+
+def _change_sets(spark: SparkSession, path: str, first: int, last: int) -> DataFrame:
+    return _read(spark, changes_path(path)).where(F.col("_version").between(first, last))
+
+
+def _state(spark: SparkSession, path: str, commit) -> DataFrame:
+    """The state of a commit: its base alone, or with the latest row of each key that has changed since."""
+    base, last, keys = commit["base_version"], commit["last"]["_version"], commit["last"]["_keys"]
+    state = _base(spark, path, base)
+    if base == last:
+        return state
+    newest = Window.partitionBy(*keys).orderBy(F.desc("_version"))
+    changed = _change_sets(spark, path, base + 1, last).withColumn("_newest", F.row_number().over(newest))
+    return _changed_state(state, changed.where("_newest = 1").drop("_newest", "_version"), keys)
+
+
 def read_history(spark: SparkSession, path: str) -> DataFrame:
-    """All states with their version columns."""
-    return spark.read.option("basePath", states_path(path)).parquet(states_path(path))
+    """All states with their version columns. States that are stored as changes are put together one by one."""
+    commits = _commits(spark, path).select(*VERSION_COLUMNS, "_based").orderBy("_version").collect()
+    stored = _read(spark, states_path(path)).where(F.col("_version").isin([c["_version"] for c in commits if c["_based"]]))
+    parts = [stored]
+    for c in commits:
+        if not c["_based"]:
+            state = snapshot_as_of(spark, path, c["_version"])
+            stamps = {
+                "_committed_at": moment(c["_committed_at"]),
+                "_operation": F.lit(c["_operation"]),
+                "_version": F.lit(c["_version"]),
+            }
+            parts.append(state.withColumns(stamps))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def snapshot_history(spark: SparkSession, path: str) -> DataFrame:
     """Version, time, operation and rows of every commit."""
-    commits = spark.read.option("basePath", commits_path(path)).parquet(commits_path(path))
-    return commits.select(
+    return _commits(spark, path).select(
         F.col("_version").cast("int").alias("version"),
         F.col("_committed_at").alias("committed_at"),
         F.col("_operation").alias("operation"),
@@ -70,56 +236,96 @@ def last_version(spark: SparkSession, path: str) -> int:
 def snapshot_as_of(
     spark: SparkSession, path: str, version: int | None = None, at: datetime | None = None
 ) -> DataFrame:
-    """The state of one version, or the one that was current at a moment. Only its folder is read."""
+    """The state of one version, or the one that was current at a moment; without rows if there was none.
+
+    Read are one base folder and the change sets after it. The base isn't shuffled as long as the changed keys are small.
+    """
     if (version is None) == (at is None):
         raise ValueError("give a version or a moment")
-    if version is None:
-        commits = snapshot_history(spark, path)
-        until = moment(at)
-        wanted: Column = commits.where(F.col("committed_at") <= until).agg(F.max("version")).scalar()
-    else:
-        wanted = F.lit(version)
-    return read_history(spark, path).where(F.col("_version") == wanted).drop(*VERSION_COLUMNS)
+    until = F.col("_committed_at") <= moment(at) if version is None else F.col("_version") <= version
+    commit = _newest(spark, path, until)
+    if commit is None or (version is not None and commit["last"]["_version"] != version):
+        return _read(spark, states_path(path)).drop(*VERSION_COLUMNS).limit(0)
+    return _state(spark, path, commit)
 
 
 def snapshot_compare(spark: SparkSession, path: str, versions: Sequence[int], *measures: Column) -> DataFrame:
-    """The same measures over several versions, one row each."""
-    return (
-        read_history(spark, path)
-        .where(F.col("_version").isin(list(versions)))
-        .groupBy(F.col("_version").cast("int").alias("version"))
-        .agg(*measures)
-    )
+    """The same measures over several versions, one row each; versions without rows have none."""
+    states = [snapshot_as_of(spark, path, v).withColumn("version", F.lit(v).cast("int")) for v in versions]
+    return reduce(DataFrame.unionByName, states).groupBy("version").agg(*measures)
 
 
 def snapshot_restore(spark: SparkSession, path: str, version: int, committed_at: datetime) -> int:
-    """Make an old state current again by storing it as a new version; returns its number."""
+    """Make an old state current again by storing it as a new version; returns its number.
+
+    If only change sets lie in between, the new version is a change set too: the keys they touched, as they were.
+    """
     restored = last_version(spark, path) + 1
-    write_version(snapshot_as_of(spark, path, version), path, restored, f"RESTORE {version}", committed_at)
+    operation = f"RESTORE {version}"
+    between = _commits(spark, path).where(F.col("_version") > version).select("_keys").distinct().collect()
+    state = snapshot_as_of(spark, path, version)
+    if len(between) != 1 or not between[0]["_keys"]:
+        write_version(state, path, restored, operation, committed_at)
+        return restored
+    keys = between[0]["_keys"]
+    touched = _change_sets(spark, path, version + 1, restored - 1).select(*keys).distinct()
+    there = state.join(broadcast_if_small(touched), keys, "left_semi").withColumn("_deleted", F.lit(False))
+    gone = touched.join(there.select(*keys), keys, "left_anti").withColumn("_deleted", F.lit(True))
+    write_changes(there.unionByName(gone, allowMissingColumns=True), path, restored, operation, committed_at, keys)
     return restored
 
 
 def change_feed_range(spark: SparkSession, path: str, keys: Sequence[str], first: int, last: int) -> DataFrame:
     """Changes made by the versions first..last.
 
-    Each state is set against the one before it by one full join on key and version, for all versions at once.
+    Versions stored as change sets give their feed from these alone: only their keys are looked up in the base before, and
+    the row before a change is the key's last one. A version stored as a whole is set against the state before it.
     """
-    states = read_history(spark, path)
-    columns = [c for c in states.columns if c not in (*VERSION_COLUMNS, *keys)]
-    version = F.col("_version").cast("int")
-    row = F.struct(*columns)
-    after = states.where(version.between(first, last)).select(*keys, version.alias("_v"), row.alias("_new"))
-    before = states.where(version.between(first - 1, last - 1)).select(
-        *keys, (version + 1).alias("_v"), row.alias("_old")
+    commits = (
+        _commits(spark, path).where(F.col("_version").between(first, last)).orderBy("_version").collect()
     )
-    changed = before.join(after, [*keys, "_v"], "full").where(~F.col("_old").eqNullSafe(F.col("_new")))
-    commits = broadcast_if_small(
-        snapshot_history(spark, path).select(F.col("version").alias("_v"), "committed_at")
+    parts, run = [], []
+    for c in commits:
+        if c["_keys"] and list(c["_keys"]) == list(keys):
+            run.append(c)
+            continue
+        if run:
+            parts.append(_feed_of_sets(spark, path, keys, run))
+            run = []
+        before, after = (snapshot_as_of(spark, path, v) for v in (c["_version"] - 1, c["_version"]))
+        parts.append(change_feed(before, after, keys, c["_version"], c["_committed_at"]))
+    if run:
+        parts.append(_feed_of_sets(spark, path, keys, run))
+    if not parts:
+        nothing = _read(spark, states_path(path)).drop(*VERSION_COLUMNS).limit(0)
+        return change_feed(nothing, nothing, keys, first, datetime(1970, 1, 1))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _feed_of_sets(spark: SparkSession, path: str, keys: Sequence[str], run: Sequence) -> DataFrame:
+    """Feed of consecutive versions that are change sets."""
+    first, last = run[0]["_version"], run[-1]["_version"]
+    base = _newest(spark, path, F.col("_version") < first)["base_version"]
+    sets = _change_sets(spark, path, base + 1, last)
+    wanted = broadcast_if_small(sets.where(F.col("_version") >= first).select(*keys).distinct())
+    state = _base(spark, path, base)
+    columns = list(state.columns)
+    payload = [c for c in columns if c not in keys]
+    row = F.struct(*payload) if payload else F.struct(F.lit(True).alias("_present"))
+    images = (
+        state.join(wanted, list(keys), "left_semi")
+        .select(*keys, F.lit(base).alias("_version"), row.alias("_row"))
+        .unionByName(
+            sets.join(wanted, list(keys), "left_semi").select(
+                *keys, "_version", F.when(~F.col("_deleted"), row).alias("_row")
+            )
+        )
     )
-    return as_feed(
-        changed.join(commits, "_v"),
-        keys,
-        [*keys, *columns],
-        F.col("_v"),
-        F.col("committed_at"),
+    by_key = Window.partitionBy(*keys).orderBy("_version")
+    changed = (
+        images.select(*keys, "_version", F.lag("_row").over(by_key).alias("_old"), F.col("_row").alias("_new"))
+        .where(F.col("_version").between(first, last))
+        .where(~F.col("_old").eqNullSafe(F.col("_new")))
     )
+    times = F.create_map(*[x for c in run for x in (F.lit(c["_version"]), moment(c["_committed_at"]))])
+    return as_feed(changed, keys, columns, F.col("_version"), times[F.col("_version")])

@@ -172,5 +172,5 @@ def cluster_table(df: DataFrame, key: str, label: str = "label") -> DataFrame:
 def publish_clusters(
     df: DataFrame, key: str, path: str, version: int, committed_at: datetime, label: str = "label"
 ) -> None:
-    """Store a clustering as the next version of its history table."""
-    write_version(cluster_table(df, key, label), path, version, "CLUSTER", committed_at)
+    """Store a clustering as the next version of its history table: after the first one, the rows that have changed."""
+    write_version(cluster_table(df, key, label), path, version, "CLUSTER", committed_at, [key])

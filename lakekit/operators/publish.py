@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakekit.functions.columns import mask_prefix, moment
-from lakekit.operators.history import snapshot_history, states_path
+from lakekit.operators.history import read_history, snapshot_history
 
 
 def alias_path(share: str, alias: str) -> str:
@@ -43,9 +43,7 @@ def masked(df: DataFrame, mask: Sequence[str], allow: Sequence[str]) -> DataFram
 def publish_with_history(spark: SparkSession, path: str, feed: DataFrame, share: str, alias: str) -> None:
     """Export all versions of a history table, its commits and a change feed."""
     target = alias_path(share, alias)
-    spark.read.option("basePath", states_path(path)).parquet(states_path(path)).write.partitionBy(
-        "_version"
-    ).mode("overwrite").parquet(f"{target}/states")
+    read_history(spark, path).write.partitionBy("_version").mode("overwrite").parquet(f"{target}/states")
     snapshot_history(spark, path).write.mode("overwrite").parquet(f"{target}/commits")
     feed.write.mode("overwrite").partitionBy("_commit_version").parquet(f"{target}/changes")
 

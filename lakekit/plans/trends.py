@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakekit.functions.money import QUANTITY, exact_sum, percent, ratio
-from lakekit.operators.ranking import global_ntile, pareto_top_n
+from lakekit.operators.ranking import pareto_top_n, tiles_by_histogram
+from lakekit.sources.workspace import written
 
 
 def monthly_sales(orders: DataFrame) -> DataFrame:
@@ -104,15 +105,21 @@ def rfm_segment(r: Column, f: Column, m: Column) -> Column:
 
 
 def rfm_segments(orders: DataFrame, as_of: date) -> DataFrame:
-    """Quintile scores and segment of every customer; ties are ordered by customer."""
-    scored = rfm_metrics(orders, as_of)
-    by_customer = F.col("KUNNR").asc()
-    for name, order in (
-        ("r_score", F.col("recency_days").desc()),
-        ("f_score", F.col("frequency").asc()),
-        ("m_score", F.col("monetary").asc()),
-    ):
-        scored = global_ntile(scored, 5, [order, by_customer], name)
+    """Quintile scores and segment of every customer; ties are ordered by customer.
+
+    The customers' metrics are stored once; histograms over them give the quintiles' exact edges.
+    """
+    metrics = written(rfm_metrics(orders, as_of), "rfm-metrics")
+    scored = tiles_by_histogram(
+        metrics,
+        5,
+        {
+            "r_score": -F.col("recency_days"),
+            "f_score": F.col("frequency"),
+            "m_score": F.col("monetary") * 100,
+        },
+        "KUNNR",
+    )
     segment = rfm_segment(F.col("r_score"), F.col("f_score"), F.col("m_score"))
     return scored.withColumns({"segment": segment, "monetary": F.col("monetary").cast("double")})
 

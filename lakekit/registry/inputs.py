@@ -140,8 +140,8 @@ def customer_states(spark: SparkSession, d: str) -> list[DataFrame]:
 
 
 def customer_history(spark: SparkSession, d: str) -> str:
-    """The three states stored as versions 0, 1 and 2; returns the table's path."""
+    """The three states stored as versions 0, 1 and 2, the later ones as change sets; returns the table's path."""
     path = fresh_dir(spark, "customer-history")
     for version, (state, operation) in enumerate(zip(customer_states(spark, d), ("CREATE", "UPDATE", "MERGE"))):
-        write_version(state, path, version, operation, COMMIT_TIMES[version])
+        write_version(state, path, version, operation, COMMIT_TIMES[version], ["c_custkey"])
     return path
