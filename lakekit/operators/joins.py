@@ -6,11 +6,13 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Largest estimated size of a side that is sent to every executor when asked to.
-# Rows of a list of periods that may be broadcast: some MB.
-FEW_PERIODS = 50_000
 BROADCAST_LIMIT = 64 * 1024 * 1024
+# Facts for which the periods of a validity join may be repeated once more, and the most buckets of a period.
+FACTS_PER_COPY = 8
+MOST_BUCKETS = 4096
 
 
 def estimated_bytes(df: DataFrame) -> int:
@@ -52,20 +54,66 @@ def new_keys(candidates: DataFrame, target: DataFrame, keys: Sequence[str]) -> D
     return candidates.join(existing, list(keys), "left_anti")
 
 
+def _number(df: DataFrame, name: str) -> Column:
+    """A moment as a whole number: days of dates, microseconds of timestamps, other numbers rounded down."""
+    kind, column = df.schema[name].dataType, F.col(name)
+    if isinstance(kind, T.DateType):
+        return F.unix_date(column).cast("long")
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return F.unix_micros(column.cast("timestamp"))
+    return F.floor(column).cast("long")
+
+
+def _bucket(number: Column, origin: int, width: int) -> Column:
+    return F.floor((number - F.lit(origin)) / F.lit(width)).cast("int")
+
+
+def bucket_width(
+    facts: DataFrame, periods: DataFrame, at: str, valid_from: str, valid_to: str
+) -> tuple[int, int, int, int]:
+    """(origin, last moment, width, bytes of the periods by bucket) of time buckets for a validity join.
+
+    As narrow as two limits allow: all periods together are repeated once for every FACTS_PER_COPY facts at most, and a
+    single one MOST_BUCKETS times. From two small aggregations, over the facts' moments and the periods' ends.
+    """
+    moments = facts.agg(F.min(_number(facts, at)), F.max(_number(facts, at)), F.count(at)).first()
+    first, last, rows = moments[0] or 0, moments[1] or 0, moments[2]
+    start = F.greatest(_number(periods, valid_from), F.lit(first))
+    end = F.least(F.coalesce(_number(periods, valid_to), F.lit(last)), F.lit(last))
+    length = F.when(end >= start, (end - start).cast("double"))
+    size = F.octet_length(F.to_json(F.struct(*periods.columns)))
+    count, covered, size = periods.agg(*[F.coalesce(x, F.lit(0)) for x in (F.count(length), F.sum(length), F.sum(size))]).first()
+    copies = count + rows // FACTS_PER_COPY
+    width = max(1, -(-(last - first + 1) // MOST_BUCKETS), int(covered / max(1, copies)) + 1)
+    # A period touches two buckets more than its length fills at most.
+    return first, last, width, int(size / max(1, count) * (2 * count + covered / width))
+
+
 def join_validity(
     facts: DataFrame, periods: DataFrame, key: str, at: str, valid_from: str, valid_to: str
 ) -> DataFrame:
     """Equi-join on the key, kept where the moment lies in [valid_from, valid_to); an open end is NULL.
 
-    Few keys may hold all facts. The periods are counted, and if they are few, they go to the facts instead of the facts
-    being shuffled by key; beyond that, Spark splits the hot keys of the join.
+    Joined by key and time bucket: a period stands in every bucket that it touches, a fact in one, and the exact condition
+    decides. A fact so meets few of a key's many periods, and the facts of a key that holds much of the table are dealt out by
+    their buckets. The width of the buckets follows from the rows; periods that stay small by bytes are broadcast.
     """
-    if periods.limit(FEW_PERIODS + 1).count() <= FEW_PERIODS:
-        periods = F.broadcast(periods)
+    first, last, width, size = bucket_width(facts, periods, at, valid_from, valid_to)
+    start = _bucket(F.greatest(_number(periods, valid_from), F.lit(first)), first, width)
+    end = _bucket(F.least(F.coalesce(_number(periods, valid_to), F.lit(last)), F.lit(last)), first, width)
+    in_buckets = (
+        periods.withColumnRenamed(key, "_period_key")
+        .withColumns({"_start": start, "_end": end})
+        .where(F.col("_start") <= F.col("_end"))
+        .withColumn("_period_bucket", F.explode(F.sequence("_start", "_end")))
+        .drop("_start", "_end")
+    )
+    if size <= BROADCAST_LIMIT:
+        in_buckets = F.broadcast(in_buckets)
     inside = (F.col(at) >= F.col(valid_from)) & (F.col(valid_to).isNull() | (F.col(at) < F.col(valid_to)))
-    return facts.alias("f").join(
-        periods.withColumnRenamed(key, "_period_key"), (F.col(f"f.{key}") == F.col("_period_key")) & inside
-    ).drop("_period_key")
+    dealt = facts.withColumn("_bucket", _bucket(_number(facts, at), first, width)).alias("f")
+    same = (F.col(f"f.{key}") == F.col("_period_key")) & (F.col("_bucket") == F.col("_period_bucket"))
+    return dealt.join(in_buckets, same & inside).drop("_period_key", "_bucket", "_period_bucket")
 
 
 def join_lookup(
