@@ -32,10 +32,10 @@ PATTERNS = {
 }
 # Proposals beyond the base, only taken if the classifier says so.
 LOOSE = {
-    "email": r"(?<![A-Za-z0-9._%-])[A-Za-z0-9._%-]{1,64} ?[\[(]at[\])] ?[A-Za-z0-9-]{1,63}(?: ?(?:[\[(]dot[\])]|\.) ?[A-Za-z0-9-]{1,63}){1,8}",
+    "email": r"(?<![A-Za-z0-9._%-])[A-Za-z0-9._%-]++ ?[\[(]at[\])] ?[A-Za-z0-9-]++(?: ?(?:[\[(]dot[\])]|\.) ?[A-Za-z0-9-]++)++",
     "phone": r"(?<![0-9+.-])(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9.-])",
-    "secret": r"(?<![A-Za-z0-9])(?:[0-9a-f]{32,128}|[A-Za-z]{2,4}_[A-Za-z0-9]{20,80})(?![A-Za-z0-9])",
-    "person": r"(?<!\p{L})(?:Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Mme|Monsieur|Madame|Señor|Señora)\.? \p{Lu}\p{Ll}{1,30}(?: \p{Lu}\p{Ll}{1,30})?",
+    "secret": r"(?<![A-Za-z0-9])(?:[0-9a-f]{32,}+|[A-Za-z]{2,4}_[A-Za-z0-9]{20,}+)(?![A-Za-z0-9])",
+    "person": r"(?<!\p{L})(?:Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Mme|Monsieur|Madame|Señor|Señora)\.? \p{Lu}\p{Ll}++(?: \p{Lu}\p{Ll}++)?",
 }
 # A text without any of these characters can't match.
 ANCHORS = {
@@ -66,9 +66,9 @@ CONTEXT = {
 }
 AGAINST = r"version|isbn|issn|\bdoi\b|order|invoice|\bv\.? ?$|#$|section|chapter|sha|md5|commit|checksum"
 LABELERS = ("shape", "gazetteer", "context", "check", "edges")
-# Strength, in pseudo-votes, of the belief that a labeler is right more often than not.
-TRUST = {"shape": 20.0, "gazetteer": 10.0, "context": 60.0, "check": 200.0, "edges": 10.0}
-EM_ROUNDS = 50
+# Votes of each value that every labeler is taken to have cast beforehand in either class: keeps rates off 0 and 1.
+PSEUDO_VOTES = 1.0
+EM_ROUNDS = 200
 THRESHOLD = 0.5
 
 
@@ -187,28 +187,27 @@ class SpanModel:
 
 
 def estimate(counts: dict[tuple[str, tuple[int, ...]], int]) -> tuple[dict[str, float], dict[str, np.ndarray], dict]:
-    """EM over counted vote patterns: priors by kind, rates of votes by class, and each pattern's probability."""
+    """EM over counted vote patterns: priors by kind, rates of votes by class, and each pattern's probability.
+
+    Nothing is known of any labeler beforehand. Which class is the personal one follows from the beliefs at the start alone,
+    the balance of a pattern's votes.
+    """
     keys = sorted(counts)
     n = np.array([counts[k] for k in keys], float)
     votes = np.array([k[1] for k in keys])
     kinds = np.array([k[0] for k in keys])
-    belief = np.clip(0.5 + 0.15 * votes.sum(axis=1), 0.05, 0.95)  # start: the majority
-    base = {name: TRUST[name] * np.array([[0.5, 0.3, 0.2], [0.2, 0.3, 0.5]]) for name in LABELERS}
-    base["context"] = TRUST["context"] * np.array([[0.5, 0.45, 0.05], [0.02, 0.38, 0.6]])
-    base["check"] = TRUST["check"] * np.array([[0.9, 0.09, 0.01], [0.01, 0.09, 0.9]])
+    belief = np.clip(0.5 + 0.15 * votes.sum(axis=1), 0.05, 0.95)
     priors, rates = {}, {}
     for _ in range(EM_ROUNDS):
-        for k in set(kinds):
+        for k in set(kinds.tolist()):
             of = kinds == k
             priors[k] = float((n[of] @ belief[of] + 1) / (n[of].sum() + 2))
         for j, name in enumerate(LABELERS):
-            table = base[name].copy()
-            # Vote counts are taken by their logarithm within a pattern: millions of copies of a page are one witness.
-            for i, weight in enumerate(1 + np.log(n)):
-                table[0, votes[i, j] + 1] += weight * (1 - belief[i])
-                table[1, votes[i, j] + 1] += weight * belief[i]
+            table = np.full((2, 3), PSEUDO_VOTES)
+            np.add.at(table[0], votes[:, j] + 1, n * (1 - belief))
+            np.add.at(table[1], votes[:, j] + 1, n * belief)
             rates[name] = table / table.sum(axis=1, keepdims=True)
-        z = np.array([np.log(priors[k] / (1 - priors[k])) for k in kinds])
+        z = np.array([np.log(priors[k] / (1 - priors[k])) for k in kinds.tolist()])
         for j, name in enumerate(LABELERS):
             z += np.log(rates[name][1, votes[:, j] + 1] / rates[name][0, votes[:, j] + 1])
         belief = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
@@ -226,7 +225,7 @@ def train(counts: dict[tuple[str, tuple[int, ...]], int]) -> SpanModel:
         for name in (kind, *(f"{n}{v}" for n, v in zip(LABELERS, votes))):
             x[i, names.index(name)] = 1
     y = np.array(list(belief.values()))
-    n = np.array([1 + np.log(counts[k]) for k in belief])
+    n = np.array([counts[k] for k in belief], float)
     w = np.zeros(len(names))
     for _ in range(30):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
@@ -259,7 +258,9 @@ def find_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     the same id are searched one by one; other columns don't matter.
     """
     spans = stored(with_votes(with_checks(proposals(docs, id_col, text_col))), "pii-votes")
-    tally = spans.where("kind IS NOT NULL").groupBy("kind", "pattern").count().collect()  # at most 3**5 a kind
+    # A text counts once, however many copies it has. At most 3**5 rows a kind come back.
+    once = spans.where("kind IS NOT NULL").select("text_hash", "kind", "base", "i", "pattern").distinct()
+    tally = once.groupBy("kind", "pattern").count().collect()
     model = train({(r["kind"], tuple(map(int, r["pattern"].split(",")))): r["count"] for r in tally})
     sure = F.col("base") & F.coalesce("valid", F.lit(False))
     logit = float(np.log(threshold / (1 - threshold)))

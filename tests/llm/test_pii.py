@@ -118,6 +118,40 @@ def test_em_finds_the_reliable_labelers():
     assert pii.train({}).weights == {}
 
 
+@pytest.mark.parametrize("size", [2000, 20_000, 200_000])
+@pytest.mark.parametrize("random_one", range(5))
+def test_em_tells_good_labelers_from_a_random_one(size, random_one):
+    rng = random.Random(size + random_one)
+    counts = {}
+    for _ in range(size // 10):
+        y = rng.choice((-1, 1))
+        votes = tuple(rng.choice((-1, 1)) if j == random_one else y if rng.random() < 0.95 else -y for j in range(5))
+        counts["phone", votes] = counts.get(("phone", votes), 0) + 10
+    _, rates, _ = pii.estimate(counts)
+    for j, name in enumerate(pii.LABELERS):
+        right = rates[name][1, 2], rates[name][0, 0]
+        if j == random_one:
+            assert max(abs(r - 0.5) for r in right) < 0.1
+        else:
+            assert min(right) > 0.9
+
+
+def test_copies_are_one_witness(spark):
+    rows = [(i, f"host 10.1.2.{i}, card 4111 1111 1111 1111") for i in range(20)]
+    copies = rows + [(100 + i, "serial 1234 5678") for i in range(300)]
+    few = rows + [(100, "serial 1234 5678")]
+    both = [pii.summarise(pii.find_spans(spark.createDataFrame(x, "doc_id long, text string"))) for x in (copies, few)]
+    shown = [{(r["doc_id"], r["spans"]) for r in b.where("doc_id < 100").collect()} for b in both]
+    assert shown[0] == shown[1] and len(shown[0]) == 20
+
+
+def test_long_proposals_stay_whole(spark):
+    long = {1: "token " + "0a" * 90, 2: "mail " + "m" * 90 + " [at] site [dot] org", 3: "key ab_" + "X9" * 60, 4: "Dear Mr Q" + "z" * 50 + " Smith"}
+    got = pii.proposals(spark.createDataFrame(list(long.items()), "doc_id long, text string"), "doc_id", "text")
+    found = {r["doc_id"]: r["match"] for r in got.where("not base").collect()}
+    assert found == {1: "0a" * 90, 2: "m" * 90 + " [at] site [dot] org", 3: "ab_" + "X9" * 60, 4: "Mr Q" + "z" * 50 + " Smith"}
+
+
 def test_masking(spark):
     text = "Mail bob@x.org, é +1 (212) 555-0100."
     rows = [(1, text, 5), (1, text, 6), (2, None, 7), (3, "plain", 8), (None, text, 9)]
