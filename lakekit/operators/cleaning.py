@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Collection, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakekit.functions.money import percent
+from lakekit.operators.distinct import count_numbered
 
 
 def _columns_of(df: DataFrame, *types: type[T.DataType]) -> list[str]:
@@ -89,12 +90,21 @@ def value_counts(df: DataFrame, *columns: str, digits: int = 1) -> DataFrame:
     return counted.withColumn("percent_of_total", percent(F.col("num_rows"), everything, digits))
 
 
-def distinct_profile(df: DataFrame, *columns: str) -> DataFrame:
-    """All rows, and the distinct values of each column."""
-    return df.agg(
-        F.count(F.lit(1)).alias("total_rows"),
-        *[F.count_distinct(c).alias(f"distinct_{c}") for c in columns],
-    )
+def distinct_profile(df: DataFrame, *columns: str, numbered: Collection[str] = ()) -> DataFrame:
+    """All rows, and the distinct values of each column.
+
+    Every column is counted by itself, so that rows aren't copied once per column: running numbers (`numbered`, and whole
+    numbers) by bitmaps, other columns by their values.
+    """
+
+    def counted(c: str) -> Column:
+        if c in numbered or isinstance(df.schema[c].dataType, T.IntegralType):
+            return count_numbered(df, [], c, "n").scalar()
+        # Spark would put several distinct counts of one table together again, over copies of its rows.
+        return df.select(c).distinct().agg(F.count(c).alias("n")).scalar()
+
+    every = {f"distinct_{c}": F.coalesce(counted(c), F.lit(0)) for c in columns}
+    return df.agg(F.count(F.lit(1)).alias("total_rows")).withColumns(every)
 
 
 def top_k(df: DataFrame, by: str, k: int, *tie_break: str) -> DataFrame:

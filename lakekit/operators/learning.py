@@ -8,7 +8,6 @@ from itertools import product
 
 import numpy as np
 from pyspark.ml import Pipeline
-from pyspark.ml.clustering import BisectingKMeans, KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -17,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakekit.operators.centers import Setting, fit_all, label_of, silhouettes
 from lakekit.operators.changes import unique_rows
 from lakekit.operators.cleaning import bool_to_int, drop_all_null_columns, empty_to_null, fill_missing_category
 from lakekit.operators.history import write_version
@@ -24,9 +24,6 @@ from lakekit.operators.history import write_version
 # Cluster means compared at a time: bounds the memory for their distances, not their number.
 MEANS_PER_BLOCK = 1_000
 
-ALGORITHMS = {"kmeans": KMeans, "bisecting": BisectingKMeans}
-
-
 def prepare_features(df: DataFrame, columns: Sequence[str], key: str) -> DataFrame:
     """Chosen columns with gaps closed: '' is NULL, booleans are 0/1, empty columns go, NULL categories are named."""
     chosen = empty_to_null(df.select(*columns))
@@ -67,26 +64,24 @@ def cluster_search(
     seeds: Iterable[int] = (42,),
     features: str = "features",
 ) -> tuple[DataFrame, DataFrame]:
-    """Try every setting; returns (one row per setting with its silhouette, rows labelled by the best one)."""
-    evaluator = ClusteringEvaluator(featuresCol=features, predictionCol="label")
-    data = df.persist()
-    trials, models = [], []
+    """Try every setting; returns (one row per setting with its silhouette, rows labelled by the best one).
+
+    All settings are trained by the same passes over the rows, and scored by two more, so the number of passes doesn't grow
+    with that of settings.
+    """
+    settings = [Setting(a, k, seed) for a, k, seed in product(algorithms, cluster_counts, seeds)]
+    vectors = df.select(vector_to_array(features).alias("v")).persist()
     try:
-        for algorithm, k, seed in product(algorithms, cluster_counts, seeds):
-            model = ALGORITHMS[algorithm](featuresCol=features, predictionCol="label", k=k, seed=seed).fit(data)
-            labelled = model.transform(data)
-            found = len(model.clusterCenters())
-            score = float(evaluator.evaluate(labelled)) if found > 1 else -1.0
-            trials.append((algorithm, k, seed, found, score))
-            models.append(model)
+        fitted = fit_all(vectors, settings)
+        scores = silhouettes(vectors, fitted)
     finally:
-        data.unpersist()
-    best = max(range(len(trials)), key=lambda i: trials[i][4])
+        vectors.unpersist()
+    best = max(range(len(scores)), key=lambda i: scores[i][1])
     report = df.sparkSession.createDataFrame(
-        [(*t, i == best) for i, t in enumerate(trials)],
+        [(s.algorithm, s.k, s.seed, *scores[i], i == best) for i, s in enumerate(settings)],
         "algorithm string, k int, seed int, clusters int, silhouette double, best boolean",
     )
-    return report, models[best].transform(df)
+    return report, df.withColumn("label", label_of(vector_to_array(features), fitted[best]))
 
 
 def cluster_quality(df: DataFrame, features: str = "features", label: str = "label") -> DataFrame:

@@ -112,8 +112,8 @@ def global_ntile(df: DataFrame, tiles: int, order_by: Sequence[Column], name: st
 
 
 # Buckets of a histogram round, and characters by which a round looks further into tied keys.
-HISTOGRAM_BUCKETS = 1024
-KEY_CHARACTERS = 2
+HISTOGRAM_BUCKETS = 1 << 14
+KEY_CHARACTERS = 3
 
 
 @dataclass

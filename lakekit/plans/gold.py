@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakekit.functions.columns import active_since, is_return, pad_key, period_label
-from lakekit.functions.money import MONEY, QUANTITY, exact_sum, graded, mean, money, percent, total
+from lakekit.functions.money import MONEY, QUANTITY, exact_sum, graded, mean, money, percent, ratio, total
 from lakekit.operators.cleaning import top_k
+from lakekit.operators.distinct import count_numbered, distinct_bits, join_groups, number_of_bits
 from lakekit.operators.joins import join_master
 from lakekit.values import ABC_LIMITS, ABC_LOWEST, ORDER_BUSINESS_NAMES, RETURN_TYPES, TIER_LIMITS, TIER_LOWEST
 
@@ -32,22 +33,34 @@ def sales_by_org_currency(orders: DataFrame) -> DataFrame:
 
 
 def sales_kpis_monthly(orders: DataFrame) -> DataFrame:
-    """Orders, customers and revenue per month, organisation and currency."""
+    """Orders, customers and revenue per month, organisation and currency.
+
+    Orders are counted by bitmaps that carry the amounts along, customers by bitmaps of their own.
+    """
+    keys = ["year", "month", "sales_org", "currency"]
     usable = orders.where(
         F.col("VBELN").isNotNull() & (F.col("NETWR") > 0) & F.col("ERDAT").isNotNull()
-    )
-    return usable.groupBy(
+    ).select(
         F.year("ERDAT").alias("year"),
         F.month("ERDAT").alias("month"),
         F.col("VKORG").alias("sales_org"),
         F.col("WAERK").alias("currency"),
-    ).agg(
-        F.count_distinct("VBELN").alias("num_orders"),
-        F.count_distinct("KUNNR").alias("num_customers"),
-        total("NETWR").alias("total_revenue"),
-        mean("NETWR").alias("avg_order_value"),
-        F.max(money("NETWR")).cast("double").alias("max_order_value"),
-        F.min(money("NETWR")).cast("double").alias("min_order_value"),
+        "VBELN",
+        "KUNNR",
+        money("NETWR").alias("_amount"),
+    )
+    amounts = {"_sum": F.sum, "_count": F.count, "_max": F.max, "_min": F.min}
+    by_order = distinct_bits(usable, keys, "VBELN", *[f("_amount").alias(n) for n, f in amounts.items()])
+    sales = by_order.groupBy(*keys).agg(
+        number_of_bits().alias("num_orders"),
+        F.round(F.sum("_sum"), 2).cast("double").alias("total_revenue"),
+        ratio(F.sum("_sum"), F.sum("_count")).alias("avg_order_value"),
+        F.max("_max").cast("double").alias("max_order_value"),
+        F.min("_min").cast("double").alias("min_order_value"),
+    )
+    counted = join_groups(sales, count_numbered(usable, keys, "KUNNR", "num_customers"), keys, "num_customers")
+    return counted.select(
+        *keys, "num_orders", "num_customers", "total_revenue", "avg_order_value", "max_order_value", "min_order_value"
     )
 
 
@@ -258,12 +271,28 @@ def last_year_equals(gold_customers: DataFrame, year: int, n: int = 3) -> DataFr
 
 
 def executive_kpis(gold_orders: DataFrame) -> DataFrame:
-    return gold_orders.agg(
-        total("valor_neto").alias("revenue_total"),
-        F.count_distinct("numero_orden").alias("total_ordenes"),
-        F.count_distinct("codigo_cliente").alias("clientes_activos"),
-        mean("valor_neto").alias("ticket_promedio"),
-        F.count_if("es_devolucion").alias("devoluciones"),
+    """All revenue, orders, customers and returns; orders and customers are counted by bitmaps."""
+    amount = money("valor_neto")
+    by_order = distinct_bits(
+        gold_orders,
+        [],
+        "numero_orden",
+        F.sum(amount).alias("_sum"),
+        F.count(amount).alias("_count"),
+        F.count_if("es_devolucion").alias("_returns"),
+    )
+    customers = count_numbered(gold_orders, [], "codigo_cliente", "n").scalar()
+    return by_order.agg(
+        F.round(F.sum("_sum"), 2).cast("double").alias("revenue_total"),
+        number_of_bits().alias("total_ordenes"),
+        ratio(F.sum("_sum"), F.sum("_count")).alias("ticket_promedio"),
+        F.coalesce(F.sum("_returns"), F.lit(0)).alias("devoluciones"),
+    ).select(
+        "revenue_total",
+        "total_ordenes",
+        F.coalesce(customers, F.lit(0)).alias("clientes_activos"),
+        "ticket_promedio",
+        "devoluciones",
     )
 
 

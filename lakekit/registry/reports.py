@@ -145,7 +145,9 @@ QUERIES = {
     "customers_by_country": lambda s, d: gold.customers_by_country(inputs.gold_customers(s, d)),
     "active_customers_by_country": lambda s, d: gold.customers_by_country(inputs.gold_customers(s, d), True),
     "value_counts": lambda s, d: cleaning.value_counts(erp.order_headers(s, d), "KUNNR", "WAERK", digits=4),
-    "distinct_profile": lambda s, d: cleaning.distinct_profile(erp.order_headers(s, d), "WAERK", "KUNNR", "VTWEG"),
+    "distinct_profile": lambda s, d: cleaning.distinct_profile(
+        erp.order_headers(s, d), "WAERK", "KUNNR", "VTWEG", numbered=("KUNNR",)
+    ),
     "usage_by_tag": lambda s, d: usage_plans.usage_by_tag(inputs.usage(s, d), AS_OF),
     "usage_cost": lambda s, d: usage_plans.usage_cost(inputs.usage(s, d), inputs.prices(s, d), AS_OF),
     "usage_daily": lambda s, d: usage_plans.usage_daily(inputs.usage(s, d), "DSU", 15),

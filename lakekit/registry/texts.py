@@ -6,11 +6,12 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from lakekit.functions import text as rules
-from lakekit.operators import enrich
+from lakekit.operators import enrich, lexicons
 from lakekit.operators.cleaning import value_counts
 from lakekit.plans.briefs import customer_brief
 from lakekit.registry import inputs
 from lakekit.sources import erp
+from lakekit.sources.workspace import written
 
 # Categories of the given documents: common words of each language.
 LANGUAGES = {
@@ -19,8 +20,9 @@ LANGUAGES = {
     "alemán": ("der", "die", "und", "den", "von", "zu"),
     "español": ("que", "de", "el", "en", "los", "por"),
 }
-POSITIVE = ("good", "the", "la")
-NEGATIVE = ("bad", "der", "que")
+# Terms per language, texts that a judging word must be in, and words that turn the sense of those after them.
+TERMS, LEAST_TEXTS = 500, 3
+NEGATORS = ("not", "no", "never", "nicht", "kein", "keine", "sin", "nunca", "ne", "pas", "sans")
 FIELDS = {
     "email": rules.EMAIL,
     "phone": rules.PHONE,
@@ -50,6 +52,23 @@ def _categories(spark, d):
     return enrich.with_category(_documents(spark, d), "text", "categoria", LANGUAGES)
 
 
+def _by_lexicon(spark, d):
+    """Documents by language: the words that most documents of a language use are its terms."""
+    documents = erp.read_table(spark, d, "documents").select("doc_id", "text", "lang")
+    lexicon = written(lexicons.frequent_terms(documents, "doc_id", "text", "lang", TERMS), "lexicon")
+    return lexicons.categorise(documents, "doc_id", "text", lexicon)
+
+
+def _sentiment(spark, d):
+    """Judgement of documents by the words that documents labelled as good or bad use more often."""
+    documents, labels = _documents(spark, d), erp.read_table(spark, d, "labels").select("doc_id", "quality")
+    judged = documents.join(labels, "doc_id")
+    lexicon = written(lexicons.opposed_terms(judged, "doc_id", "text", F.col("quality") == 1, LEAST_TEXTS), "lexicon")
+    negators = spark.createDataFrame([(w,) for w in NEGATORS], "term string")
+    scores = lexicons.sentiment_scores(documents, "doc_id", "text", lexicon, negators)
+    return scores.withColumn("sentiment", lexicons.sentiment_label(F.col("positive"), F.col("negative")))
+
+
 def _incremental(spark, d):
     return enrich.enrich_incremental(
         _documents(spark, d),
@@ -74,9 +93,8 @@ QUERIES = {
     "enrich_incremental": _incremental,
     "classify_keywords": lambda s, d: _categories(s, d).drop("text"),
     "category_distribution": lambda s, d: value_counts(_categories(s, d), "categoria"),
-    "sentiment_lexicon": lambda s, d: enrich.with_sentiment(
-        _documents(s, d), "text", positive=POSITIVE, negative=NEGATIVE
-    ).drop("text"),
+    "classify_lexicon": _by_lexicon,
+    "sentiment_lexicon": _sentiment,
     "extract_fields": lambda s, d: _documents(s, d)
     .select("doc_id", rules.extract_fields("text", FIELDS).alias("f"))
     .select("doc_id", "f.*"),
@@ -134,10 +152,37 @@ ORACLES = {
     "category_distribution": f"""WITH {SCORED}, c AS (SELECT {LABEL} AS categoria, count(*) AS n FROM scored GROUP BY 1)
         SELECT categoria, n AS num_rows, CAST((2 * CAST(n AS HUGEINT) * 1000 + t) // (2 * t) AS DOUBLE) / 10
             AS percent_of_total FROM (SELECT *, CAST(sum(n) OVER () AS HUGEINT) AS t FROM c)""",
+    "classify_lexicon": f"""WITH tok AS (SELECT doc_id, lang, {_tokens('text')} AS tokens FROM documents),
+        used AS (SELECT lang, unnest(list_distinct(tokens)) AS term FROM tok WHERE lang IS NOT NULL),
+        n AS (SELECT lang, count(*) AS texts FROM documents WHERE lang IS NOT NULL GROUP BY lang),
+        best AS (SELECT lang, term, count(*) AS uses FROM used GROUP BY lang, term
+            QUALIFY row_number() OVER (PARTITION BY lang ORDER BY uses DESC, term) <= {TERMS}),
+        lexicon AS (SELECT term, lang AS label, 1000 * uses // texts AS weight FROM best JOIN n USING (lang)),
+        word AS (SELECT doc_id, unnest(tokens) AS term FROM tok WHERE doc_id IN (SELECT doc_id FROM documents WHERE text <> '')),
+        score AS (SELECT doc_id, label, sum(weight) AS score FROM word JOIN lexicon USING (term) GROUP BY doc_id, label),
+        top AS (SELECT doc_id, label FROM score WHERE score > 0
+            QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, label) = 1)
+        SELECT doc_id, coalesce(label, 'Otro') AS categoria
+        FROM (SELECT DISTINCT doc_id FROM documents WHERE text <> '') LEFT JOIN top USING (doc_id)""",
     "sentiment_lexicon": f"""WITH tok AS (SELECT doc_id, {_tokens('text')} AS tokens FROM documents),
-        hit AS (SELECT doc_id, {_hits(POSITIVE)} > 0 AS good, {_hits(NEGATIVE)} > 0 AS bad FROM tok)
-        SELECT doc_id, CASE WHEN good AND bad THEN 'mixed' WHEN good THEN 'positive' WHEN bad THEN 'negative'
-            ELSE 'neutral' END AS sentiment FROM hit""",
+        judged AS (SELECT tokens, quality = 1 AS good FROM tok JOIN labels USING (doc_id) WHERE quality IS NOT NULL),
+        total AS (SELECT count(*) FILTER (WHERE good) AS g, count(*) FILTER (WHERE NOT good) AS b FROM judged),
+        used AS (SELECT good, unnest(list_distinct(tokens)) AS term FROM judged),
+        counted AS (SELECT term, count(*) FILTER (WHERE good) AS p, count(*) FILTER (WHERE NOT good) AS q FROM used GROUP BY term),
+        lexicon AS (SELECT term, CASE WHEN p * b >= 3 * q * g THEN 2 WHEN 2 * p * b >= 3 * q * g THEN 1
+            WHEN q * g >= 3 * p * b THEN -2 WHEN 2 * q * g >= 3 * p * b THEN -1 END AS w
+            FROM counted, total WHERE p + q >= {LEAST_TEXTS}),
+        word AS (SELECT doc_id, unnest(tokens) AS term, generate_subscripts(tokens, 1) AS pos FROM tok),
+        turning AS (SELECT doc_id, pos FROM word WHERE term IN ({', '.join(f"'{w}'" for w in NEGATORS)})),
+        hit AS (SELECT word.doc_id, word.pos, w FROM word JOIN lexicon USING (term) WHERE w IS NOT NULL),
+        signed AS (SELECT doc_id, CASE WHEN EXISTS (SELECT 1 FROM turning t WHERE t.doc_id = hit.doc_id
+            AND t.pos BETWEEN hit.pos - 3 AND hit.pos - 1) THEN -w ELSE w END AS w FROM hit),
+        sums AS (SELECT doc_id, sum(greatest(w, 0))::BIGINT AS positive, sum(greatest(-w, 0))::BIGINT AS negative
+            FROM signed GROUP BY doc_id),
+        every AS (SELECT doc_id, coalesce(positive, 0) AS positive, coalesce(negative, 0) AS negative
+            FROM (SELECT DISTINCT doc_id FROM documents) LEFT JOIN sums USING (doc_id))
+        SELECT *, CASE WHEN positive = 0 AND negative = 0 THEN 'neutral' WHEN positive >= 2 * negative THEN 'positive'
+            WHEN negative >= 2 * positive THEN 'negative' ELSE 'mixed' END AS sentiment FROM every""",
     "extract_fields": f"SELECT doc_id, {EXTRACTED} FROM documents",
     "mask_entities": f"SELECT doc_id, {_masked()} AS masked FROM documents",
     "summarise_extract": f"""WITH parts AS (SELECT doc_id, regexp_split_to_array(text, '[.!?\\n]+') AS a FROM documents),
