@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 from datetime import datetime
+from functools import reduce
 from itertools import product
 
 import numpy as np
@@ -11,6 +12,7 @@ from pyspark.ml import Pipeline
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.linalg import VectorUDT
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,6 +22,9 @@ from lakekit.operators.centers import Setting, fit_all, label_of, silhouettes
 from lakekit.operators.changes import unique_rows
 from lakekit.operators.cleaning import bool_to_int, drop_all_null_columns, empty_to_null, fill_missing_category
 from lakekit.operators.history import write_version
+from lakekit.operators.joins import broadcast_if_small
+from lakekit.operators.ranking import global_position
+from lakekit.sources.workspace import fresh_dir, written
 
 # Cluster means compared at a time: bounds the memory for their distances, not their number.
 MEANS_PER_BLOCK = 1_000
@@ -33,10 +38,10 @@ def prepare_features(df: DataFrame, columns: Sequence[str], key: str) -> DataFra
 def one_hot(df: DataFrame, key: str, output: str = "features") -> DataFrame:
     """All text columns but the key as 0/1 columns of one vector, next to the numeric ones.
 
-    The vector's metadata names its columns; feature_names reads them back.
+    The vector's metadata names its columns; feature_names reads them back. For few categories: their names go through the
+    driver. `one_hot_by_dictionary` has no such limit.
     """
-    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType) and f.name != key]
-    numbers = [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType) and f.name != key]
+    texts, numbers = _text_columns(df, key), _number_columns(df, key)
     indexed, encoded = [f"_{c}_index" for c in texts], [f"_{c}_hot" for c in texts]
     stages = [
         StringIndexer(inputCols=texts, outputCols=indexed, stringOrderType="alphabetAsc"),
@@ -52,6 +57,69 @@ def feature_names(df: DataFrame, column: str = "features") -> list[str]:
     return [a["name"].replace("_hot_", "=").lstrip("_") for a in sorted(named, key=lambda a: a["idx"])]
 
 
+def one_hot_dictionary(df: DataFrame, key: str) -> DataFrame:
+    """(column, value, feature, position) of every 0/1 column that `one_hot_by_dictionary` makes of a table.
+
+    Positions follow the columns' order and the values' order within them, after the numeric columns, which come first under
+    their own names. Values are made distinct where they are, then numbered by a distributed sort.
+    """
+    texts, numbers = _text_columns(df, key), _number_columns(df, key)
+    found = [
+        df.where(F.col(f"`{c}`").isNotNull()).select(F.lit(i).alias("_i"), F.lit(c).alias("column"), F.col(f"`{c}`").alias("value")).distinct()
+        for i, c in enumerate(texts)
+    ]
+    named = df.sparkSession.createDataFrame(
+        [(i, c, None, c) for i, c in enumerate(numbers)], "position long, column string, value string, feature string"
+    )
+    columns = ("column", "value", "feature", "position")
+    if not found:
+        return written(named.select(*columns), "one-hot-dictionary")
+    placed = global_position(reduce(DataFrame.unionByName, found), [F.col("_i"), F.col("value")], "position")
+    hot = placed.select(
+        "column", "value", F.concat("column", F.lit("="), "value").alias("feature"), (F.col("position") + len(numbers)).alias("position")
+    )
+    return written(named.select(*columns).unionByName(hot), "one-hot-dictionary")
+
+
+def one_hot_by_dictionary(df: DataFrame, key: str, output: str = "features") -> tuple[DataFrame, DataFrame]:
+    """As `one_hot`, for columns with any number of values: (the rows with a sparse vector, the dictionary of its places).
+
+    Each text column looks up its position in the dictionary, which is a table; only the number of places reaches the driver.
+    NULL values set nothing. The rows are stored once, as that gives the vectors their type without a Python function.
+    """
+    texts, numbers = _text_columns(df, key), _number_columns(df, key)
+    dictionary = one_hot_dictionary(df, key)
+    places = dictionary.count()
+    found = df
+    for i, c in enumerate(texts):
+        own = dictionary.where((F.col("column") == c) & F.col("value").isNotNull()).select(
+            F.col("value").alias("_value"), F.col("position").cast("int").alias(f"_place_{i}")
+        )
+        found = found.join(broadcast_if_small(own), F.col(f"`{c}`") == F.col("_value"), "left").drop("_value")
+    cells = [F.struct(F.lit(i).alias("i"), F.col(f"`{c}`").cast("double").alias("v")) for i, c in enumerate(numbers)]
+    cells += [F.struct(F.col(f"_place_{i}").alias("i"), F.lit(1.0).alias("v")) for i in range(len(texts))]
+    kept = F.filter(F.array(*cells), lambda x: x["i"].isNotNull() & x["v"].isNotNull() & (x["v"] != 0))
+    vector = F.struct(
+        F.lit(0).cast("tinyint").alias("type"),
+        F.lit(places).alias("size"),
+        F.transform(kept, lambda x: x["i"]).alias("indices"),
+        F.transform(kept, lambda x: x["v"]).alias("values"),
+    )
+    shaped = found.select(*[F.col(f"`{c}`") for c in df.columns], vector.alias(output))
+    path = fresh_dir(df.sparkSession, "one-hot")
+    shaped.write.parquet(path)
+    schema = T.StructType([*df.schema.fields, T.StructField(output, VectorUDT())])
+    return df.sparkSession.read.schema(schema).parquet(path), dictionary
+
+
+def _text_columns(df: DataFrame, key: str) -> list[str]:
+    return [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType) and f.name != key]
+
+
+def _number_columns(df: DataFrame, key: str) -> list[str]:
+    return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType) and f.name != key]
+
+
 def array_features(df: DataFrame, column: str, output: str = "features") -> DataFrame:
     """An array of floats as a vector column."""
     return df.withColumn(output, array_to_vector(F.col(column).cast("array<double>")))

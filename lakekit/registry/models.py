@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from lakekit.operators import history, learning
@@ -19,12 +18,11 @@ def _vectors(spark, d):
 def _one_hot(spark, d):
     """Every encoded value that is set, by name."""
     customers = erp.kna1(spark, d).select("KUNNR", "LAND1", "BRSCH", "ORT01")
-    encoded = learning.one_hot(customers, "KUNNR")
-    names = F.array(*[F.lit(n) for n in learning.feature_names(encoded)])
-    cells = F.transform(vector_to_array("features"), lambda value, i: F.struct(i.alias("i"), value.alias("value")))
-    return encoded.select(
-        "KUNNR", F.explode(F.filter(cells, lambda cell: cell["value"] != 0)).alias("cell")
-    ).select("KUNNR", F.element_at(names, F.col("cell.i") + 1).alias("feature"), F.col("cell.value").alias("value"))
+    encoded, dictionary = learning.one_hot_by_dictionary(customers, "KUNNR")
+    vector = F.unwrap_udt("features")
+    cells = encoded.select("KUNNR", F.explode(F.arrays_zip(vector["indices"].alias("i"), vector["values"].alias("v"))).alias("cell"))
+    names = dictionary.select("feature", F.col("position").cast("int").alias("i"))
+    return cells.select("KUNNR", F.col("cell.i").alias("i"), F.col("cell.v").alias("value")).join(names, "i").select("KUNNR", "feature", "value")
 
 
 def _search(spark, d):
