@@ -24,13 +24,14 @@ from lakekit.llm.quality import remainder
 BUCKETS = 1 << 26
 PREFIXES = (4, 5, 6)  # bytes
 MAX_TRAINING_ROWS = 12_000
-MIN_DOCUMENTS = 4  # of the training rows that hold a term
-MIN_CHI2 = 10.83  # of a term's rows by label: 0.1 % of the terms without any bearing reach it
+MIN_DOCUMENTS = 8  # of the training rows that hold a term
+CALIBRATION = 5  # one training row in so many sets the scale of the margins instead of parameters
+MIN_OF_CLASS = 5  # rows of either class that this takes
 FACTORS = 4
 EPOCHS = 12
 BATCH = 256
 RATE = 0.1
-L1, L2 = 1e-4, 1e-4
+L1, L2 = 3e-3, 1e-2
 THRESHOLD = 0.5
 
 
@@ -74,26 +75,25 @@ class FactorizationMachine:
 
 
 def fit(lists: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> FactorizationMachine:
-    """Adagrad on the logistic loss; weights shrink to zero by L1, factors by L2. Terms of few
-    rows, or as frequent in one class as in the other, get no parameters: they would only learn single rows by heart."""
+    """Adagrad on the logistic loss, the rarer class weighted up; weights shrink to zero by L1, factors by L2.
+
+    Terms of few rows get no parameters: they would only learn single rows by heart. No term is left out for telling nothing
+    by itself, since it may tell something together with another one.
+    """
     rng = np.random.default_rng(seed)
     labels = np.asarray(labels, float)
     share = (labels.sum() + 1) / (len(labels) + 2)
     bias = float(np.log(share / (1 - share)))
     every = np.concatenate([*lists, np.empty(0, np.int64)])
-    terms, inverse, counts = np.unique(every, return_inverse=True, return_counts=True)
-    positive = np.bincount(inverse, np.repeat(labels, [len(x) for x in lists]), len(terms))
-    expected = counts * labels.mean() if len(labels) else counts
-    spread = expected * (1 - labels.mean()) * (1 - counts / len(labels)) if len(labels) else expected
-    telling = (positive - expected) ** 2 > MIN_CHI2 * np.maximum(spread, 1e-12)
-    terms = terms[telling & (counts >= MIN_DOCUMENTS)]
+    terms, counts = np.unique(every, return_counts=True)
+    terms = terms[counts >= MIN_DOCUMENTS]
     if not len(terms) or labels.min(initial=1) == labels.max(initial=0):
         return FactorizationMachine(bias, np.empty(0, np.int64), np.empty(0), np.empty((0, FACTORS)))
     kept = []
     for x in lists:
         place = np.minimum(np.searchsorted(terms, x), len(terms) - 1)
         kept.append(place[terms[place] == x])
-    rare = np.sqrt(max((1 - labels).sum() / labels.sum(), 1.0))
+    rare = max((1 - labels).sum() / labels.sum(), 1.0)
     weight = np.where(labels > 0, rare, 1.0)
     size = len(terms)
     w, v = np.zeros(size), rng.normal(0, 0.01, (FACTORS, size))
@@ -124,6 +124,35 @@ def fit(lists: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Factoriza
     return FactorizationMachine(float(bias), terms[used], w[used], v[:, used].T.copy())
 
 
+def calibrated(lists: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> FactorizationMachine:
+    """Fits on most rows and scales the margins so that they give the others' odds: z becomes a z + b, by Newton steps.
+
+    With too few rows of a class to do that, all rows are fitted and margins stay.
+    """
+    labels = np.asarray(labels, float)
+    order = np.random.default_rng(seed).permutation(len(lists))
+    kept = order[: len(order) // CALIBRATION]
+    y = labels[kept]
+    if min(y.sum(), (1 - y).sum()) < MIN_OF_CLASS:
+        return fit(lists, labels, seed)
+    rest = order[len(kept) :]
+    model = fit([lists[i] for i in rest], labels[rest], seed)
+    z = model.margins([lists[i] for i in kept])
+    goal = np.where(y > 0, (y.sum() + 1) / (y.sum() + 2), 1 / ((1 - y).sum() + 2))
+    a, b = 1.0, 0.0
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-np.clip(a * z + b, -35, 35)))
+        slope, spread = p - goal, p * (1 - p) + 1e-9
+        gradient = np.array([slope @ z + 1e-3 * (a - 1), slope.sum()])
+        step = np.linalg.solve([[spread @ z**2 + 1e-3, spread @ z], [spread @ z, spread.sum()]], gradient)
+        a, b = a - step[0], b - step[1]
+        if np.abs(step).max() < 1e-9:
+            break
+    if not (np.isfinite([a, b]).all() and a > 0):
+        return model
+    return FactorizationMachine(float(a * model.bias + b), model.terms, a * model.weights, np.sqrt(a) * model.factors)
+
+
 def train(docs: DataFrame, labels: DataFrame, max_rows: int) -> FactorizationMachine:
     """Fits on about `max_rows` labelled rows, chosen by a hash of their ids; all of them if there are fewer.
 
@@ -143,7 +172,7 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int) -> FactorizationMac
     rows: pd.DataFrame = sample.select("label", "text").mapInArrow(run, schema).toArrow().to_pandas()
     rows["key"] = [(len(t), *t[:3], t.sum() if len(t) else 0) for t in rows["terms"]]
     rows = rows.sort_values("key", kind="stable")  # tasks may end in any order
-    return fit(list(rows["terms"]), rows["label"].to_numpy())
+    return calibrated(list(rows["terms"]), rows["label"].to_numpy())
 
 
 def classify(

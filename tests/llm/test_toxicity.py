@@ -34,6 +34,67 @@ def test_a_pair_is_learned_that_linear_weights_miss():
     assert only < 0 < both
 
 
+def pairs(seed, n):
+    """Two words that are each as often toxic as the average: always toxic together, never alone, else by chance."""
+    rng = random.Random(seed)
+    texts, labels, both = [], [], []
+    for _ in range(n):
+        a, b = rng.random() < 0.3, rng.random() < 0.3
+        words = [f"w{rng.randrange(400)}" for _ in range(20)] + ["fool"] * a + ["they"] * b
+        texts.append(toxicity.terms_of(" ".join(words).encode()))
+        labels.append(1 if a and b else 0 if a or b else int(rng.random() < 0.43))
+        both.append(a + b)
+    return texts, np.array(labels), np.array(both)
+
+
+def test_words_that_tell_nothing_alone_are_learned_as_a_pair():
+    texts, labels, held = pairs(0, 12_000)
+    share = [labels[[w in set(t.tolist()) for t in texts]].mean() for w in (toxicity.terms_of(b"fool")[0], toxicity.terms_of(b"they")[0])]
+    assert max(abs(s - labels.mean()) for s in share) < 0.03
+    model = toxicity.calibrated(texts, labels)
+    texts, _, held = pairs(1, 4000)
+    marked = model.margins(texts) >= 0
+    assert marked[held == 2].mean() >= 0.95 and marked[held == 1].mean() < 0.05
+
+
+def test_calibration_keeps_the_order_and_gives_odds():
+    texts, labels, _ = pairs(2, 6000)
+    raw, model = toxicity.fit(texts, labels), toxicity.calibrated(texts, labels)
+    assert len(model.terms) and len(raw.terms)
+    texts, labels, _ = pairs(3, 4000)
+    p = 1 / (1 + np.exp(-np.clip(model.margins(texts), -35, 35)))
+    for low, high in ((0, 0.2), (0.3, 0.6), (0.9, 1)):
+        inside = (p >= low) & (p <= high)
+        assert inside.sum() < 50 or abs(labels[inside].mean() - p[inside].mean()) < 0.15
+    few = toxicity.calibrated(texts[:20], labels[:20])
+    same = toxicity.fit(texts[:20], labels[:20])
+    assert few.bias == same.bias
+
+
+def test_scores_of_the_query_by_plain_numpy(spark, folder):
+    """Fit and score restated: every pair of terms, one text at a time."""
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    rest = quality.remainder(F.col("doc_id"), 5)
+    model = toxicity.train(docs.select("doc_id", "text"), labels.where(rest != 0).selectExpr("doc_id", "toxic AS label"), 12_000)
+    place = {t: i for i, t in enumerate(model.terms.tolist())}
+    scores = {r["doc_id"]: r["score"] for r in catalog.QUERIES["op2_factorization_machine"](spark, folder).collect()}
+    for r in docs.select("doc_id", "text").limit(60).collect():
+        own = [place[t] for t in toxicity.terms_of((r["text"] or "").encode()).tolist() if t in place]
+        z = model.bias + sum(model.weights[i] for i in own)
+        z += sum(float(model.factors[i] @ model.factors[j]) for n, i in enumerate(own) for j in own[:n])
+        assert abs(scores[r["doc_id"]] - 1 / (1 + np.exp(-np.clip(z, -35, 35)))) < 1e-9
+
+
+def test_ranking_of_held_out_rows(spark, folder):
+    sf = folder.replace("sf0.001", "sf0.1")
+    rows = catalog.QUERIES["op2_factorization_machine"](spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id")
+    held = rows.where("held_out").select("score", "toxic").toPandas()
+    order = held["score"].rank().to_numpy()
+    toxic = held["toxic"].to_numpy() == 1
+    area = (order[toxic].sum() - toxic.sum() * (toxic.sum() + 1) / 2) / (toxic.sum() * (~toxic).sum())
+    assert area >= 0.97
+
+
 def test_held_out_accuracy(spark, folder):
     sf = folder.replace("sf0.001", "sf0.1")
     rows = catalog.QUERIES["op2_factorization_machine"](spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").collect()
