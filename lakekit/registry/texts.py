@@ -132,13 +132,13 @@ LABEL = (
 )
 SCORED = f"""tok AS (SELECT doc_id, {_tokens('text')} AS tokens FROM documents WHERE text <> ''),
     scored AS (SELECT doc_id, {SCORES} FROM tok)"""
-EXTRACTED = ", ".join(f"nullif(regexp_extract(text, '{p}'), '') AS {name}" for name, p in FIELDS.items())
+EXTRACTED = ", ".join(f"nullif(regexp_extract(text, '{rules.PLAIN.get(p, p)}'), '') AS {name}" for name, p in FIELDS.items())
 
 
 def _masked() -> str:
     text = "text"
     for label, pattern in rules.MASKED_ENTITIES.items():
-        text = f"regexp_replace({text}, '{pattern}', '{label}', 'g')"
+        text = f"regexp_replace({text}, '{rules.PLAIN.get(pattern, pattern)}', '{label}', 'g')"
     return text
 
 

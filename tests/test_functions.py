@@ -137,6 +137,38 @@ def test_longer_patterns_are_masked_first_and_whole(spark):
     assert found.asDict() == {"card": None, "secret": secret}
 
 
+def test_matches_of_any_length_are_masked_whole(spark):
+    cases = {
+        "mail " + "x" * 500 + "@" + "y" * 300 + ".museumsverein now": "mail [EMAIL] now",
+        "a@b.com_x@y.org": "[EMAIL][EMAIL]",
+        "a@b.c a@b": "a@b.c a@b",
+        "@" * 50_000 + "a.": "@" * 50_000 + "a.",
+        "a." * 50_000 + "@" + "b." * 50_000: "a." * 50_000 + "@" + "b." * 50_000,
+        "0a" * 200: "[SECRET]",
+        "0a" * 15: "0a" * 15,
+        "0a" * 40 + "g": "0a" * 40 + "g",
+        "+1 212-555-0100, +49 (0)30 901820 and +57 (300) 123-4567": "[PHONE], [PHONE] and [PHONE]",
+        "+1" + "(" * 50_000: "+1" + "(" * 50_000,
+        "4111 1111 1111 1111 or 3782-822463-10005 or 4222222222222": "[CARD] or [CARD] or [CARD]",
+        "1234 5678": "1234 5678",
+    }
+    for text, masked in cases.items():
+        assert one(spark, T.mask_entities("t"), t=("string", text)) == masked
+
+
+def test_plain_patterns_find_the_same(spark):
+    import random
+    import re
+
+    rng = random.Random(6)
+    pieces = ["a", "b.c", "@", ".", "_", "%", " ", "0a1b", "f" * 20, "de", "-", "x@y.zz"]
+    texts = ["".join(rng.choice(pieces) for _ in range(rng.randrange(14))) for _ in range(600)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for pattern, plain in T.PLAIN.items():
+        got = [r[0] for r in df.select(F.regexp_extract_all("t", F.lit(pattern), F.lit(0))).collect()]
+        assert got == [re.findall(plain, t) for t in texts]
+
+
 def test_long_keys_stay_whole(spark):
     for key, padded in ((5, "0000000005"), (10000000001, "10000000001"), (100000000015, "100000000015")):
         assert one(spark, C.pad_key("k"), k=("bigint", key)) == padded
