@@ -79,9 +79,12 @@ def _sliding_min(values: np.ndarray, width: int) -> np.ndarray:
 
 
 class Anchors:
-    """Anchors of a text: key, place, first and last window start, hash of the surroundings; and repeats inside the text."""
+    """Anchors of a text: key, place, first and last window start, hash of the surroundings; and repeats inside the text.
 
-    def __init__(self, text: bytes) -> None:
+    With `keys_only` there are only the keys and places.
+    """
+
+    def __init__(self, text: bytes, keys_only: bool = False) -> None:
         self.data = np.frombuffer(text, np.uint8)
         n = len(self.data)
         self.windows = max(n - LENGTH + 1, 0)
@@ -99,8 +102,10 @@ class Anchors:
             owner = (_sliding_min(ranked, WIDTH) & np.uint64(0xFFFFFFFF)).astype(np.int64)
             self.first = np.concatenate([[0], np.flatnonzero(owner[1:] != owner[:-1]) + 1])
             self.place = owner[self.first]
-            self.last = np.concatenate([self.first[1:] - 1, [self.windows - 1]])
             self.key = grams[self.place]
+            if keys_only:
+                return
+            self.last = np.concatenate([self.first[1:] - 1, [self.windows - 1]])
             span = self.last - self.first
             around = self.hashes.of(self.first, span + LENGTH)
             offsets = (self.place - self.first).astype(np.uint64) * np.uint64(1000) + span.astype(np.uint64)
@@ -136,15 +141,25 @@ def ranges(first: np.ndarray, last: np.ndarray) -> np.ndarray:
     return np.repeat(first - np.concatenate([[0], np.cumsum(sizes)[:-1]]), sizes) + np.arange(sizes.sum())
 
 
+def runs(marked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and last place of each run of marked places."""
+    edges = np.flatnonzero(np.diff(np.concatenate([[False], marked, [False]]).astype(np.int8)))
+    return edges[::2], edges[1::2] - 1
+
+
 def anchors_of(docs: DataFrame) -> DataFrame:
-    """(key, around, doc, ref) of every anchor that has a window not yet seen in its text; docs: (doc, part, text).
+    """(key, around, doc, ref, ends, again) of every anchor that has a window not yet seen in its text; docs: (doc, part, text).
 
-    ref holds the text's part in its upper half and the anchor's place in the lower.
+    ref holds the text's part in its upper half and the anchor's place in the lower; ends the distance from the first window
+    to the anchor times 128, plus that from the first to the last window. A text with windows that stand earlier in itself has
+    one more row whose `again` lists their runs, the first window in the upper half and the last in the lower. Its key is that
+    of the first such window, which stands in the text twice at least, so the row is kept with repeated keys. Nothing of a
+    text's anchors but the keys has to be found a second time.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", 2 << 20):
-            keys, arounds, docs_, refs = [], [], [], []
+            keys, arounds, docs_, refs, ends, agains = [], [], [], [], [], []
             for doc, part, text in zip(batch.column("doc").to_pylist(), batch.column("part").to_pylist(), utf8(batch, "text")):
                 a = Anchors(text)
                 if not a.windows:
@@ -154,14 +169,35 @@ def anchors_of(docs: DataFrame) -> DataFrame:
                 arounds.append(a.around[fresh])
                 refs.append((part << 32) + a.place[fresh])
                 docs_.append(np.full(int(fresh.sum()), doc))
+                ends.append(((a.place - a.first) * 128 + a.last - a.first)[fresh])
+                agains += [None] * len(ends[-1])
+                if a.again.any():
+                    first, last = runs(a.again)
+                    own = a.key[np.searchsorted(a.first, first[0], "right") - 1]
+                    for column, value in ((keys, own), (arounds, 0), (refs, part << 32), (docs_, doc), (ends, 0)):
+                        column.append(np.array([value], column[-1].dtype))
+                    agains.append((first << 32) + last)
             if keys:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate(x).astype(np.uint64).view(np.int64)) for x in (keys, arounds)]
-                    + [pa.array(np.concatenate(x).astype(np.int64)) for x in (docs_, refs)],
-                    ["key", "around", "doc", "ref"],
+                    + [pa.array(np.concatenate(x).astype(np.int64)) for x in (docs_, refs)]
+                    + [pa.array(np.concatenate(ends).astype(np.int32)), pa.array(agains, pa.list_(pa.int64()))],
+                    ["key", "around", "doc", "ref", "ends", "again"],
                 )
 
-    return docs.mapInArrow(run, "key long, around long, doc long, ref long")
+    return docs.mapInArrow(run, "key long, around long, doc long, ref long, ends int, again array<long>")
+
+
+def keys_of(docs: DataFrame) -> DataFrame:
+    """The key of every anchor of every text, those of repeats inside the text too."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text", 2 << 20):
+            keys = [Anchors(text, keys_only=True).key for text in utf8(batch, "text") if len(text) >= LENGTH]
+            if keys:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64))], ["key"])
+
+    return docs.select("text").mapInArrow(run, "key long")
 
 
 def suffix_order(hashes: PrefixHashes, data: np.ndarray, start: np.ndarray, length: np.ndarray, group: np.ndarray) -> np.ndarray:
@@ -264,9 +300,9 @@ def _plain(data: np.ndarray, s: int, t: int, most: int, way: int) -> int:
 def _surroundings(wanted: DataFrame, packed: DataFrame) -> DataFrame:
     """Bytes around the wanted anchors, or hashes of their windows for anchors with many surroundings.
 
-    wanted: (doc, part, key, place, many). Gives (key, doc, part, place, left, around, window): window is NULL or a hash.
+    wanted: (doc, part, key, place, first, last, many). Gives (key, doc, part, place, left, around, window): window is NULL or a hash.
     """
-    lists = wanted.groupBy("doc", "part").agg(F.collect_list(F.struct("place", "key", "many")).alias("list"))
+    lists = wanted.groupBy("doc", "part").agg(F.collect_list(F.struct("place", "key", "first", "last", "many")).alias("list"))
 
     names = ["key", "doc", "part", "place", "left", "around", "window"]
 
@@ -278,18 +314,17 @@ def _surroundings(wanted: DataFrame, packed: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for doc, part, z, listed in zip(*(batch.column(c).to_pylist() for c in ("doc", "part", "z", "list"))):
-                a = Anchors(zstandard.decompress(z))
-                text = a.data.tobytes()
+                text = zstandard.decompress(z)
                 for many in (False, True):
                     chosen = [w for w in listed if w["many"] == many]
                     if not chosen:
                         continue
-                    key, place = (np.array([w[c] for w in chosen], np.int64) for c in ("key", "place"))
-                    i = np.searchsorted(a.place, place)
-                    first, last = a.first[i], a.last[i]
+                    key, place, first, last = (np.array([w[c] for w in chosen], np.int64) for c in ("key", "place", "first", "last"))
                     if many:
                         windows, sizes = ranges(first, last), last - first + 1
-                        hashes = mixed(a.hashes.of(windows, LENGTH) + np.uint64(1)).view(np.int64)
+                        with np.errstate(over="ignore"):
+                            of = PrefixHashes(np.frombuffer(text, np.uint8)).of(windows, LENGTH)
+                            hashes = mixed(of + np.uint64(1)).view(np.int64)
                         yield shaped(np.repeat(key, sizes), doc, part, windows, np.repeat(place, sizes) - windows, None, pa.array(hashes))
                     else:
                         around = [text[x : y + LENGTH] for x, y in zip(first.tolist(), last.tolist())]
@@ -361,17 +396,32 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     source = _documents(docs, id_col, text_col)
     anchors = anchors_of(source.select("doc", "part", "text"))
-    repeated = anchors.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    repeated = keys_of(source).groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
     hits = stored(anchors.join(repeated, "key"), "repeat-hits")
     part, place = F.shiftright("ref", 32), F.col("ref").bitwiseAND((1 << 32) - 1)
-    named = hits.select("key", "around", "doc", part.alias("part"), place.alias("place"))
+    start = place - F.floor(F.col("ends") / 128)
+    named = hits.where("again IS NULL").select(
+        "key",
+        "around",
+        "doc",
+        part.alias("part"),
+        place.alias("place"),
+        start.alias("first"),
+        (start + F.col("ends") % 128).alias("last"),
+    )
+    run = F.explode("again").alias("run")
+    inner = hits.where("again IS NOT NULL").select("doc", part.alias("part"), run).select(
+        "doc", "part", F.shiftright("run", 32).alias("first"), F.col("run").bitwiseAND((1 << 32) - 1).alias("last")
+    )
     firsts = named.groupBy("key", "around").agg(F.min(F.struct("doc", "part")).alias("owner"))
     kinds = firsts.groupBy("key").agg(F.count("*").alias("kinds"))
     owned = stored(firsts.join(kinds, "key"), "repeat-owners")
     judged = named.join(owned, ["key", "around"])
     own = F.struct("doc", "part") == F.col("owner")
-    covers = judged.where(~own).select("doc", "part", F.col("place").alias("first"), F.lit(-1).cast("long").alias("last"))
-    open_ = judged.where(own & (F.col("kinds") > 1)).select("doc", "part", "key", "place", (F.col("kinds") > MOST_SORTED).alias("many"))
+    covers = judged.where(~own).select("doc", "part", "first", "last")
+    open_ = judged.where(own & (F.col("kinds") > 1)).select(
+        "doc", "part", "key", "place", "first", "last", (F.col("kinds") > MOST_SORTED).alias("many")
+    )
     packed = packed_texts(source)
     around = stored(_surroundings(open_, packed), "repeat-surroundings")
     members = around.where("window IS NULL").repartition("key").sortWithinPartitions("key", "doc", "part", "place")
@@ -379,7 +429,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     earliest = windows.groupBy("key", "window").agg(F.min(F.struct("doc", "part")).alias("owner"))
     by_hash = windows.join(earliest, ["key", "window"]).where(F.struct("doc", "part") != F.col("owner"))
     marks = (
-        covers.unionByName(_settled(members))
+        covers.unionByName(inner)
+        .unionByName(_settled(members))
         .unionByName(by_hash.select("doc", "part", F.col("place").alias("first"), F.col("place").alias("last")))
         .distinct()
     )
@@ -391,26 +442,21 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Removes marked windows and those that repeat inside a text. A mark without a last window is a whole anchor's."""
+    """Removes the bytes of marked windows."""
     names = ["n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"]
     for batch in slices(batches, "z", 1 << 20):
         rows = []
         for z, marks in zip(batch.column("z").to_pylist(), batch.column("list").to_pylist()):
             text = zstandard.decompress(z)
-            a = Anchors(text)
+            if not marks:
+                rows.append((len(text), 0, 0, hashlib.sha256(text).hexdigest(), text))
+                continue
             change = np.zeros(len(text) + 1, np.int64)
-            starts = np.flatnonzero(a.again)
-            np.add.at(change, starts, 1)
-            np.add.at(change, starts + LENGTH, -1)
-            if marks:
-                first, last = (np.array([m[c] for m in marks], np.int64) for c in ("first", "last"))
-                whole = last < 0
-                own = np.searchsorted(a.place, first[whole])
-                first[whole], last[whole] = a.first[own], a.last[own]
-                np.add.at(change, first, 1)
-                np.add.at(change, last + LENGTH, -1)
+            first, last = (np.array([m[c] for m in marks], np.int64) for c in ("first", "last"))
+            np.add.at(change, first, 1)
+            np.add.at(change, last + LENGTH, -1)
             gone = np.cumsum(change[:-1]) > 0
-            kept = a.data[~gone].tobytes()
+            kept = np.frombuffer(text, np.uint8)[~gone].tobytes()
             spans = int(np.count_nonzero(gone[1:] & ~gone[:-1]) + (len(gone) > 0 and gone[0]))
             rows.append((len(text), len(text) - len(kept), spans, hashlib.sha256(kept).hexdigest(), kept))
         types = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()]
