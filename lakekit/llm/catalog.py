@@ -74,6 +74,11 @@ def op9_line_rules(spark, d):
     return line_rules.clean_lines(read_table(spark, d, "documents")).drop("cleaned")
 
 
+def line_rules_base(spark, d):
+    """The statistics and base rules of op9 alone, which SQL can state."""
+    return line_rules.clean_lines(read_table(spark, d, "documents")).drop("cleaned", "kept")
+
+
 def op10_fast_sketching(spark, d):
     return near_dups.link_near_duplicates(read_table(spark, d, "documents"), shingle=4)
 
@@ -104,12 +109,15 @@ QUERIES = {
     "op11_concat_cut": op11_concat_cut,
     "op12_boundary_set": op12_boundary_set,
     "op13_anchor_tree": op13_anchor_tree,
+    "line_rules_base": line_rules_base,
 }
 
 ORACLES = {
     "op4_mix_sources": mixing.oracle(),
     "op6_warc_salvage": warc.oracle(),
     "op8_suffix_automaton": decontaminate.oracle(),
+    "op10_fast_sketching": near_dups.oracle(),
+    "line_rules_base": line_rules.oracle(),
     "op12_boundary_set": fim.oracle(),
     "op13_anchor_tree": hard_negatives.oracle(),
 }

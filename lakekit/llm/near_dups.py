@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakekit.llm.common import slices, stored, utf8
+from lakekit.llm.common import LOWER, UPPER, slices, stored, utf8
 
 SHINGLE = 5
 PERCENT = 80
@@ -362,3 +362,23 @@ def _classes_and_roots(
         edges = found if edges is None else edges.unionByName(found)
         labels = components(edges)
     return rows_, classes, labels
+
+
+def oracle(docs: str = "documents", shingle: int = 4, percent: int = PERCENT) -> str:
+    """The same components in DuckDB SQL: every pair with a common shingle, and a recursive closure of the links."""
+    lower = f"translate(coalesce(text, ''), '{UPPER}', '{LOWER}')"
+    return f"""WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({lower}, '[^\\x20\\x09-\\x0D]+') AS w FROM {docs}),
+        s AS (SELECT doc_id, unnest(list_distinct(CASE
+            WHEN len(w) >= {shingle} THEN list_transform(range(1, len(w) - {shingle} + 2),
+                lambda i: array_to_string(w[i : i + {shingle} - 1], ' '))
+            WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END)) AS g FROM d),
+        n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+        p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS common FROM s a JOIN s b USING (g)
+            WHERE a.doc_id < b.doc_id GROUP BY 1, 2),
+        l AS (SELECT x, y FROM p JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y
+            WHERE 100 * common >= {percent} * (a.n + b.n - common)),
+        e AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
+        r AS (SELECT doc_id AS id, doc_id AS root FROM {docs} UNION SELECT e.y, r.root FROM r JOIN e ON r.id = e.x),
+        c AS (SELECT id AS doc_id, min(root) AS component_id FROM r GROUP BY id)
+        SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept
+        FROM c LEFT JOIN n USING (doc_id)"""
