@@ -91,8 +91,8 @@ def compact_files(
         return
     name, row = F.col("_metadata.file_path"), F.col("_metadata.row_index")
     small = table.where(F.col("_metadata.file_size") < small_limit(target_mb)).select("*", file_key(name).alias("_file"), row.alias("_row"))
-    dealt = small.join(broadcast_if_small(plan.select(file_key(F.col("file")).alias("_file"), "bin")), "_file")
-    packed = dealt.repartitionById(bins + 1, F.col("bin")).sortWithinPartitions(*partition_by, "_file", "_row")
+    dealt = small.join(broadcast_if_small(plan.select(file_key(F.col("file")).alias("_file"), F.col("bin").alias("_bin"))), "_file")
+    packed = dealt.repartitionById(bins + 1, F.col("_bin")).sortWithinPartitions(*partition_by, "_file", "_row")
     packed.select(*[f"`{c}`" for c in table.columns]).write.mode("errorifexists").partitionBy(*partition_by).parquet(new_path)
 
 
@@ -116,26 +116,33 @@ def cluster_layout(df: DataFrame, path: str, columns: Sequence[str], files: int
     Files hold blocks of a space-filling curve over all the columns, so that their min/max are narrow in each, and a later
     filter on any one column skips most of them. Rows are counted by small blocks first; blocks are put together to about
     `files` files of similar size (the session's shuffle partitions, if none are named), and a block that holds much of the
-    table is dealt over several by a hash of the row. Two passes over the filter columns, then one shuffle of the rows.
+    table is dealt over several by a hash of the row. Two passes over the filter columns, then one shuffle of the rows. One
+    column alone needs no curve: its ranges, and a hash of the row within a value, give the files.
     """
     if not 1 <= len(columns) <= 4:
         raise ValueError("cluster by one to four columns")
     spark = df.sparkSession
     files = files or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    row = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    if len(columns) == 1:
+        ranged = df.repartitionByRange(files, F.col(f"`{columns[0]}`"), row).sortWithinPartitions(f"`{columns[0]}`")
+        ranged.write.mode("errorifexists").parquet(path)
+        return path
     bits = rank_bits(len(columns), files)
     placed = df.withColumn("_place", curve_position(df, columns, bits))
     bits *= len(columns)
-    plan = written(blocks_to_files(placed.select(F.col("_place").alias("place")), bits, files), "cluster-plan")
+    plan = written(blocks_to_files(placed.select(F.col("_place").alias("place")), bits, files), "cluster-plan").toDF(
+        "_cell_of_file", "_first_file", "_parts"
+    )
     finest = min(bits, ceil(log2(max(2, files))) + FINER)
-    number = F.col("first_file") + F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.col("parts"))
+    number = F.col("_first_file") + F.pmod(row, F.col("_parts"))
     dealt = (
         placed.withColumn("_cell", F.shiftright("_place", bits - finest))
-        .join(broadcast_if_small(plan), F.col("_cell") == F.col("cell"))
+        .join(broadcast_if_small(plan), F.col("_cell") == F.col("_cell_of_file"))
         .withColumn("_file", number.cast("int"))
     )
-    total = plan.agg(F.coalesce(F.max(F.col("first_file") + F.col("parts")), F.lit(1))).first()[0]
-    within = ["_place"] if len(columns) > 1 else [f"`{columns[0]}`"]
-    ordered = dealt.repartitionById(total, F.col("_file")).sortWithinPartitions(*within)
+    total = plan.agg(F.coalesce(F.max(F.col("_first_file") + F.col("_parts")), F.lit(1))).first()[0]
+    ordered = dealt.repartitionById(total, F.col("_file")).sortWithinPartitions("_place")
     ordered.select(*[f"`{c}`" for c in df.columns]).write.mode("errorifexists").parquet(path)
     return path
 

@@ -108,3 +108,10 @@ def test_bins_keep_to_the_target(spark, tmp_path):
     plan = layout.packing_plan(spark, path, target_mb=1)
     by_bin = [r[0] for r in plan.groupBy("bin").agg(F.sum("length")).orderBy("bin").select("sum(length)").collect()]
     assert len(by_bin) >= 2 and max(by_bin) <= 1.1 * MB and min(by_bin[:-1]) > 0.8 * MB
+
+
+def test_columns_may_have_any_names(spark, tmp_path):
+    df = spark.range(500).select(*[(F.col("id") * k % 97).alias(n) for k, n in enumerate(("cell", "parts", "first_file", "bin", "file", "a b"), 3)])
+    path = layout.cluster_layout(df, str(tmp_path / "c"), ["cell", "a b"], files=4)
+    layout.compact_files(spark, path, str(tmp_path / "p"))
+    assert rows(spark.read.parquet(path)) == rows(layout.read_compacted(spark, path, str(tmp_path / "p"))) == rows(df)
