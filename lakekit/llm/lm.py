@@ -16,7 +16,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, replace
-from itertools import repeat
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -37,11 +37,15 @@ NOISE_RATIO = 8.0
 RIVALS = 4  # noise tokens of its class for each example
 RATE = 0.1
 BATCH = 1024
-ROUNDS = 2  # each takes every second position of each training text, the second round those that the first leaves out
-TRAINING_TASKS = 64  # each ends with the rows of the model that it has changed
+RUN = 16  # positions of a text that come into a batch together
+ROUNDS = 2  # each takes half of the training texts, whole
+TRAINING_TASKS = 64  # at most; each ends with the rows of the model that it has changed
+PARTS_SHARE = 0.5  # of the training texts' bytes: all that the tasks of all rounds end with is no more, if several train
 BLOCK = 1024  # rows of the model that are averaged together
 FREQUENT = 300_000  # at most so many tokens with their counts are sent to every task; the others are joined
 FLUSH = 400_000
+SCORED = 1 << 18  # positions that are scored together
+SAFE = 60.0  # thousands of exponentials of such numbers, or of their negatives, add up within the range of 32 bits
 
 
 def tokens_of(text: bytes) -> list[bytes]:
@@ -69,44 +73,76 @@ class LogBilinear:
     starts: np.ndarray
 
     def copy(self) -> LogBilinear:
-        return replace(self, **{name: getattr(self, name).copy() for name in PARAMETERS})
+        """Parameters of its own, of numpy's own 32-bit type: pickled arrays come back with a type object that is equal to
+        it but not the same, and with such arrays ufunc.at takes a path that is many times slower."""
+        return replace(self, **{name: getattr(self, name).astype(np.dtype("float32")) for name in PARAMETERS})
 
     def predicted(self, history: np.ndarray) -> np.ndarray:
-        return np.einsum("nkd,kd->nd", self.contexts.take(history, axis=0), self.scales)
+        out = np.empty((len(history), self.scales.shape[1]), np.float32)
+        for a in range(0, len(history), 2048):  # what the processor's cache holds
+            out[a : a + 2048] = np.einsum("nkd,kd->nd", self.contexts.take(history[a : a + 2048], axis=0), self.scales)
+        return out
+
+    def layers(self) -> tuple[_Softmax, _Softmax]:
+        """Of the classes and of the tokens inside them."""
+        return _Softmax.of(self.class_targets, self.class_biases), _Softmax.of(self.targets, self.biases)
 
-    def log_probabilities(self, history: np.ndarray, following: np.ndarray) -> np.ndarray:
-        """Natural logarithms of the normalised probabilities of `following` after `history`."""
+    def log_probabilities(
+        self, history: np.ndarray, following: np.ndarray, layers: tuple[_Softmax, _Softmax] | None = None
+    ) -> np.ndarray:
+        """Natural logarithms of the normalised probabilities of `following` after `history`. `layers`: the model's, if known."""
         out = np.empty(len(following))
-        for a in range(0, len(following), 1 << 15):
-            vectors = self.predicted(history[a : a + (1 << 15)])
-            place = self.place[following[a : a + (1 << 15)]]
-            kind = np.searchsorted(self.starts, place, "right") - 1
+        classes, tokens = layers or self.layers()
+        for a in range(0, len(following), SCORED):
+            vectors = self.predicted(history[a : a + SCORED])
+            place = self.place.take(following[a : a + SCORED])
+            order = np.argsort(place)
+            place = place[order]
+            longest = math.sqrt(np.einsum("nd,nd->n", vectors, vectors).max())
+            vectors = np.hstack([vectors[order], np.ones((len(order), 1), np.float32)])
+            edges = np.searchsorted(place, self.starts)
             total = np.empty(len(place))
-            for i in range(0, len(place), 1024):
-                own = slice(i, i + 1024)
-                total[own] = _log_softmax(vectors[own] @ self.class_targets.T + self.class_biases, kind[own])
-            order = np.argsort(kind, kind="stable")
-            edges = np.searchsorted(kind[order], np.arange(len(self.starts)))
+            kind = np.repeat(np.arange(len(self.starts) - 1), np.diff(edges))
+            for i in range(0, len(place), 512):
+                total[i : i + 512] = classes.logs(vectors[i : i + 512], longest, kind[i : i + 512], 0, len(self.starts) - 1)
             for c in np.flatnonzero((np.diff(edges) > 0) & (np.diff(self.starts) > 1)):
                 low, high = self.starts[c], self.starts[c + 1]
-                step = max(1, (1 << 20) // (high - low))
+                step = max(1, (1 << 18) // (high - low))
                 for i in range(edges[c], edges[c + 1], step):
-                    chosen = order[i : min(i + step, edges[c + 1])]
-                    logits = vectors[chosen] @ self.targets[low:high].T + self.biases[low:high]
-                    total[chosen] += _log_softmax(logits, place[chosen] - low)
-            out[a : a + (1 << 15)] = total
+                    j = min(i + step, edges[c + 1])
+                    total[i:j] += tokens.logs(vectors[i:j], longest, place[i:j], low, high)
+            out[a + order] = total
         return out
 
 
 PARAMETERS = ("contexts", "scales", "class_targets", "class_biases", "targets", "biases")
 
 
-def _log_softmax(logits: np.ndarray, chosen: np.ndarray) -> np.ndarray:
-    """The chosen one of each row; overwrites the logits."""
-    own = logits[np.arange(len(chosen)), chosen]
-    peak = logits.max(axis=1)
-    logits -= peak[:, None]
-    return own - peak - np.log(np.exp(logits, out=logits).sum(axis=1))
+@dataclass(frozen=True)
+class _Softmax:
+    """Vectors with their biases as a last component."""
+
+    columns: np.ndarray
+    longest: float
+    highest: float
+
+    @classmethod
+    def of(cls, targets: np.ndarray, biases: np.ndarray) -> _Softmax:
+        longest = math.sqrt(np.einsum("nd,nd->n", targets, targets).max())
+        columns = np.ascontiguousarray(np.hstack([targets, biases[:, None]]).T)
+        return cls(columns, longest, float(np.abs(biases).max()))
+
+    def logs(self, vectors: np.ndarray, longest: float, chosen: np.ndarray, low: int, high: int) -> np.ndarray:
+        """Log probabilities of the chosen ones among those from `low` to `high`, one for each vector, whose last component
+        is 1; no vector's length, without it, is above `longest`."""
+        logits = vectors @ self.columns[:, low:high]
+        own = logits[np.arange(len(chosen)), chosen - low]
+        if longest * self.longest + self.highest > SAFE:
+            peak = logits.max(axis=1)
+            logits -= peak[:, None]
+            own = own - peak
+        np.exp(logits, out=logits)
+        return own - np.log(logits @ np.ones(high - low, np.float32))
 
 
 def initial(token_counts: np.ndarray, dimensions: int = DIMENSIONS, context: int = CONTEXT, seed: int = 11) -> LogBilinear:
@@ -141,106 +177,159 @@ def initial(token_counts: np.ndarray, dimensions: int = DIMENSIONS, context: int
 
 class Trainer:
     """Noise-contrastive estimation: tells the real next class from classes drawn by frequency, and the real next token from
-    others of its class, drawn evenly. Adagrad, batches of numpy."""
+    others of its class, drawn evenly. Adagrad, batches of numpy.
+
+    Tokens' rows have one Adagrad sum each, of the mean squares of all gradients that reach the row: a batch is scattered
+    to the tables as it is, without bringing together the gradients of equal tokens first.
+    """
 
     def __init__(self, model: LogBilinear, seed: int) -> None:
         self.model = model.copy()
-        self.sums = {name: np.full(getattr(model, name).shape, 1e-1, np.float32) for name in PARAMETERS}
+        self.sums = {name: np.full(getattr(model, name).shape, 1e-1, np.float32) for name in _DENSE}
+        self.sums |= {name: np.full(len(model.place), 1e-1, np.float32) for name in ("contexts", "targets", "biases")}
         self.rng = np.random.default_rng(seed)
+        self.noise_edges = np.cumsum(model.noise)
         self.log_noise = np.log(model.noise * NOISE_RATIO).astype(np.float32)
         self.class_of = np.repeat(np.arange(len(model.noise), dtype=np.int32), np.diff(model.starts))
         self.sizes = np.diff(model.starts).astype(np.float32)
-        self.slot = np.empty(len(model.place), np.int32)
+        self.log_odds = np.log(RIVALS / self.sizes)
         self.seen = {name: np.zeros(len(model.place), np.float32) for name in ("contexts", "targets")}
 
-    def _move(self, name: str, grad: np.ndarray, rows: np.ndarray | None = None) -> None:
-        value, sums = getattr(self.model, name), self.sums[name]
-        if rows is None:
-            sums += grad * grad
-            value -= RATE * grad / np.sqrt(sums)
-            return
-        now = sums.take(rows, axis=0)
-        now += grad * grad
-        sums[rows] = now
-        np.sqrt(now, out=now)
-        grad *= RATE
-        grad /= now
-        value[rows] = value.take(rows, axis=0) - grad
-
-    def _added(self, name: str, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(the distinct rows, the position of each given row among them); counts them as seen."""
-        self.slot[rows] = np.arange(len(rows), dtype=np.int32)
-        first = self.slot[rows]
-        distinct = rows[first == np.arange(len(rows))]
-        self.slot[distinct] = np.arange(len(distinct), dtype=np.int32)
-        position = self.slot[rows]
-        self.seen[name][distinct] += np.bincount(position, minlength=len(distinct))
-        return distinct, position
+    def _move(self, name: str, grad: np.ndarray) -> None:
+        sums = self.sums[name]
+        sums += grad * grad
+        getattr(self.model, name)[...] -= RATE * grad / np.sqrt(sums)
+
+    def _rates(self, name: str, rows: np.ndarray, squares: np.ndarray) -> np.ndarray:
+        """Step lengths of the rows after their mean squares have been added."""
+        sums = self.sums[name]
+        np.add.at(sums, rows, squares.ravel())
+        return (np.float32(RATE) / np.sqrt(sums.take(rows))).reshape(squares.shape)
 
     def step(self, history: np.ndarray, following: np.ndarray) -> None:
-        m, n = self.model, len(following)
-        vectors = m.predicted(history)
-        place = m.place[following]
-        kind = self.class_of[place]
-        drawn = self.rng.choice(len(m.noise), NOISE, p=m.noise)
-        real = np.einsum("ij,ij->i", vectors, m.class_targets[kind]) + m.class_biases[kind] - self.log_noise[kind]
-        fake = vectors @ m.class_targets[drawn].T + m.class_biases[drawn] - self.log_noise[drawn]
-        d_real = _sigmoid(real) - 1
-        d_fake = _sigmoid(fake) * np.float32(NOISE_RATIO / NOISE)
-        d_vectors = d_real[:, None] * m.class_targets[kind] + d_fake @ m.class_targets[drawn]
+        """One batch of any examples."""
+        m = self.model
+        before = m.contexts.take(history, axis=0)
+        d_vectors = self._predict(np.einsum("nkd,kd->nd", before, m.scales), following)
+        g_scales = np.einsum("nd,nkd->kd", d_vectors, before)
+        grad = np.einsum("nd,kd->nkd", d_vectors, m.scales).reshape(-1, before.shape[2])
+        self._move_contexts(history.ravel(), grad, g_scales)
+
+    def step_runs(self, runs: np.ndarray, known: np.ndarray) -> None:
+        """One batch of the positions of runs of tokens, except the first ones that are only contexts, and those not `known`.
+
+        Positions share contexts, so each of a run's tokens is looked up and moved once.
+        """
+        m = self.model
+        context, whole = len(m.scales), known.all()
+        before = m.contexts.take(runs, axis=0)
+        scales = np.ascontiguousarray(m.scales[::-1])  # by place, the earliest first
+        windows = _windows(before[:, :-1], context)
+        vectors = np.einsum("rnkd,kd->rnd", windows, scales)
+        following = runs[:, context:]
+        padded = np.zeros((len(runs), vectors.shape[1] + 2 * context, vectors.shape[2]), np.float32)
+        d_vectors = padded[:, context:-context]
+        if whole:
+            d_vectors[...] = self._predict(vectors.reshape(-1, vectors.shape[2]), following.ravel()).reshape(vectors.shape)
+        else:
+            d_vectors[known] = self._predict(vectors[known], following[known])
+        grad = np.einsum("rlkd,kd->rld", _windows(padded, context)[:, 1:], m.scales)
+        g_scales = np.einsum("rnd,rnkd->kd", d_vectors, windows)[::-1]
+        self._move_contexts(runs.ravel(), grad.reshape(-1, grad.shape[2]), g_scales)
+
+    def _move_contexts(self, rows: np.ndarray, grad: np.ndarray, g_scales: np.ndarray) -> None:
+        grad *= self._rates("contexts", rows, np.einsum("nd,nd->n", grad, grad) / np.float32(grad.shape[1]))[:, None]
+        _scatter(np.subtract, self.model.contexts, rows, grad)
+        np.add.at(self.seen["contexts"], rows, np.float32(1))
+        self._move("scales", g_scales)
+
+    def _predict(self, vectors: np.ndarray, following: np.ndarray) -> np.ndarray:
+        """Learns to predict `following` by the vectors; returns these vectors' gradients."""
+        m, d = self.model, vectors.shape[1]
+        place = m.place.take(following)
+        kind = self.class_of.take(place)
+        drawn = np.searchsorted(self.noise_edges[:-1], self.rng.random(NOISE) * self.noise_edges[-1], "right")
+        real_class, drawn_class = m.class_targets.take(kind, axis=0), m.class_targets[drawn]
+        bias = m.class_biases - self.log_noise
+        d_real = _sigmoid(np.einsum("ij,ij->i", vectors, real_class) + bias.take(kind)) - 1
+        d_fake = _sigmoid(vectors @ drawn_class.T + bias[drawn])
+        d_fake *= np.float32(NOISE_RATIO / NOISE)
+        d_vectors = d_real[:, None] * real_class + d_fake @ drawn_class
         g_classes, g_class_biases = np.zeros_like(m.class_targets), np.zeros_like(m.class_biases)
-        _add_rows(g_classes, kind, d_real[:, None] * vectors)
+        _scatter(np.add, g_classes, kind, d_real[:, None] * vectors)
         np.add.at(g_class_biases, kind, d_real)
-        _add_rows(g_classes, drawn, d_fake.T @ vectors)
+        _scatter(np.add, g_classes, drawn, d_fake.T @ vectors)
         np.add.at(g_class_biases, drawn, d_fake.sum(axis=0))
 
-        size = self.sizes[kind]
-        offset = (self.rng.random((n, RIVALS), np.float32) * size[:, None]).astype(np.int32)
-        rivals = m.starts[kind][:, None] + np.minimum(offset, size[:, None].astype(np.int32) - 1)
-        words = np.concatenate([place[:, None], rivals], axis=1)
+        size = self.sizes.take(kind)
+        offset = (self.rng.random((len(place), RIVALS), np.float32) * size[:, None]).astype(np.int32)
+        words = np.empty((len(place), 1 + RIVALS), np.int32)
+        words[:, 0] = place
+        words[:, 1:] = m.starts.take(kind)[:, None] + np.minimum(offset, size.astype(np.int32)[:, None] - 1)
+        rows = words.ravel()
         own = m.targets.take(words, axis=0)
-        d_words = _sigmoid(np.einsum("nrd,nd->nr", own, vectors) + m.biases[words] - np.log(RIVALS / size)[:, None])
+        d_words = _sigmoid(np.einsum("nrd,nd->nr", own, vectors) + m.biases.take(words) - self.log_odds.take(kind)[:, None])
         d_words[:, 0] -= 1
         d_words *= (size > 1)[:, None]  # a class of one token has nothing to tell apart
         d_vectors += np.einsum("nr,nrd->nd", d_words, own)
-        touched, position = self._added("targets", words.ravel())
-        g_words, g_biases = np.zeros((len(touched), vectors.shape[1]), np.float32), np.zeros(len(touched), np.float32)
-        _add_rows(g_words, position, np.einsum("nr,nd->nrd", d_words, vectors))
-        np.add.at(g_biases, position, d_words.ravel())
-
-        before, position = self._added("contexts", history.ravel())
-        g_contexts = np.zeros((len(before), vectors.shape[1]), np.float32)
-        _add_rows(g_contexts, position, np.einsum("nd,kd->nkd", d_vectors, m.scales))
-        g_scales = np.einsum("nd,nkd->kd", d_vectors, m.contexts.take(history, axis=0))
+        squares = d_words * d_words
+        moves = d_words * self._rates("targets", rows, squares * (np.einsum("nd,nd->n", vectors, vectors) / d)[:, None])
+        _scatter(np.subtract, m.targets, rows, np.einsum("nr,nd->nrd", moves, vectors))
+        np.subtract.at(m.biases, rows, (d_words * self._rates("biases", rows, squares)).ravel())
+        np.add.at(self.seen["targets"], rows, np.float32(1))
         self._move("class_targets", g_classes)
         self._move("class_biases", g_class_biases)
-        self._move("scales", g_scales)
-        self._move("targets", g_words, touched)
-        self._move("biases", g_biases, touched)
-        self._move("contexts", g_contexts, before)
+        return d_vectors
+
+
+def _windows(x: np.ndarray, length: int) -> np.ndarray:
+    """A view of (runs, places, dimensions) as (runs, places, length, dimensions): so many places from each one on."""
+    return np.lib.stride_tricks.sliding_window_view(x, length, axis=1).swapaxes(2, 3)
 
 
-def _add_rows(total: np.ndarray, rows: np.ndarray, values: np.ndarray) -> None:
-    """Adds each row of the values to its row of the total; flat, where numpy is fast."""
+def _scatter(combine: np.ufunc, total: np.ndarray, rows: np.ndarray, values: np.ndarray) -> None:
+    """Adds to, or takes from, each given row of the total a row of the values; flat, where numpy is fast, and, for the
+    same sums with half as many places, with two numbers as one complex number."""
     d = total.shape[1]
-    np.add.at(total.reshape(-1), (rows[:, None] * d + np.arange(d, dtype=rows.dtype)).ravel(), values.ravel())
+    if d % 2 == 0:
+        pair = np.dtype("complex64")
+        total, values, d = total.view(pair), np.ascontiguousarray(values).view(pair), d // 2
+    places = rows.astype(np.int64)[:, None] * d + np.arange(d)
+    combine.at(total.reshape(-1), places.ravel(), values.ravel())
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+    x = np.clip(x, -30, 30)
+    np.negative(x, out=x)
+    np.exp(x, out=x)
+    x += 1
+    return np.reciprocal(x, out=x)
+
+
+def examples(texts: list[np.ndarray], context: int) -> tuple[np.ndarray, np.ndarray]:
+    """(histories, following tokens) of every position of each text; before a text there are ends."""
+    stream, known = _stream(texts, context)
+    places = np.flatnonzero(known)
+    return stream[places[:, None] - np.arange(1, context + 1)], stream[places]
 
 
-def examples(
-    texts: list[np.ndarray], context: int, firsts: Iterable[int] = repeat(0), every: int = 1
-) -> tuple[np.ndarray, np.ndarray]:
-    """(histories, following tokens) of every so many positions of each text; before a text there are ends. `firsts` has each text's first one."""
-    histories, following = [], []
-    for ids, first in zip(texts, firsts):
-        padded = np.concatenate([np.full(context, GROUPS, ids.dtype), ids])
-        places = np.arange(first % every, len(ids), every)
-        histories.append(padded[places[:, None] + np.arange(context - 1, -1, -1)])
-        following.append(ids[places])
-    return np.concatenate(histories), np.concatenate(following)
+def _stream(texts: list[np.ndarray], context: int) -> tuple[np.ndarray, np.ndarray]:
+    """(the texts one after the other, with ends before each; whether a token is of a text)."""
+    before = np.full(context, GROUPS, np.int32)
+    stream = np.concatenate([x for ids in texts for x in (before, ids)])
+    known = np.ones(len(stream), bool)
+    starts = np.cumsum([0] + [context + len(ids) for ids in texts[:-1]])
+    known[(starts[:, None] + np.arange(context)).ravel()] = False
+    return stream, known
+
+
+def runs_of(texts: list[np.ndarray], context: int, length: int = RUN) -> tuple[np.ndarray, np.ndarray]:
+    """The texts as runs of so many positions after as many contexts as the model has; which of the positions are examples."""
+    stream, known = _stream(texts, context)
+    n = -(-len(stream) // length)
+    stream = np.concatenate([np.full(context, GROUPS, np.int32), stream, np.full(n * length - len(stream), GROUPS, np.int32)])
+    known = np.concatenate([known, np.zeros(n * length - len(known), bool)]).reshape(n, length)
+    return np.lib.stride_tricks.sliding_window_view(stream, context + length)[::length], known
 
 
 def token_counts(docs: DataFrame) -> DataFrame:
@@ -353,17 +442,23 @@ def _averaged(table: pa.Table) -> pa.Table:
     return done
 
 
-def train(docs: DataFrame, table: TokenTable, counts: np.ndarray, rounds: int = ROUNDS) -> LogBilinear:
+def training_tasks(text_bytes: int, rows: int, rounds: int = ROUNDS) -> int:
+    """How many tasks train at a time: so few that their parts, which Spark averages, stay small beside the texts."""
+    part = rows * (2 * DIMENSIONS + 1 + 2 * 2) * 4  # two vectors, a bias, two row numbers and two weights
+    return int(min(TRAINING_TASKS, max(1, PARTS_SHARE * text_bytes // (part * rounds))))
+
+
+def train(docs: DataFrame, table: TokenTable, counts: np.ndarray, tasks: int, rounds: int = ROUNDS) -> LogBilinear:
     """Rounds of training on all documents of (doc_id, text): every task starts from the last model, and the results are averaged.
 
-    A task takes its examples in order and ends with the rows it has changed; blocks of rows are averaged by Spark, so
-    that the driver gets one model per round. Of n rounds, each takes every n-th position of a text, the first one by the
-    hash of its id, so that all rounds together take every position once and each has first and last words.
+    A task takes its texts in order and ends with the rows it has changed; blocks of rows are averaged by Spark, so
+    that the driver gets one model per round. Of n rounds, each takes the texts of one remainder of the hash of their ids,
+    so that all rounds together take every position of every text once.
     """
     spark = docs.sparkSession
     model = initial(counts)
     shared_table = spark.sparkContext.broadcast(table)
-    dealt = docs.select("text", F.pmod(F.xxhash64("doc_id"), F.lit(rounds)).alias("first")).coalesce(TRAINING_TASKS)
+    turn_of = F.pmod(F.xxhash64("doc_id"), F.lit(rounds))
     for turn in range(rounds):
         start = spark.sparkContext.broadcast(model)
 
@@ -372,16 +467,16 @@ def train(docs: DataFrame, table: TokenTable, counts: np.ndarray, rounds: int =
             trainer, n = Trainer(start.value, 1000 * turn + task), 0
             for batch in slices(batches, "text", 1 << 20):
                 texts = [_ids(tokens_of(t), shared_table.value) for t in utf8(batch, "text")]
-                firsts = [x + turn for x in batch.column("first").to_pylist()]
-                history, following = examples(texts, CONTEXT, firsts, rounds)
-                order = trainer.rng.permutation(len(following))
-                for a in range(0, len(order), BATCH):
-                    chosen = order[a : a + BATCH]
-                    trainer.step(history[chosen], following[chosen])
-                n += len(order)
+                runs, known = runs_of(texts, CONTEXT)
+                order = trainer.rng.permutation(len(runs))
+                for a in range(0, len(order), BATCH // RUN):
+                    chosen = order[a : a + BATCH // RUN]
+                    trainer.step_runs(runs[chosen], known[chosen])
+                n += int(known.sum())
             if n:
                 yield from _parts(trainer, task, n)
 
+        dealt = docs.where(turn_of == turn).select("text").coalesce(tasks)
         found = dealt.mapInArrow(run, _PART).groupBy("part", "block").applyInArrow(_averaged, _PART).toArrow()
         model = model.copy()
         for part, rows, flat in zip(*(found[c].to_pylist() for c in ("part", "rows", "flat"))):
@@ -409,21 +504,29 @@ class Scorer:
     model: LogBilinear
     table: TokenTable
     frequent: dict[bytes, int]
+    counts: np.ndarray  # of the tokens with vectors of their own by id, zeros before them
     log_masses: np.ndarray  # of the groups, zeros after them
 
+    @cached_property
+    def _layers(self) -> tuple[_Softmax, _Softmax]:
+        return self.model.layers()
+
     def heads(self, texts: list[list[bytes]]) -> tuple[list[tuple], list[Counter]]:
         """Per text: (tokens, frequent ones, base sum, model sum), and counts of tokens that aren't frequent."""
         ids = [_ids(t, self.table) for t in texts]
-        logs = self.model.log_probabilities(*examples(ids, CONTEXT)) / math.log(10)
+        logs = self.model.log_probabilities(*examples(ids, CONTEXT), self._layers) / math.log(10)
         ends = np.cumsum([len(x) for x in ids])
         heads, rare = [], []
         for tokens, own, end in zip(texts, ids, ends):
-            counts = np.fromiter((self.frequent.get(t, 0) for t in tokens), np.int64, len(tokens))
+            counts = self.counts.take(own)
+            grouped = np.flatnonzero(own < GROUPS)
+            counts[grouped] = [self.frequent.get(tokens[i], 0) for i in grouped.tolist()]
             known = np.log10(counts + 1)
-            inside = known[own < GROUPS].sum() - self.log_masses[own].sum()
+            inside = known[grouped].sum() - self.log_masses.take(own[grouped]).sum()
             model = float(logs[end - len(own) : end].sum() + inside)
-            heads.append((len(tokens), int((counts > 0).sum()), float(known.sum()), model))
-            rare.append(Counter(t for t, c in zip(tokens, counts.tolist()) if not c))
+            unknown = np.flatnonzero(counts == 0).tolist()
+            heads.append((len(tokens), len(tokens) - len(unknown), float(known.sum()), model))
+            rare.append(Counter([tokens[i] for i in unknown]))
         return heads, rare
 
 
@@ -453,18 +556,24 @@ def score_texts(
     rest = remainder(F.col("doc_id"), folds)
     training = texts.where(rest != held_out)
     counts = stored(token_counts(training), "lm-counts")
-    totals = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
+    size = F.sum(F.col("c") * (F.octet_length("token") + 1))
+    totals = counts.agg(
+        F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v"), F.coalesce(size, F.lit(0)).alias("bytes")
+    ).first()
     frequent, least = frequent_tokens(counts, frequent_limit)
     own_least = max(least, own_count)
     table = TokenTable.of(frequent, own_least)
     in_groups, distinct = group_masses(counts, own_least)
     by_token = np.concatenate([in_groups, [frequent.get(t, 0) for t in table]])
+    own_counts = by_token.astype(np.int64)
+    own_counts[:GROUPS] = 0
     log_masses = np.concatenate([np.log10(in_groups + distinct + 1), np.zeros(len(table))])
-    model = train(training, table, by_token) if totals["n"] else initial(by_token)
-    shared = spark.sparkContext.broadcast(Scorer(model, table, frequent, log_masses))
+    tasks = training_tasks(totals["bytes"], len(by_token))
+    model = train(training, table, by_token, tasks) if totals["n"] else initial(by_token)
+    shared = spark.sparkContext.broadcast(Scorer(model, table, frequent, own_counts, log_masses))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", 1 << 20):
+        for batch in slices(batches, "text", 2 << 20):
             heads, rare = shared.value.heads([tokens_of(t) for t in utf8(batch, "text")])
             rows = batch.column("row").to_pylist()
             tokens = [f" {r}".encode() for r in rows] + [t for c in rare for t in c]  # no word has a blank

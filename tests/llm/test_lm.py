@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import math
+import pickle
 import random
 import zlib
 from collections import Counter
@@ -104,3 +105,56 @@ def test_tokens_with_vectors_grow_with_the_vocabulary():
     model = lm.initial(np.arange(400.0))
     history = np.array([[0, 1, 2, 3, 1]] * 400)
     assert np.exp(model.log_probabilities(history, np.arange(400))).sum() == pytest.approx(1, abs=1e-4)
+
+
+def test_parts_of_training_tasks_stay_small_beside_the_texts():
+    """64 tasks, each with a model of 150,000 tokens, once shuffled 3.7 times as much as half a GB of input."""
+    for text_bytes, tokens in ((740_000_000, 150_000), (150_000_000, 50_000), (40_000_000_000, 300_000), (3000, 100)):
+        tasks = lm.training_tasks(text_bytes, tokens)
+        assert 1 <= tasks <= lm.TRAINING_TASKS
+        assert tasks == 1 or lm.ROUNDS * tasks * tokens * 4 * (2 * lm.DIMENSIONS + 1) <= lm.PARTS_SHARE * text_bytes
+    assert lm.training_tasks(40_000_000_000, 300_000) == lm.TRAINING_TASKS
+
+
+def test_parameters_of_a_pickled_model_are_scattered_to_fast():
+    """Tasks get the model pickled; numpy adds at places slowly unless the array's type object is numpy's own."""
+    model = pickle.loads(pickle.dumps(lm.initial(np.arange(400.0))))
+    trainer = lm.Trainer(model, 1)
+    assert all(getattr(trainer.model, name).dtype is np.dtype("float32") for name in lm.PARAMETERS)
+
+
+def test_runs_take_every_position_once_with_its_own_contexts():
+    rng = np.random.default_rng(2)
+    texts = [rng.integers(lm.GROUPS, lm.GROUPS + 300, n).astype(np.int32) for n in (1, 2, 40, 333, 7, 16)]
+    history, following = lm.examples(texts, lm.CONTEXT)
+    runs, known = lm.runs_of(texts, lm.CONTEXT)
+    assert known.sum() == len(following) == sum(map(len, texts))
+    windows = np.lib.stride_tricks.sliding_window_view(runs, lm.CONTEXT + 1, axis=1)[known]
+    assert (windows[:, -1] == following).all() and (windows[:, -2::-1] == history).all()
+    one, other = (lm.Trainer(lm.initial(np.arange(1.0, 400)), 1) for _ in range(2))
+    seen = [[], []]
+    for trainer, vectors in zip((one, other), seen):
+        learn = trainer._predict
+        trainer._predict = lambda v, f, vectors=vectors, learn=learn: vectors.append((v, f)) or learn(v, f)
+    one.step(history, following)
+    other.step_runs(runs, known)
+    (a, b), (c, d) = seen[0][0], seen[1][0]
+    assert (b == d).all() and a == pytest.approx(c, abs=1e-5)
+    assert one.model.scales == pytest.approx(other.model.scales, abs=1e-4)
+    assert one.model.targets == pytest.approx(other.model.targets, abs=1e-4)
+
+
+def test_probabilities_of_long_vectors():
+    """Logits beyond the range of 32-bit exponentials."""
+    model = lm.initial(np.arange(400.0))
+    model.contexts[:] *= 300
+    history, following = np.array([[0, 1, 2, 3, 1]] * 400), np.arange(400)
+    total = model.log_probabilities(history, following)
+    assert np.isfinite(total).all() and np.exp(total).sum() == pytest.approx(1, abs=1e-4)
+    vector = (model.contexts[history[0]] * model.scales).sum(axis=0).astype(float)
+    logits = model.class_targets.astype(float) @ vector + model.class_biases
+    kind = np.searchsorted(model.starts, model.place[7], "right") - 1
+    low, high = model.starts[kind], model.starts[kind + 1]
+    inside = model.targets[low:high].astype(float) @ vector + model.biases[low:high]
+    want = logits[kind] - np.logaddexp.reduce(logits) + inside[model.place[7] - low] - np.logaddexp.reduce(inside)
+    assert total[7] == pytest.approx(want, rel=1e-4, abs=1e-3)
