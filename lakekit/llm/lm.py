@@ -87,14 +87,27 @@ class LogBilinear:
         """Of the classes and of the tokens inside them."""
         return _Softmax.of(self.class_targets, self.class_biases), _Softmax.of(self.targets, self.biases)
 
-    def log_probabilities(
-        self, history: np.ndarray, following: np.ndarray, layers: tuple[_Softmax, _Softmax] | None = None
-    ) -> np.ndarray:
-        """Natural logarithms of the normalised probabilities of `following` after `history`. `layers`: the model's, if known."""
+    def log_probabilities(self, history: np.ndarray, following: np.ndarray) -> np.ndarray:
+        """Natural logarithms of the normalised probabilities of `following` after `history`."""
+        return self._logs(self.predicted(history), following, self.layers())
+
+    def text_log_probabilities(self, texts: list[np.ndarray], layers: tuple[_Softmax, _Softmax]) -> np.ndarray:
+        """Those of all positions of the texts, one text after the other."""
+        context = len(self.scales)
+        stream, known = _stream(texts, context)
+        vectors = np.zeros((len(stream), self.scales.shape[1]), np.float32)
+        for a in range(context, len(stream), 2048):
+            before = self.contexts.take(stream[a - context : a + 2047], axis=0)
+            own = vectors[a : a + 2048]
+            for k in range(context):
+                own += before[context - 1 - k : context - 1 - k + len(own)] * self.scales[k]
+        return self._logs(vectors[known], stream[known], layers)
+
+    def _logs(self, predicted: np.ndarray, following: np.ndarray, layers: tuple[_Softmax, _Softmax]) -> np.ndarray:
+        classes, tokens = layers
         out = np.empty(len(following))
-        classes, tokens = layers or self.layers()
         for a in range(0, len(following), SCORED):
-            vectors = self.predicted(history[a : a + SCORED])
+            vectors = predicted[a : a + SCORED]
             place = self.place.take(following[a : a + SCORED])
             order = np.argsort(place)
             place = place[order]
@@ -186,7 +199,7 @@ class Trainer:
     def __init__(self, model: LogBilinear, seed: int) -> None:
         self.model = model.copy()
         self.sums = {name: np.full(getattr(model, name).shape, 1e-1, np.float32) for name in _DENSE}
-        self.sums |= {name: np.full(len(model.place), 1e-1, np.float32) for name in ("contexts", "targets", "biases")}
+        self.sums |= {name: np.full(len(model.place), 1e-1, np.float32) for name in ("contexts", "targets")}
         self.rng = np.random.default_rng(seed)
         self.noise_edges = np.cumsum(model.noise)
         self.log_noise = np.log(model.noise * NOISE_RATIO).astype(np.float32)
@@ -221,20 +234,23 @@ class Trainer:
         Positions share contexts, so each of a run's tokens is looked up and moved once.
         """
         m = self.model
-        context, whole = len(m.scales), known.all()
+        context, n = len(m.scales), runs.shape[1] - len(m.scales)
         before = m.contexts.take(runs, axis=0)
-        scales = np.ascontiguousarray(m.scales[::-1])  # by place, the earliest first
-        windows = _windows(before[:, :-1], context)
-        vectors = np.einsum("rnkd,kd->rnd", windows, scales)
-        following = runs[:, context:]
-        padded = np.zeros((len(runs), vectors.shape[1] + 2 * context, vectors.shape[2]), np.float32)
-        d_vectors = padded[:, context:-context]
-        if whole:
-            d_vectors[...] = self._predict(vectors.reshape(-1, vectors.shape[2]), following.ravel()).reshape(vectors.shape)
+        places = np.arange(n)
+        bands = np.zeros((before.shape[2], context + n, n), np.float32)  # by dimension: the scale of a place for a position
+        for k in range(context):
+            bands[:, places + context - 1 - k, places] = m.scales[k][:, None]
+        by_dimension = np.ascontiguousarray(before.transpose(2, 0, 1))
+        vectors = np.ascontiguousarray((by_dimension @ bands).transpose(1, 2, 0))
+        d_vectors, following = np.zeros_like(vectors), runs[:, context:]
+        if known.all():
+            d_vectors.reshape(-1, vectors.shape[2])[:] = self._predict(vectors.reshape(-1, vectors.shape[2]), following.ravel())
         else:
             d_vectors[known] = self._predict(vectors[known], following[known])
-        grad = np.einsum("rlkd,kd->rld", _windows(padded, context)[:, 1:], m.scales)
-        g_scales = np.einsum("rnd,rnkd->kd", d_vectors, windows)[::-1]
+        back = np.ascontiguousarray(d_vectors.transpose(2, 0, 1))
+        grad = np.ascontiguousarray((back @ bands.transpose(0, 2, 1)).transpose(1, 2, 0))
+        products = by_dimension.transpose(0, 2, 1) @ back
+        g_scales = np.stack([products[:, places + context - 1 - k, places].sum(axis=1) for k in range(context)])
         self._move_contexts(runs.ravel(), grad.reshape(-1, grad.shape[2]), g_scales)
 
     def _move_contexts(self, rows: np.ndarray, grad: np.ndarray, g_scales: np.ndarray) -> None:
@@ -272,21 +288,16 @@ class Trainer:
         d_words[:, 0] -= 1
         d_words *= (size > 1)[:, None]  # a class of one token has nothing to tell apart
         d_vectors += np.einsum("nr,nrd->nd", d_words, own)
-        squares = d_words * d_words
-        moves = d_words * self._rates("targets", rows, squares * (np.einsum("nd,nd->n", vectors, vectors) / d)[:, None])
+        squares = d_words * d_words * ((np.einsum("nd,nd->n", vectors, vectors) + 1) / (d + 1))[:, None]
+        moves = d_words * self._rates("targets", rows, squares)
         _scatter(np.subtract, m.targets, rows, np.einsum("nr,nd->nrd", moves, vectors))
-        np.subtract.at(m.biases, rows, (d_words * self._rates("biases", rows, squares)).ravel())
+        np.subtract.at(m.biases, rows, moves.ravel())
         np.add.at(self.seen["targets"], rows, np.float32(1))
         self._move("class_targets", g_classes)
         self._move("class_biases", g_class_biases)
         return d_vectors
 
 
-def _windows(x: np.ndarray, length: int) -> np.ndarray:
-    """A view of (runs, places, dimensions) as (runs, places, length, dimensions): so many places from each one on."""
-    return np.lib.stride_tricks.sliding_window_view(x, length, axis=1).swapaxes(2, 3)
-
-
 def _scatter(combine: np.ufunc, total: np.ndarray, rows: np.ndarray, values: np.ndarray) -> None:
     """Adds to, or takes from, each given row of the total a row of the values; flat, where numpy is fast, and, for the
     same sums with half as many places, with two numbers as one complex number."""
@@ -299,11 +310,12 @@ def _scatter(combine: np.ufunc, total: np.ndarray, rows: np.ndarray, values: np.
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    x = np.clip(x, -30, 30)
-    np.negative(x, out=x)
-    np.exp(x, out=x)
+    """Overwrites the numbers."""
+    x *= 0.5
+    np.tanh(x, out=x)
     x += 1
-    return np.reciprocal(x, out=x)
+    x *= 0.5
+    return x
 
 
 def examples(texts: list[np.ndarray], context: int) -> tuple[np.ndarray, np.ndarray]:
@@ -514,7 +526,7 @@ class Scorer:
     def heads(self, texts: list[list[bytes]]) -> tuple[list[tuple], list[Counter]]:
         """Per text: (tokens, frequent ones, base sum, model sum), and counts of tokens that aren't frequent."""
         ids = [_ids(t, self.table) for t in texts]
-        logs = self.model.log_probabilities(*examples(ids, CONTEXT), self._layers) / math.log(10)
+        logs = self.model.text_log_probabilities(ids, self._layers) / math.log(10)
         ends = np.cumsum([len(x) for x in ids])
         heads, rare = [], []
         for tokens, own, end in zip(texts, ids, ends):
