@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import time
 
 import numpy as np
 
@@ -57,6 +58,40 @@ def test_against_all_windows(spark, monkeypatch):
         assert run(df) == sorted(brute(rows), key=repr)
 
 
+def test_ended_steps_leave_no_shuffles(spark):
+    manager = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager()
+
+    def shuffles():
+        blocks = manager.getAllBlocks().mkString(" ").split()
+        return {b for b in blocks if b.startswith("shuffle_")}
+
+    before = shuffles()
+    repeats.remove_repeats(spark.createDataFrame(corpus(4), "doc_id long, text string"))
+    until = time.time() + 20
+    while (left := shuffles() - before) and time.time() < until:
+        time.sleep(0.2)
+    assert not left
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
+def test_many_surroundings_take_few_rows(spark, monkeypatch):
+    rng = random.Random(5)
+    passage, gram = prose(rng, 120), prose(rng, 16)[:24]
+    ends = ["".join(rng.choices("abcdefghij", k=150)) for _ in range(160)]
+    rows = [(i, ends[2 * i] + (passage if i % 2 else gram) + ends[2 * i + 1]) for i in range(80)]
+    wanted = [(i, 0, 7, 170, 120, 160, True) for i in range(80)]
+    df = spark.createDataFrame([(i, i, 0, t) for i, t in rows], "doc_id long, doc long, part long, text string")
+    wanted = spark.createDataFrame(wanted, "doc long, part long, key long, place long, first long, last long, many boolean")
+    assert repeats._surroundings(wanted, repeats.packed_texts(df)).count() == 80
+
+    counts, windows = [], repeats._windows
+    monkeypatch.setattr(repeats, "_windows", lambda around: counts.append(windows(around).count()) or windows(around))
+    monkeypatch.setattr(repeats, "MOST_SORTED", 4)
+    assert run(spark.createDataFrame(rows, "doc_id long, text string")) == sorted(brute(rows), key=repr)
+    # At either end of a passage some run of RUN windows has shared and other windows.
+    assert len(counts) == 1 and 0 < counts[0] <= 40 * 2 * 2 * repeats.RUN
+
+
 def test_odd_rows(spark):
     text = prose(random.Random(9), 100)
     rows = [(5, text), (5, text), (None, text), (None, None), (7, text + "é" * 100_000)]
