@@ -38,7 +38,8 @@ def read_batches(spark: SparkSession, target: str, schema: T.StructType | None =
     except AnalysisException as error:
         if schema is None or not nothing_stored(error):
             raise
-        return spark.createDataFrame([], T.StructType([*schema.fields, T.StructField("_batch", T.IntegerType())]))
+        # The limit tells Catalyst that there are no rows; it would take the size for unknown, and so for huge.
+        return spark.createDataFrame([], T.StructType([*schema.fields, T.StructField("_batch", T.IntegerType())])).limit(0)
 
 
 def _header(line: str, separator: str) -> tuple[str, ...]:

@@ -192,6 +192,30 @@ def test_only_existing_keys_are_scanned_for_a_small_batch(spark, before, monkeyp
     assert rows(joins.new_keys(small, before, ["k"])) == [(7, "x", 1.0)]
 
 
+def test_keys_larger_than_their_files_are_not_broadcast(spark, tmp_path, monkeypatch):
+    from lakekit.operators import joins
+
+    def stored(first, last, name):
+        key = F.concat(F.lit("order-" * 20), F.lpad(F.col("id").cast("string"), 10, "0")).alias("k")
+        spark.range(first, last, 1, 1).select(key).write.parquet(f"{tmp_path}/{name}")
+        return spark.read.parquet(f"{tmp_path}/{name}")
+
+    target, candidates = stored(0, 40_000, "target"), stored(30_000, 50_000, "candidates")
+    limit = joins.estimated_bytes(candidates)
+    assert joins.estimated_bytes(target) > limit and joins.counted_bytes(candidates) > 4 * limit
+    monkeypatch.setattr(joins, "BROADCAST_LIMIT", limit)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        new = joins.new_keys(candidates, target, ["k"])
+        assert new.count() == 10_000 and new.where("right(k, 10) < '0000040000'").count() == 0
+        assert "Broadcast" not in executed_plan(new)
+        few = joins.new_keys(candidates.where("right(k, 10) between '0000039999' and '0000040000'"), target, ["k"])
+        assert [r.k[-10:] for r in few.collect()] == ["0000040000"]
+        assert "BroadcastHashJoin" in executed_plan(few)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_long_keys_stay_apart(spark):
     """Eleven and twelve digits through a join and a distinct count."""
     from lakekit.functions.columns import pad_key

@@ -7,6 +7,7 @@ from conftest import rows
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from lakekit.operators.joins import estimated_bytes
 from lakekit.schemas import ERP_SCHEMAS
 from lakekit.sources import files
 from lakekit.streaming.chains import OrderLoad
@@ -103,6 +104,11 @@ def test_chain_counts_an_order_once(spark, tmp_path):
     assert silver.first().ERDAT.isoformat() == "2024-01-01"
 
 
+def test_a_missing_table_is_known_to_be_empty(spark, tmp_path):
+    schema = spark.range(0).schema
+    assert estimated_bytes(read_batches(spark, str(tmp_path / "none"), schema).where("_batch < 1").select("id")) < 100
+
+
 def test_a_batch_run_again_changes_nothing(spark, tmp_path):
     """What a restart after a failure does: the same micro-batch a second time."""
     load = OrderLoad(str(tmp_path / "landing"), str(tmp_path / "work"))
